@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions.nulls import percent
-from carelens.operators.ordered import Hot, find_hot, over_ordered, running_sum
+from carelens.operators.ordered import find_hot, over_ordered, running_sum
 from carelens.operators.reshape import pivot_glue
+from carelens.sources.staging import stage
 
 
 def _join_groups(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -22,20 +23,20 @@ def _join_groups(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 
-def quantiles_by(df: DataFrame, keys: list[str], col: str, probs: dict[str, float], hot: Hot | None = None) -> DataFrame:
+def quantiles_by(df: DataFrame, keys: list[str], col: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles by group with linear interpolation, nulls ignored.
 
-    Equal values are counted first; a running count over the distinct values
-    then shows which value holds each wanted rank.  No group is gathered in
-    one place: heavy groups are cut by value.
+    Equal values are counted first and the counts kept, so the input is read
+    once; a running count over the distinct values then shows which value
+    holds each wanted rank.  No group is gathered in one place: groups with
+    many distinct values are cut by value.
     """
     known = df.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     group = list(keys)
     if not group:
         known, group = known.withColumn("_all", F.lit(1)), ["_all"]
-    if hot is None:
-        hot = find_hot(known, group, ["_v"])
-    counts = known.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = stage(known.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n")), "value_counts")
+    hot = find_hot(counts, group, ["_v"])
     totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total"))
     ranked = over_ordered(counts, group, ["_v"], {"_upto": running_sum(F.col("_n"))}, hot)
     ranked = _join_groups(ranked, totals, group)

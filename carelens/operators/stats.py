@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelens.functions.tdist import two_sided_p
 from carelens.operators.aggs import _join_groups
 from carelens.operators.ordered import Hot, find_hot, over_ordered, running_sum
+from carelens.sources.staging import stage
 
 
 def _mean_ranks(pairs: DataFrame, keys: list[str], col: str, out: str, hot: Hot | None) -> DataFrame:
@@ -20,8 +21,9 @@ def _mean_ranks(pairs: DataFrame, keys: list[str], col: str, out: str, hot: Hot
 def spearman_by(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """Spearman correlation and p-value (t approximation) by group over complete pairs.
 
-    Equal pairs are counted first, and ranks come from running counts over
-    distinct values, so a group of any size is spread over tasks.
+    Equal pairs are counted first and the counts kept, and ranks come from
+    running counts over distinct values, so a group of any size is spread
+    over tasks and the input is read once.
     """
     group = list(keys) or ["_all"]
     base = df.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).na.drop(
@@ -29,8 +31,8 @@ def spearman_by(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     )
     if not keys:
         base = base.withColumn("_all", F.lit(1))
-    hot_x, hot_y = find_hot(base, group, ["_x"]), find_hot(base, group, ["_y"])
-    pairs = base.groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = stage(base.groupBy(*group, "_x", "_y").agg(F.count(F.lit(1)).alias("_n")), "pair_counts")
+    hot_x, hot_y = find_hot(pairs, group, ["_x"]), find_hot(pairs, group, ["_y"])
     n_all = pairs.groupBy(*group).agg(F.sum("_n").alias("n"))
     ranked = _join_groups(pairs, _mean_ranks(pairs, group, "_x", "_rx", hot_x), [*group, "_x"])
     ranked = _join_groups(ranked, _mean_ranks(pairs, group, "_y", "_ry", hot_y), [*group, "_y"])

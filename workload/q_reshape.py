@@ -183,10 +183,10 @@ def _(spark, d):
 
 @query("join_full_outer", """
 SELECT coalesce(s.program_id, q.program_id) AS program_id, s.site_name, q.n FROM
-  (SELECT program_id, site_name FROM v_site WHERE n_regionkey < 3) s FULL JOIN
+  (SELECT program_id, site_name FROM v_site WHERE imp_support = 1) s FULL JOIN
   (SELECT program_id, count(*) AS n FROM v_survey WHERE type = 'PC' GROUP BY 1) q ON s.program_id = q.program_id""")
 def _(spark, d):
-    sites = view(spark, d, "v_site").filter("n_regionkey < 3").select("program_id", "site_name")
+    sites = S.drop_withdrawn(view(spark, d, "v_site")).select("program_id", "site_name")
     answers = view(spark, d, "v_survey").filter("type = 'PC'").groupBy("program_id").agg(F.count(F.lit(1)).alias("n"))
     return sites.join(answers, "program_id", "full")
 

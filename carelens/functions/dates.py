@@ -12,8 +12,18 @@ def month_from_event(event: Column) -> Column:
 
 
 def parse_date(text: Column, formats: list[str]) -> Column:
-    """First format which fits wins; null when none does."""
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in formats])
+    """First format which fits wins; null when none does.
+
+    Two-digit years 69 to 99 belong to the 1900s (Spark would read 20xx).
+    """
+
+    def read(pattern):
+        day = F.to_date(F.try_to_timestamp(text, F.lit(pattern)))
+        if "yy" in pattern and "yyyy" not in pattern:
+            return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
+        return day
+
+    return F.coalesce(*[read(f) for f in formats])
 
 
 def month_start(d: Column) -> Column:

@@ -37,7 +37,7 @@ def rename_map(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     missing = set(mapping) - set(df.columns)
     if missing:
         raise ValueError(f"columns missing: {sorted(missing)}")
-    return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
+    return df.select(*[F.col(f"`{c}`").alias(mapping.get(c, c)) for c in df.columns])
 
 
 def across(df: DataFrame, cols: list[str], fn) -> DataFrame:

@@ -58,7 +58,7 @@ def _(spark, d):
 
 
 _GRID = " UNION ALL ".join(
-    f"""SELECT '{o}' AS outcome, '{e}' AS exposure, regr_count("{o}", {e}) AS n, regr_slope("{o}", {e}) AS b,
+    f"""SELECT '{o}' AS outcome, '{e}' AS exposure, regr_count("{o}", {e})::BIGINT AS n, regr_slope("{o}", {e}) AS b,
   regr_sxx("{o}", {e}) AS sxx, regr_r2("{o}", {e}) AS r2 FROM inputs"""
     for o in ("count_MOUD", "pct_MOUD") for e in ("mean_likert", "barriers", "facilitators")
 )
@@ -126,8 +126,7 @@ def _five(value: str, source: str, key: str) -> str:
 WITH {_SITES}, {_reml_sql(_ANSWER_ROWS, "q_num")}, five AS ({_five("raw_value", "active", "q_num")})
 SELECT five.*, round({_p("t_value", "n_clusters - 2")}, 5) + 0.0 AS p_val FROM five LEFT JOIN reml USING (q_num)""")
 def _(spark, d):
-    out = r6(summaries.question_summary(grouped(spark, d)))
-    return out.withColumn("p_val", F.round("p_val", 5))
+    return r6(summaries.question_summary(grouped(spark, d)).withColumn("p_val", F.round("p_val", 5)))
 
 
 @query("job_subscale_summary", f"""

@@ -23,66 +23,86 @@ def _join_groups(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 
-def quantiles_by(df: DataFrame, keys: list[str], col: str, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles by group with linear interpolation, nulls ignored.
-
-    Equal values are counted first and the counts kept, so the input is read
-    once; a running count over the distinct values then shows which value
-    holds each wanted rank.  No group is gathered in one place: groups with
-    many distinct values are cut by value.
-    """
-    known = df.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+def _value_counts(df: DataFrame, keys: list[str], col: str, weight: str | None) -> tuple[DataFrame, list[str]]:
+    """How often each value occurs per group, kept as a table so the input is read once."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    known = df.withColumn("_v", F.col(col).cast("double")).filter(F.col("_v").isNotNull())
     group = list(keys)
     if not group:
         known, group = known.withColumn("_all", F.lit(1)), ["_all"]
-    counts = stage(known.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n")), "value_counts")
+    return stage(known.groupBy(*group, "_v").agg(n.alias("_n")), "value_counts"), group
+
+
+def _from_counts(counts: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
+    """Moments and quantiles by group of a value-count table.
+
+    A running count over the distinct values shows which value holds each
+    wanted rank.  No group is gathered in one place: groups with many
+    distinct values are cut by value.
+    """
+    totals = counts.groupBy(*group).agg(
+        F.sum("_n").alias("_total"), (F.sum(F.col("_n") * F.col("_v")) / F.sum("_n")).alias("_mean")
+    )
     hot = find_hot(counts, group, ["_v"])
-    totals = counts.groupBy(*group).agg(F.sum("_n").alias("_total"))
     ranked = over_ordered(counts, group, ["_v"], {"_upto": running_sum(F.col("_n"))}, hot)
     ranked = _join_groups(ranked, totals, group)
 
     def value_at(rank):
         return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_v")))
 
-    aggs = {}
+    away = F.col("_v") - F.col("_mean")
+    aggs = {
+        "_total": F.max("_total"), "mean": F.max("_mean"), "min": F.min("_v"), "max": F.max("_v"),
+        "_ss": F.sum(F.col("_n") * away * away),
+    }
     for name, p in probs.items():
         spot = (F.col("_total") - 1) * F.lit(float(p))
         aggs[f"_lo_{name}"] = value_at(F.floor(spot))
         aggs[f"_hi_{name}"] = value_at(F.ceil(spot))
         aggs[f"_w_{name}"] = F.max(spot - F.floor(spot))
     out = ranked.groupBy(*group).agg(*[c.alias(n) for n, c in aggs.items()])
-    return out.select(
-        *keys,
-        *[
-            (F.col(f"_lo_{n}") + F.col(f"_w_{n}") * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))).alias(n)
-            for n in probs
-        ],
+    return out.withColumns(
+        {
+            "sd": F.when(F.col("_total") > 1, F.sqrt(F.col("_ss") / (F.col("_total") - 1))),
+            **{
+                n: F.col(f"_lo_{n}") + F.col(f"_w_{n}") * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))
+                for n in probs
+            },
+        }
     )
 
 
-def describe_by(df: DataFrame, keys: list[str], col: str, prefix: str = "") -> DataFrame:
-    """mean, sd, median, min and max by group, nulls ignored."""
-    c = F.col(col).cast("double")
-    base = df.groupBy(*keys).agg(
-        F.avg(c).alias(f"{prefix}mean"),
-        F.stddev_samp(c).alias(f"{prefix}sd"),
-        F.min(c).alias(f"{prefix}min"),
-        F.max(c).alias(f"{prefix}max"),
-    )
-    middle = quantiles_by(df, keys, col, {f"{prefix}median": 0.5})
-    out = _join_groups(base, middle, keys)
-    return out.select(*keys, *[f"{prefix}{s}" for s in ("mean", "sd", "median", "min", "max")])
+def summary_from_counts(counts, keys: list[str], value: str, n: str, probs: dict[str, float]) -> DataFrame:
+    """mean, sd, min, max and quantiles of a table that says how often each value occurs."""
+    known = counts.select(*keys, F.col(value).cast("double").alias("_v"), F.col(n).alias("_n"))
+    return _from_counts(known.filter("_v is not null"), list(keys), probs)
+
+
+def quantiles_by(df: DataFrame, keys: list[str], col: str, probs: dict[str, float], weight: str | None = None) -> DataFrame:
+    """Exact quantiles by group with linear interpolation, nulls ignored."""
+    counts, group = _value_counts(df, keys, col, weight)
+    return _from_counts(counts, group, probs).select(*keys, *probs)
+
+
+def describe_by(df: DataFrame, keys: list[str], col: str, prefix: str = "", weight: str | None = None) -> DataFrame:
+    """mean, sd, median, min and max by group, nulls ignored.
+
+    ``weight`` names a column saying how many rows each row stands for.
+    Groups without any value keep a row of nulls.
+    """
+    counts, group = _value_counts(df, keys, col, weight)
+    stats = _from_counts(counts, group, {"median": 0.5})
+    stats = stats.select(*keys, *[F.col(s).alias(f"{prefix}{s}") for s in ("mean", "sd", "median", "min", "max")])
+    return _join_groups(df.select(*keys).distinct(), stats, keys) if keys else stats
 
 
 def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column: min, quartiles, mean, max and number of nulls."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    base = long.groupBy("column").agg(
-        F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max"),
-        F.count_if(F.col("value").isNull()).alias("n_null"),
-    )
-    quart = quantiles_by(long, ["column"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    out = _join_groups(base, quart, ["column"])
+    counts = stage(long.groupBy("column", F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value_counts")
+    missing = counts.groupBy("column").agg(F.sum(F.when(F.col("_v").isNull(), F.col("_n")).otherwise(0)).alias("n_null"))
+    stats = _from_counts(counts.filter("_v is not null"), ["column"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    out = _join_groups(missing, stats, ["column"])
     return out.select("column", "min", "q1", "median", "mean", "q3", "max", "n_null")
 
 
@@ -96,25 +116,21 @@ def mean_all(df, keys, cols, fn=F.avg, suffix="") -> DataFrame:
 
 
 def with_total_rows(df, keys: list[str], over: str, sums: list[str], label: str) -> DataFrame:
-    """Append one row per key that adds up all values of ``over``."""
-    total = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).withColumn(over, F.lit(label))
-    return df.select(*keys, over, *sums).unionByName(total)
+    """Append one row per key that adds up all values of ``over``.
 
+    ``df`` has one row per (keys, over); it is read once, each row counting
+    for itself and for the total.
+    """
+    both = df.withColumn(over, F.explode(F.array(F.col(over), F.lit(label))))
+    return both.groupBy(*keys, over).agg(*[F.sum(c).alias(c) for c in sums])
 
-def means_by_type_and_all(df, group: list[str], value: str, types: list[str], out="mean_v", kind="type") -> DataFrame:
-    """Mean by (group, type) beside the mean of the group over all types, from one scan.
 
-    The overall mean must weigh rows, not types, so sums and counts are added
-    up by type and combined when the types become columns.
-    """
-    parts = df.groupBy(*group, kind).agg(F.sum(F.col(value).cast("double")).alias("_s"), F.count(value).alias("_n"))
-    picks = [
-        F.try_divide(F.max(F.when(F.col(kind) == t, F.col("_s"))), F.max(F.when(F.col(kind) == t, F.col("_n")))).alias(
-            f"{t}_{out}"
-        )
-        for t in types
-    ]
-    return parts.groupBy(*group).agg(*picks, F.try_divide(F.sum("_s"), F.sum("_n")).alias(f"all_{out}"))
+def means_by_type_and_all(df, group: list[str], value: str, types: list[str], out="mean_v", kind="type") -> DataFrame:
+    """Mean by (group, type) beside the mean of the group over all types, from one scan."""
+    return df.groupBy(*group).agg(
+        *[F.avg(F.when(F.col(kind) == t, F.col(value))).alias(f"{t}_{out}") for t in types],
+        F.avg(value).alias(f"all_{out}"),
+    )
 
 
 def share(df, keys: list[str], col: str, out="share") -> DataFrame:
@@ -162,9 +178,9 @@ def count_and_pct(counts, base, keys: list[str], count: str, base_value: str, na
     return wide.unpivot(keys, list(names), "variable", "value")
 
 
-def type_summary(df, keys: list[str], kind: str, col: str, types: list[str]) -> DataFrame:
+def type_summary(df, keys: list[str], kind: str, col: str, types: list[str], weight: str | None = None) -> DataFrame:
     """Five statistics per type, side by side."""
     stats = ["mean", "sd", "median", "min", "max"]
-    return pivot_glue(describe_by(df, [*keys, kind], col), keys, kind, stats, types)
+    return pivot_glue(describe_by(df, [*keys, kind], col, weight=weight), keys, kind, stats, types)
 
 

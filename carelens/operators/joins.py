@@ -30,9 +30,9 @@ def overlap_months(spans: DataFrame, start: str, end: str, observed: DataFrame,
     known = spans.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
     first = F.trunc(F.least(start, end), "MM")
     last = F.trunc(F.greatest(start, end), "MM")
-    spread = known.withColumn(month, F.explode(F.sequence(first, last, F.expr("interval 1 month"))))
-    months = observed.select(month).distinct()  # calendar months of the extract
-    return spread.join(small_side(months), month, "left_semi").select(*spans.columns, month)
+    covered = F.sequence(first, last, F.expr("interval 1 month"))
+    seen = observed.agg(F.collect_set(month)).scalar()  # calendar months of the extract
+    return known.withColumn("_seen", seen).withColumn(month, F.explode(F.array_intersect(covered, "_seen"))).drop("_seen")
 
 
 def asof_forward(

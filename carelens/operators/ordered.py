@@ -46,25 +46,25 @@ def _sort_cols(cols: list[str], descending: bool = False) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-def find_hot(df: DataFrame, keys: list[str], order: list[str], slice_rows: int = SAMPLES_PER_SLICE) -> Hot | None:
-    """Heavy keys of ``df`` and the bounds that cut them; None when no key is heavy.
+def sample_size(spark) -> int:
+    """Rows a sample should have: more for more parallelism, within fixed bounds."""
+    return min(MAX_SAMPLE, max(MIN_SAMPLE, 20 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
-    Call it on the raw table the key comes from: two narrow scans, no shuffle.
-    The sample grows with the number of shuffle partitions and never exceeds
-    a fixed number of rows.
-    """
-    spark = df.sparkSession
-    narrow = df.select(*keys, *order)
-    wanted = min(MAX_SAMPLE, max(MIN_SAMPLE, 20 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    rows = narrow.count()
-    if rows == 0:
-        return None
-    fraction = wanted / rows
-    sample = narrow if fraction >= 1 else narrow.sample(fraction, seed=7)
+
+def draw(df: DataFrame, rows: int | None = None) -> list:
+    """A bounded uniform sample of ``df``, which has ``rows`` rows (counted when not given)."""
+    rows = df.count() if rows is None else rows
+    fraction = sample_size(df.sparkSession) / max(rows, 1)
+    return (df if fraction >= 1 else df.sample(fraction, seed=7)).collect()
+
+
+def cut_heavy(
+    df: DataFrame, keys: list[str], order: list[str], sample: list, slice_rows: int = SAMPLES_PER_SLICE
+) -> Hot | None:
+    """Slice bounds of the keys that are frequent in a sample of ``df``; None when there are none."""
     hits = defaultdict(list)
-    for row in sample.collect():
-        key = tuple(row[: len(keys)])
-        hits[key].append(tuple(x for v in row[len(keys):] for x in (v is None, v)))
+    for row in sample:
+        hits[tuple(row[k] for k in keys)].append(tuple(x for c in order for x in (row[c] is None, row[c])))
     heavy = []
     for key, found in hits.items():
         if len(found) >= 2 * slice_rows:
@@ -72,7 +72,7 @@ def find_hot(df: DataFrame, keys: list[str], order: list[str], slice_rows: int =
             heavy.append((*key, sorted(set(found[slice_rows::slice_rows]))))
     if not heavy:
         return None
-    types = {f.name: f.dataType for f in narrow.schema.fields}
+    types = {f.name: f.dataType for f in df.schema.fields}
     edge = T.StructType(
         [
             field
@@ -83,7 +83,16 @@ def find_hot(df: DataFrame, keys: list[str], order: list[str], slice_rows: int =
     schema = T.StructType(
         [T.StructField(f"_hot_{k}", types[k]) for k in keys] + [T.StructField("_bounds", T.ArrayType(edge))]
     )
-    return Hot(list(keys), list(order), spark.createDataFrame(heavy, schema))
+    return Hot(list(keys), list(order), df.sparkSession.createDataFrame(heavy, schema))
+
+
+def find_hot(df: DataFrame, keys: list[str], order: list[str], slice_rows: int = SAMPLES_PER_SLICE) -> Hot | None:
+    """Heavy keys of ``df`` and the bounds that cut them.
+
+    Call it on the raw table the key comes from: two narrow scans, no shuffle.
+    """
+    narrow = df.select(*keys, *[c for c in order if c not in keys])
+    return cut_heavy(narrow, keys, order, draw(narrow), slice_rows)
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:

@@ -84,15 +84,20 @@ def pivot_glue(df, ids, key, values, keys) -> DataFrame:
     return df.groupBy(*ids).agg(*[_cell(key, k, F.col(v)).alias(f"{k}_{v}") for k in keys for v in values])
 
 
-def densify(df, ids: list[str], key: str, value: str, fill=0) -> DataFrame:
+def densify(df, ids: list[str], key: str, value: str, fill=0, within: list[str] = ()) -> DataFrame:
     """Every observed id with every observed key, ``fill`` where a pair is missing.
 
-    ``df`` is a table of monthly results, best a stage table: it is read
-    three times.  The keys are calendar months, so the list of them is short;
-    the grid itself is the result asked for.
+    ``within`` names those of the id columns that have key sets of their own
+    (a measure and its months).  ``df`` is a table of monthly results, best a
+    kept one: it is read three times.  The keys are calendar months, so the
+    list of them is short; the grid itself is the result asked for.
     """
-    months = df.agg(F.collect_set(key)).scalar()
-    grid = df.select(*ids).distinct().withColumn(key, F.explode(months))
+    rows = df.select(*ids).distinct()
+    if within:
+        lists = df.groupBy(*within).agg(F.collect_set(key).alias("_keys"))
+        grid = rows.join(lists, list(within)).select(*ids, F.explode("_keys").alias(key))
+    else:
+        grid = rows.withColumn(key, F.explode(df.agg(F.collect_set(key)).scalar()))
     known = df.select(*ids, key, value, F.lit(True).alias("_known"))
     joined = grid.join(known, [*ids, key], "left")
     return joined.select(

@@ -99,7 +99,12 @@ def left_lookup(facts: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]])
     Key columns of the dictionary are dropped.
     """
     renamed = dim.withColumnsRenamed({d: f"_dim_{d}" for _, d in pairs})
-    cond = reduce(lambda a, b: a & b, [facts[f].eqNullSafe(renamed[f"_dim_{d}"]) for f, d in pairs])
+
+    def same(f, d):
+        both_null = facts.schema[f].nullable and dim.schema[d].nullable
+        return facts[f].eqNullSafe(renamed[f"_dim_{d}"]) if both_null else facts[f] == renamed[f"_dim_{d}"]
+
+    cond = reduce(lambda a, b: a & b, [same(f, d) for f, d in pairs])
     return facts.join(renamed, cond, "left").drop(*[f"_dim_{d}" for _, d in pairs])
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions.tdist import two_sided_p
 from carelens.operators.aggs import _join_groups
 from carelens.operators.ordered import Hot, find_hot, over_ordered, running_sum
-from carelens.sources.staging import stage
+from carelens.sources.staging import cut_lineage, stage
 
 
 def _mean_ranks(pairs: DataFrame, keys: list[str], col: str, out: str, hot: Hot | None) -> DataFrame:
@@ -119,7 +121,9 @@ def _reml(stats: DataFrame, keys: list[str], ratio) -> DataFrame:
 GRID = {"low": -60, "high": 30, "per_decade": 10, "fine": 1000}
 
 
-def random_intercept_by(df: DataFrame, keys: list[str], y: str, x: str, cluster: str) -> DataFrame:
+def random_intercept_by(
+    df: DataFrame, keys: list[str], y: str, x: str, cluster: str, weight: str | None = None
+) -> DataFrame:
     """Per group: y ~ x with a random intercept by cluster (REML); slope, t and p of x.
 
     Rows are reduced to six sums by (group, cluster).  The criterion is then
@@ -127,16 +131,23 @@ def random_intercept_by(df: DataFrame, keys: list[str], y: str, x: str, cluster:
     a fine grid round the best point.  Degrees of freedom: clusters - 2.
     """
     yc, xc = F.col(y).cast("double"), F.col(x).cast("double")
+
+    def total(*factors):
+        return F.sum(reduce(lambda a, b: a * b, [F.col(f) for f in factors], F.col("_w")))
+
     stats = (
-        df.select(*keys, F.col(cluster).alias("_c"), yc.alias("_yv"), xc.alias("_xv"))
+        df.select(
+            *keys, F.col(cluster).alias("_c"), yc.alias("_yv"), xc.alias("_xv"),
+            (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w"),
+        )
         .na.drop(subset=["_yv", "_xv"])
         .groupBy(*keys, "_c")
         .agg(
-            F.count(F.lit(1)).cast("double").alias("_n"), F.sum("_xv").alias("_x"), F.sum("_yv").alias("_y"),
-            F.sum(F.col("_xv") * F.col("_xv")).alias("_xx"), F.sum(F.col("_xv") * F.col("_yv")).alias("_xy"),
-            F.sum(F.col("_yv") * F.col("_yv")).alias("_yy"),
+            F.sum("_w").alias("_n"), total("_xv").alias("_x"), total("_yv").alias("_y"),
+            total("_xv", "_xv").alias("_xx"), total("_xv", "_yv").alias("_xy"), total("_yv", "_yv").alias("_yy"),
         )
     )
+    stats = cut_lineage(stats)  # clusters by group, read by both searches
     per, fine = GRID["per_decade"], GRID["fine"]
     coarse = F.transform(
         F.sequence(F.lit(GRID["low"]), F.lit(GRID["high"])), lambda k: F.pow(F.lit(10.0), k / per)

@@ -9,9 +9,10 @@ from carelens import fixed
 from carelens.functions.dates import month_from_event
 from carelens.functions.nulls import row_mean, strict
 from carelens.functions.text import flatten_lines, site_type
-from carelens.operators.aggs import _join_groups, latest, quantiles_by
+from carelens.operators.aggs import _join_groups, latest, summary_from_counts
 from carelens.operators.reshape import melt, melt_regex, pivot
 from carelens.operators.select import filter_any_not_null, label, label_with_counts, pick_columns, stack
+from carelens.sources.staging import cut_lineage
 
 IDS = ["program_id", "date"]
 
@@ -68,14 +69,11 @@ def imat_item_summary(subscales: DataFrame, items: DataFrame, date: str) -> Data
         subscales.select(*cols), items.select("date", "program_id", "variable", F.col("value").cast("double").alias("value"))
     ).filter(F.col("date") == F.lit(date).cast("date"))
     v = F.col("value")
-    base = rows.groupBy("variable").agg(
-        strict(F.avg, v).alias("mean"), strict(F.stddev_samp, v).alias("sd"),
-        (F.count(v) == F.count(F.lit(1))).alias("_whole"),
-    )
-    quart = quantiles_by(rows, ["variable"], "value", {"ptile25": 0.25, "ptile75": 0.75})
-    joined = _join_groups(base, quart, ["variable"])
+    # answers of one date at few levels: counted first, read once
+    rows = cut_lineage(rows.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
+    whole = rows.groupBy("variable").agg((F.count(v) == F.count(F.lit(1))).alias("_whole"))
+    stats = summary_from_counts(rows, ["variable"], "value", "n", {"ptile25": 0.25, "ptile75": 0.75})
+    joined = _join_groups(whole, stats, ["variable"])
     return joined.select(
-        "variable", "mean", "sd",
-        F.when(F.col("_whole"), F.col("ptile25")).alias("ptile25"),
-        F.when(F.col("_whole"), F.col("ptile75")).alias("ptile75"),
+        "variable", *[F.when(F.col("_whole"), F.col(c)).alias(c) for c in ("mean", "sd", "ptile25", "ptile75")]
     )

@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from carelens import fixed
 from carelens.functions.dates import month_start
 from carelens.functions.text import contains_any, parse_number
 from carelens.operators.joins import asof_forward, asof_hot_input, overlap_months, restrict_to_cohort
-from carelens.operators.ordered import Hot, find_hot
-from carelens.operators.select import left_lookup, small_side
+from carelens.operators.ordered import Hot, cut_heavy, draw
+from carelens.operators.select import left_lookup
 from carelens.operators.windows import assign_ids, episodes, first_per_key, flag_breaks, flag_first, flag_restarts, flag_starts
 
 PATIENT = "id_from_site"
@@ -36,21 +36,26 @@ class Balance:
 
 
 def measure_balance(visits: DataFrame, rx: DataFrame, decoder: DataFrame) -> Balance:
-    """Look for heavy sites and patients in the raw extracts (bounded samples)."""
-    sited = left_lookup(visits, small_side(decoder), [("site_name", "site_name")])
-    match = asof_hot_input(visits, rx, [PATIENT], "encounter_date", "rx_order_date", "visit_id")
+    """Look for heavy sites and patients in the raw extracts, from one bounded sample of each."""
+    sited = left_lookup(visits, decoder, [("site_name", "site_name")]).select(PATIENT, *VISIT_ORDER, "program_id")
+    narrow = rx.select(PATIENT, *RX_ORDER)
+    rows = max(sited.count(), narrow.count())
+    some_visits, some_rx = draw(sited, rows), draw(narrow, rows)
+    events = asof_hot_input(visits, rx, [PATIENT], "encounter_date", "rx_order_date", "visit_id")
+    mixed = [Row(**{PATIENT: r[PATIENT], "_date": r["encounter_date"], "_side": 0, "_id": r["visit_id"]}) for r in some_visits]
+    mixed += [Row(**{PATIENT: r[PATIENT], "_date": r["rx_order_date"], "_side": 1, "_id": None}) for r in some_rx]
     return Balance(
-        site=find_hot(sited, ["program_id"], ["encounter_date", PATIENT]),
-        rx=find_hot(rx, [PATIENT], RX_ORDER),
-        visit=find_hot(visits, [PATIENT], VISIT_ORDER),
-        match=find_hot(match, [PATIENT], ["_date", "_side", "_id"]),
+        site=cut_heavy(sited, ["program_id"], ["encounter_date", PATIENT], some_visits),
+        rx=cut_heavy(narrow, [PATIENT], RX_ORDER, some_rx),
+        visit=cut_heavy(sited, [PATIENT], VISIT_ORDER, some_visits),
+        match=cut_heavy(events, [PATIENT], ["_date", "_side", "_id"], mixed),
     )
 
 
 def patient_ids(visits: DataFrame, decoder: DataFrame, balance: Balance = Balance()) -> DataFrame:
     """Old id to corrected id, from the first visit and its site."""
     first = first_per_key(visits.select(PATIENT, "encounter_date", "visit_id", "site_name"), PATIENT, VISIT_ORDER)
-    sited = left_lookup(first, small_side(decoder.select("site_name", "program_id")), [("site_name", "site_name")])
+    sited = left_lookup(first, decoder.select("site_name", "program_id"), [("site_name", "site_name")])
     return assign_ids(sited, PATIENT, "program_id", "encounter_date", "pr_id", balance.site).select(PATIENT, "pr_id")
 
 

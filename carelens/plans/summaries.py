@@ -13,6 +13,7 @@ from carelens.operators.reshape import crosstab, pivot
 from carelens.operators.select import left_lookup, small_side, stack
 from carelens.operators.stats import linear_grid, random_intercept_by, spearman_by
 from carelens.operators.windows import zscore
+from carelens.sources.staging import cut_lineage
 
 SITE = ["program_id", "type", "site_group"]
 
@@ -32,10 +33,12 @@ def site_distribution(scored: DataFrame) -> DataFrame:
 
 
 def _summary(rows: DataFrame, key: str, value: str, digits: int | None) -> DataFrame:
-    total = describe_by(rows, [key], value, "total_")
-    by_type = type_summary(rows, [key], "type", value, ["PC", "SUD"])
-    coded = rows.withColumn("_is_sud", F.when(F.col("type") == "SUD", 1.0).when(F.col("type") == "PC", 0.0))
-    p = random_intercept_by(coded, [key], value, "_is_sud", "site_group").select(
+    """Statistics and test from counts of equal answers, which are kept: the rows are read once."""
+    counts = cut_lineage(rows.groupBy(key, "type", "site_group", value).agg(F.count(F.lit(1)).alias("_answers")))
+    total = describe_by(counts, [key], value, "total_", "_answers")
+    by_type = type_summary(counts, [key], "type", value, ["PC", "SUD"], "_answers")
+    coded = counts.withColumn("_is_sud", F.when(F.col("type") == "SUD", 1.0).when(F.col("type") == "PC", 0.0))
+    p = random_intercept_by(coded, [key], value, "_is_sud", "site_group", "_answers").select(
         key, F.bround("p_val", digits).alias("p_val") if digits else F.col("p_val")
     )
     return natural_left(natural_left(total, by_type), p)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,10 +71,42 @@ def count_answers(scored: DataFrame, keys: list[str]) -> DataFrame:
     return with_total_rows(counts, keys, "subscale", fixed.CATEGORIES, fixed.TOTAL_SUBSCALE)
 
 
+def count_wide_answers(wide: DataFrame, keys: list[str], does_not_apply=0, cutoff=0) -> DataFrame:
+    """The counts of `count_answers`, taken from the wide rows.
+
+    Each answer column adds to the counts of its subscale inside one
+    aggregate, so rows are never multiplied by the number of items: only the
+    sums by key go through the shuffle, and those are made long afterwards.
+    """
+    subscales: dict[str, list[Column]] = {}
+    for _, item, subscale, reverse in fixed.SURVEY_ITEMS:
+        if item in wide.columns:
+            score = oriented(centred(F.col(item), does_not_apply), F.lit(reverse))
+            subscales.setdefault(subscale, []).append(category(score, cutoff))
+
+    def counted(cats, wanted):
+        return F.sum(reduce(lambda a, b: a + b, [F.when(c == wanted, 1).otherwise(0) for c in cats]))
+
+    def summed(name):
+        return F.aggregate("_rows", F.lit(0).cast("bigint"), lambda acc, r: acc + r[name])
+
+    rows = [
+        F.struct(F.lit(s).alias("subscale"), *[counted(cats, c).alias(c) for c in fixed.CATEGORIES])
+        for s, cats in sorted(subscales.items())
+    ]
+    sums = wide.groupBy(*keys).agg(F.array(*rows).alias("_rows"))
+    total = F.struct(
+        F.lit(fixed.TOTAL_SUBSCALE).alias("subscale"),
+        *[summed(c).alias(c) for c in fixed.CATEGORIES],
+    )
+    long = sums.select(*keys, F.explode(F.concat("_rows", F.array(total))).alias("_r")).select(*keys, "_r.*")
+    # a subscale nobody answered has no row
+    return long.filter(reduce(lambda a, b: a + b, [F.col(c) for c in fixed.CATEGORIES]) > 0)
+
+
 def survey_scoring(wide: DataFrame, does_not_apply=0, cutoff=0) -> DataFrame:
     """Stacked survey exports to counts by month, site, type and subscale."""
-    keys = ["date", "program_id", "type"]
-    return count_answers(score_answers(drop_withdrawn(wide), keys, does_not_apply, cutoff), keys)
+    return count_wide_answers(drop_withdrawn(wide), ["date", "program_id", "type"], does_not_apply, cutoff)
 
 
 def collapse_sites(scored: DataFrame, sites: list[str], site: str, group: str, kind="PC", value="raw_value") -> DataFrame:

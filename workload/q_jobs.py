@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from carelens import fixed
 from carelens.operators.ordered import find_hot
-from carelens.operators.select import drop_withdrawn
+from carelens.operators.select import drop_withdrawn, small_side
 from carelens.plans import archive, baseline, combine, integration, reach, registry, reports, summaries, survey, tables
 from carelens.plans import patients as P
 from workload.q_groups import FLAGS_SQL, IDS_SQL, REGISTER_SQL, SCORED
@@ -130,7 +130,8 @@ def _(spark, d):
 # ---- patients
 
 def extracts(spark, d):
-    return view(spark, d, "v_visit"), view(spark, d, "v_rx"), view(spark, d, "v_site").select("site_name", "program_id")
+    decoder = view(spark, d, "v_site").select("site_name", "program_id")
+    return view(spark, d, "v_visit"), view(spark, d, "v_rx"), small_side(decoder)
 
 
 def flagged(spark, d):
@@ -260,14 +261,12 @@ def _(spark, d):
 
 @query("job_b4_on_treatment", f"WITH {STUDY_SQL}, {_grid(B4_SQL)} {_LONG_OUT}")
 def _(spark, d):
-    s = study(spark, d)
-    return r6(reach.b4_on_treatment(s, reach.b1_patients(s)))
+    return r6(reach.b4_on_treatment(study(spark, d)))
 
 
 @query("job_c1_within_72h", f"WITH {STUDY_SQL}, {_grid(C1_SQL)} {_LONG_OUT}")
 def _(spark, d):
-    s = study(spark, d)
-    return r6(reach.c1_fast_access(s, reach.b2_new_patients(s)))
+    return r6(reach.c1_fast_access(study(spark, d)))
 
 
 def _named(counts: str, n: int) -> str:

@@ -30,10 +30,12 @@ class Study:
 
 
 def build_study(visits, rx, decoder, start: str = fixed.STUDY_START, keep: bool = True) -> Study:
-    """Run the patient steps.  ``keep`` writes the two study tables, which all measures read."""
+    """Run the patient steps.  ``keep`` writes the tables that several later steps read."""
     decoder = small_side(decoder)
     balance = P.measure_balance(visits, rx, decoder)
     ids = P.patient_ids(visits, decoder, balance)
+    if keep:
+        ids = stage(ids, "patient_ids")
     rx_flags = P.prescription_flags(rx, ids, balance)
     v_flags = P.visit_flags(visits, ids, rx_flags, balance)
     if keep:

@@ -38,7 +38,7 @@ def category(score: Column, cutoff=0) -> Column:
 
 def raw_value(value: Column) -> Column:
     """Answer on the 1-7 scale as given; 'does not apply' is null."""
-    return if_else(value == fixed.DOES_NOT_APPLY, F.lit(None).cast("int"), value)
+    return F.nullif(value, F.lit(fixed.DOES_NOT_APPLY))
 
 
 def score_answers(wide: DataFrame, ids: list[str], does_not_apply=0, cutoff=0) -> DataFrame:
@@ -50,17 +50,18 @@ def score_answers(wide: DataFrame, ids: list[str], does_not_apply=0, cutoff=0) -
     """
     items = pick_columns(wide, prefix="cdi_")
     long = melt(wide.select(*ids, *items), ids, items, "item", "value", drop_null=True)
-    dictionary = F.broadcast(fixed.scoring_dictionary(wide.sparkSession))  # 42 rows
-    known = left_lookup(long, dictionary.withColumn("_key", F.col("item")).drop("item"), [("item", "_key")])
+    dictionary = fixed.scoring_dictionary(wide.sparkSession).withColumns(
+        {"_key": F.col("item"), "level": nth_part(F.col("item"), 2), "_sign": F.when(F.col("isReverse"), -1).otherwise(1)}
+    )
+    known = left_lookup(long, F.broadcast(dictionary.drop("item")), [("item", "_key")])  # 42 rows
     value = F.col("value")
-    return known.withColumn("scaled_value", oriented(centred(value, does_not_apply), F.col("isReverse"))).withColumns(
+    scored = known.withColumn("scaled_value", centred(value, does_not_apply) * F.col("_sign")).drop("_sign")
+    applies = value != fixed.DOES_NOT_APPLY
+    return scored.withColumns(
         {
             "cat": category(F.col("scaled_value"), cutoff),
             "raw_value": raw_value(value),
-            "oriented_value": if_else(
-                value == fixed.DOES_NOT_APPLY, F.lit(None).cast("int"), F.col("scaled_value") + fixed.LIKERT_MIDPOINT
-            ),
-            "level": nth_part(F.col("item"), 2),
+            "oriented_value": F.when(applies, F.col("scaled_value") + fixed.LIKERT_MIDPOINT),
         }
     )
 
@@ -78,23 +79,30 @@ def count_wide_answers(wide: DataFrame, keys: list[str], does_not_apply=0, cutof
     aggregate, so rows are never multiplied by the number of items: only the
     sums by key go through the shuffle, and those are made long afterwards.
     """
-    subscales: dict[str, list[Column]] = {}
-    for _, item, subscale, reverse in fixed.SURVEY_ITEMS:
-        if item in wide.columns:
-            score = oriented(centred(F.col(item), does_not_apply), F.lit(reverse))
-            subscales.setdefault(subscale, []).append(category(score, cutoff))
+    items = [(i, s, r) for _, i, s, r in fixed.SURVEY_ITEMS if i in wide.columns]
+    # scores first, so that each is computed once and not inside every count
+    scores = wide.select(
+        *keys, *[oriented(centred(F.col(i), does_not_apply), F.lit(r)).alias(i) for i, _, r in items]
+    )
+
+    def counted(subscale, test):
+        hits = [F.when(test(F.col(i)), 1).otherwise(0) for i, s, _ in items if s == subscale]
+        return F.sum(reduce(lambda a, b: a + b, hits))
 
-    def counted(cats, wanted):
-        return F.sum(reduce(lambda a, b: a + b, [F.when(c == wanted, 1).otherwise(0) for c in cats]))
+    tests = {
+        "barriers": lambda c: c < -cutoff,
+        "neutral": lambda c: c.between(-cutoff, cutoff),
+        "facilitators": lambda c: c > cutoff,
+    }
 
     def summed(name):
         return F.aggregate("_rows", F.lit(0).cast("bigint"), lambda acc, r: acc + r[name])
 
     rows = [
-        F.struct(F.lit(s).alias("subscale"), *[counted(cats, c).alias(c) for c in fixed.CATEGORIES])
-        for s, cats in sorted(subscales.items())
+        F.struct(F.lit(s).alias("subscale"), *[counted(s, tests[c]).alias(c) for c in fixed.CATEGORIES])
+        for s in sorted({s for _, s, _ in items})
     ]
-    sums = wide.groupBy(*keys).agg(F.array(*rows).alias("_rows"))
+    sums = scores.groupBy(*keys).agg(F.array(*rows).alias("_rows"))
     total = F.struct(
         F.lit(fixed.TOTAL_SUBSCALE).alias("subscale"),
         *[summed(c).alias(c) for c in fixed.CATEGORIES],

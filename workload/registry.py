@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelens.session import tune
 from workload.views import with_views
 
 QUERIES: dict = {}
@@ -18,7 +19,7 @@ def query(key: str, sql: str | None = None):
     def keep(fn):
         if key in QUERIES:
             raise ValueError(f"{key} registered twice")
-        QUERIES[key] = fn
+        QUERIES[key] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
         if sql is not None:
             CHECKS[key] = with_views(sql)
         return fn

@@ -50,7 +50,7 @@ FROM {nation}""",
     "v_survey": f"""
 SELECT o.o_orderkey AS response_id, s.program_id, s.type,
        {_MON.format(d="o.o_orderdate")} || '_' || CAST(year(o.o_orderdate) AS STRING) || '_arm_1' AS event_name,
-       CAST(date_trunc('month', o.o_orderdate) AS DATE) AS date,
+       CAST(CAST(o.o_orderdate AS DATE) - CAST(day(o.o_orderdate) - 1 AS INT) AS DATE) AS date,
        CASE WHEN o.o_orderkey % 13 = 0 THEN NULL WHEN o.o_orderkey % 17 = 0 THEN 5 ELSE 1 END AS imp_support,
        {", ".join(f"{_likert(i + 1, 8)} AS {c}" for i, c in enumerate(ITEMS))}
 FROM {_JOINED}""",
@@ -75,7 +75,7 @@ SELECT o.o_orderkey AS visit_id, o.o_custkey AS id_from_site, s.site_name,
        CAST(CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 11 AS INT) - 6 AS DATE) AS encounter_date
 FROM {_JOINED}""",
     "v_month": f"""
-SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS date, s.program_id, s.type, s.n_regionkey,
+SELECT CAST(CAST(o.o_orderdate AS DATE) - CAST(day(o.o_orderdate) - 1 AS INT) AS DATE) AS date, s.program_id, s.type, s.n_regionkey,
        count(*) AS b1, count(DISTINCT o.o_custkey) AS b2,
        CAST(sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS b4,
        CAST(sum(CASE WHEN o.o_orderstatus = 'O' THEN 1 END) AS BIGINT) AS c1_n

@@ -41,7 +41,8 @@ def corr_distance(wide: DataFrame, key: str, features: list[str], blocks: int =
     brings them together, and each pair is formed once, in one task of many.
     Raise ``blocks`` with the number of sites.
     """
-    profiles = unit_profiles(wide, key, features).withColumn("_b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    profiles = cut_lineage(unit_profiles(wide, key, features).withColumn("_b", block))  # one row per site
     rows = profiles.select(
         F.col(key).alias("_p"), F.col("profile").alias("_u"), F.col("_b").alias("_i"),
         F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1))).alias("_j"),

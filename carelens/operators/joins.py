@@ -76,12 +76,14 @@ def asof_hot_input(left, right, key, left_date, right_date, left_id) -> DataFram
 
 
 def replace_by_key(base: DataFrame, new: DataFrame, key: str, keep_prefix: str, name: str = "variable") -> DataFrame:
-    """Rows of ``base`` give way to ``new`` for keys ``new`` has; names with ``keep_prefix`` stay."""
-    kept = F.col(name).startswith(keep_prefix)
-    listed = small_side(new.select(F.col(key).alias("_key")).distinct())
-    rest = base.filter(~F.coalesce(kept, F.lit(False)))
-    rest = rest.join(listed, rest[key].eqNullSafe(listed["_key"]), "left_anti")
-    return new.unionByName(base.filter(kept)).unionByName(rest)
+    """Rows of ``base`` give way to ``new`` for keys ``new`` has; names with ``keep_prefix`` stay.
+
+    Keys of ``new`` are marked on ``base`` by one left join, so ``base`` is read once.
+    """
+    listed = small_side(new.select(F.col(key).alias("_key"), F.lit(True).alias("_replaced")).distinct())
+    marked = base.join(listed, base[key].eqNullSafe(listed["_key"]), "left")
+    stays = F.coalesce(F.col(name).startswith(keep_prefix), F.lit(False)) | F.col("_replaced").isNull()
+    return new.unionByName(marked.filter(stays).select(*base.columns))
 
 
 def restrict_to_cohort(events: DataFrame, cohort: DataFrame, key: str, date: str, entry: str) -> DataFrame:

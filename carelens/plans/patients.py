@@ -18,7 +18,16 @@ from carelens.functions.text import contains_any, parse_number
 from carelens.operators.joins import asof_forward, asof_hot_input, overlap_months, restrict_to_cohort
 from carelens.operators.ordered import Hot, cut_heavy, draw
 from carelens.operators.select import left_lookup
-from carelens.operators.windows import assign_ids, episodes, first_per_key, flag_breaks, flag_first, flag_restarts, flag_starts
+from carelens.operators.windows import (
+    assign_ids,
+    episodes,
+    first_per_key,
+    flag_breaks,
+    flag_first,
+    flag_restarts,
+    flag_starts,
+)
+from carelens.sources.staging import stage
 
 PATIENT = "id_from_site"
 RX_ORDER = ["rx_order_date", "rx_id"]
@@ -56,6 +65,8 @@ def patient_ids(visits: DataFrame, decoder: DataFrame, balance: Balance = Balanc
     """Old id to corrected id, from the first visit and its site."""
     first = first_per_key(visits.select(PATIENT, "encounter_date", "visit_id", "site_name"), PATIENT, VISIT_ORDER)
     sited = left_lookup(first, decoder.select("site_name", "program_id"), [("site_name", "site_name")])
+    if balance.site is not None:
+        sited = stage(sited, "first_visits")  # cutting by site reads its input twice
     return assign_ids(sited, PATIENT, "program_id", "encounter_date", "pr_id", balance.site).select(PATIENT, "pr_id")
 
 

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelens import fixed
 from carelens.functions.dates import month_label
 from carelens.functions.nulls import pct_zero_default
 from carelens.functions.text import list_position
-from carelens.operators.aggs import _join_groups, group_any
 from carelens.operators.reshape import pivot
 from carelens.operators.select import label
 
-MOUD_VARIABLES = ["reaim_b1", "reaim_b2", "reaim_b4", "reaim_b4p", "reaim_b5", "reaim_b5p"]
+OLDER = {"denom": "reaim_b1", "numer": "reaim_b4", "percent": "reaim_b4p"}
+NEWER = {"denom": "reaim_b2", "numer": "reaim_b5", "percent": "reaim_b5p"}
 
 
 def report_moud(long: DataFrame) -> DataFrame:
@@ -21,24 +21,28 @@ def report_moud(long: DataFrame) -> DataFrame:
 
     A site that reports b5p uses the newer measures.  The position of the
     target label depends on the percent of the site's latest month.
+
+    The long table is read once, into one row per site and month; what a site
+    needs from its other months is then a window over those few rows.
     """
-    rows = long.filter(F.col("variable").isin(MOUD_VARIABLES))
-    rows = group_any(rows, ["program_id"], F.col("variable") == "reaim_b5p", "new_measures")
-    new, v = F.col("new_measures"), F.col("variable")
-    role = (
-        F.when(new & (v == "reaim_b2"), "denom").when(new & (v == "reaim_b5"), "numer").when(new & (v == "reaim_b5p"), "percent")
-        .when(~new & (v == "reaim_b1"), "denom").when(~new & (v == "reaim_b4"), "numer").when(~new & (v == "reaim_b4p"), "percent")
-    )
-    known = rows.withColumn("graph_var", role).filter("graph_var is not null")
-    wide = pivot(known, ["program_id", "date"], "graph_var", "value", ["numer", "denom", "percent"])
-    last = wide.groupBy("program_id").agg(
-        F.max("date").alias("target_x"), F.max_by(F.struct(F.col("percent").alias("p")), "date").alias("_last")
+    v, names = F.col("variable"), [*OLDER.values(), *NEWER.values()]
+    wide = long.filter(v.isin(names)).groupBy("program_id", "date").agg(
+        *[F.max(F.when(v == n, F.col("value"))).alias(n) for n in names],
+        F.bool_or(v == NEWER["percent"]).alias("_says_newer"),
+        F.bool_or(v.isin(list(OLDER.values()))).alias("_older"),
+        F.bool_or(v.isin(list(NEWER.values()))).alias("_newer"),
     )
-    p = F.col("_last.p")
-    last = last.select(
-        "program_id", "target_x", F.when(p > fixed.TARGET_PERCENT, 65).when(p.isNotNull(), 85).alias("target_y")
+    site = Window.partitionBy("program_id")  # months of one site
+    newer = F.max("_says_newer").over(site)
+    picked = wide.withColumn("_use", newer).filter(F.when(F.col("_use"), F.col("_newer")).otherwise(F.col("_older")))
+    picked = picked.select(
+        "program_id", "date",
+        *[F.when(F.col("_use"), F.col(NEWER[r])).otherwise(F.col(OLDER[r])).alias(r) for r in ("numer", "denom", "percent")],
     )
-    return _join_groups(wide, last, ["program_id"])
+    last = F.max_by(F.struct("percent"), "date").over(site)["percent"]
+    return picked.withColumns({"target_x": F.max("date").over(site), "_last": last}).withColumn(
+        "target_y", F.when(F.col("_last") > fixed.TARGET_PERCENT, 65).when(F.col("_last").isNotNull(), 85)
+    ).drop("_last")
 
 
 def report_fast_access(long: DataFrame) -> DataFrame:
@@ -46,9 +50,8 @@ def report_fast_access(long: DataFrame) -> DataFrame:
     rows = long.filter(F.col("variable").isin("reaim_c1_n", "reaim_b2"))
     wide = pivot(rows, ["program_id", "date"], "variable", "value", ["reaim_c1_n", "reaim_b2"])
     n, d = F.col("reaim_c1_n"), F.col("reaim_b2")
-    text = F.concat(*[x for x in (F.coalesce(n.cast("bigint").cast("string"), F.lit("NA")), F.lit("/"),
-                                  F.coalesce(d.cast("bigint").cast("string"), F.lit("NA")))])
-    return wide.withColumns({"percent72h": pct_zero_default(n, d), "label": text})
+    parts = [F.coalesce(c.cast("bigint").cast("string"), F.lit("NA")) for c in (n, d)]
+    return wide.withColumns({"percent72h": pct_zero_default(n, d), "label": F.concat_ws("/", *parts)})
 
 
 def report_linkage(long: DataFrame) -> DataFrame:

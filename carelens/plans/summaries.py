@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelens import fixed
 from carelens.functions.nulls import recode
-from carelens.operators.aggs import describe_by, latest_per_key, type_summary
+from carelens.operators.aggs import describe_by, type_summary
 from carelens.operators.joins import natural_left
 from carelens.operators.reshape import crosstab, pivot
 from carelens.operators.select import left_lookup, small_side, stack
@@ -126,7 +126,8 @@ def regression_grid(inputs: DataFrame) -> DataFrame:
 def site_features(scored: DataFrame, feature: str, names: list[str], distinct: bool) -> DataFrame:
     """Site by feature means, standardised; of sites with equal features the lowest id stays."""
     means = scored.groupBy("program_id", feature).agg(F.avg("raw_value").alias("mean_likert"))
-    scaled = zscore(pivot(means, ["program_id"], feature, "mean_likert", names), names)
+    wide = cut_lineage(pivot(means, ["program_id"], feature, "mean_likert", names))  # one row per site
+    scaled = zscore(wide, names)
     if not distinct:
         return scaled
     return scaled.groupBy(*names).agg(F.min("program_id").alias("program_id")).select("program_id", *names)
@@ -140,7 +141,7 @@ def interview_table(info: DataFrame, measures: DataFrame, scored: DataFrame) ->
         .agg(F.avg("raw_value").alias("mean_system_CDI"))
     )
     picked = measures.filter(F.col("variable").isin(fixed.INTERVIEW_VARIABLES))
-    newest = latest_per_key(picked, ["program_id", "variable"], "date")
+    newest = picked.groupBy("program_id", "variable").agg(F.max_by(F.struct("value"), "date")["value"].alias("value"))
     wide = pivot(newest, ["program_id"], "variable", "value", fixed.INTERVIEW_VARIABLES)
     return info.join(wide, "program_id", "left").join(system, "program_id", "full")
 

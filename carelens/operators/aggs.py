@@ -24,22 +24,22 @@ def _join_groups(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _value_counts(df: DataFrame, keys: list[str], col: str, weight: str | None) -> tuple[DataFrame, list[str]]:
-    """How often each value occurs per group, kept as a table so the input is read once."""
+    """How often each value, and none, occurs per group; kept as a table so the input is read once."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    known = df.withColumn("_v", F.col(col).cast("double")).filter(F.col("_v").isNotNull())
-    group = list(keys)
+    valued, group = df.withColumn("_v", F.col(col).cast("double")), list(keys)
     if not group:
-        known, group = known.withColumn("_all", F.lit(1)), ["_all"]
-    return stage(known.groupBy(*group, "_v").agg(n.alias("_n")), "value_counts"), group
+        valued, group = valued.withColumn("_all", F.lit(1)), ["_all"]
+    return stage(valued.groupBy(*group, "_v").agg(n.alias("_n")), "value_counts"), group
 
 
 def _from_counts(counts: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
-    """Moments and quantiles by group of a value-count table.
+    """Moments and quantiles by group of a value-count table, nulls ignored.
 
     A running count over the distinct values shows which value holds each
     wanted rank.  No group is gathered in one place: groups with many
     distinct values are cut by value.
     """
+    counts = counts.filter("_v is not null")
     totals = counts.groupBy(*group).agg(
         F.sum("_n").alias("_total"), (F.sum(F.col("_n") * F.col("_v")) / F.sum("_n")).alias("_mean")
     )
@@ -75,7 +75,7 @@ def _from_counts(counts: DataFrame, group: list[str], probs: dict[str, float]) -
 def summary_from_counts(counts, keys: list[str], value: str, n: str, probs: dict[str, float]) -> DataFrame:
     """mean, sd, min, max and quantiles of a table that says how often each value occurs."""
     known = counts.select(*keys, F.col(value).cast("double").alias("_v"), F.col(n).alias("_n"))
-    return _from_counts(known.filter("_v is not null"), list(keys), probs)
+    return _from_counts(known, list(keys), probs)
 
 
 def quantiles_by(df: DataFrame, keys: list[str], col: str, probs: dict[str, float], weight: str | None = None) -> DataFrame:
@@ -93,7 +93,7 @@ def describe_by(df: DataFrame, keys: list[str], col: str, prefix: str = "", weig
     counts, group = _value_counts(df, keys, col, weight)
     stats = _from_counts(counts, group, {"median": 0.5})
     stats = stats.select(*keys, *[F.col(s).alias(f"{prefix}{s}") for s in ("mean", "sd", "median", "min", "max")])
-    return _join_groups(df.select(*keys).distinct(), stats, keys) if keys else stats
+    return _join_groups(counts.select(*keys).distinct(), stats, keys) if keys else stats
 
 
 def profile(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -101,7 +101,7 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     counts = stage(long.groupBy("column", F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value_counts")
     missing = counts.groupBy("column").agg(F.sum(F.when(F.col("_v").isNull(), F.col("_n")).otherwise(0)).alias("n_null"))
-    stats = _from_counts(counts.filter("_v is not null"), ["column"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    stats = _from_counts(counts, ["column"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
     out = _join_groups(missing, stats, ["column"])
     return out.select("column", "min", "q1", "median", "mean", "q3", "max", "n_null")
 

@@ -65,6 +65,11 @@ def strict(agg, col: Column) -> Column:
     return F.when(F.count(col) == F.count(F.lit(1)), agg(col))
 
 
+def weighted_mean(col: Column, weight: Column) -> Column:
+    """Mean of rows that stand for several answers each, nulls ignored."""
+    return F.try_divide(F.sum(col * weight), F.sum(F.when(col.isNotNull(), weight)))
+
+
 def n_unique(col: Column) -> Column:
     """Distinct values of a group, a missing value counting as one more."""
     return F.count_distinct(col) + F.max(col.isNull().cast("int"))

@@ -6,24 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens import fixed
-from carelens.functions.nulls import recode
+from carelens.functions.nulls import recode, weighted_mean
 from carelens.operators.aggs import describe_by, type_summary
 from carelens.operators.joins import natural_left
-from carelens.operators.reshape import crosstab, pivot
+from carelens.operators.reshape import pivot
 from carelens.operators.select import left_lookup, small_side, stack
 from carelens.operators.stats import linear_grid, random_intercept_by, spearman_by
 from carelens.operators.windows import zscore
+from carelens.plans.survey import weight
 from carelens.sources.staging import cut_lineage
 
 SITE = ["program_id", "type", "site_group"]
 
 
+def _mean(scored: DataFrame, value: str):
+    return weighted_mean(F.col(value), weight(scored))
+
+
 def site_subscale_means(scored: DataFrame, value="raw_value") -> DataFrame:
-    return scored.groupBy(*SITE, "subscale").agg(F.avg(value).alias("subscale_val"))
+    return scored.groupBy(*SITE, "subscale").agg(_mean(scored, value).alias("subscale_val"))
 
 
 def site_total_means(scored: DataFrame, value="raw_value") -> DataFrame:
-    return scored.groupBy(*SITE).agg(F.avg(value).alias("total_val"))
+    return scored.groupBy(*SITE).agg(_mean(scored, value).alias("total_val"))
 
 
 def site_distribution(scored: DataFrame) -> DataFrame:
@@ -34,7 +39,7 @@ def site_distribution(scored: DataFrame) -> DataFrame:
 
 def _summary(rows: DataFrame, key: str, value: str, digits: int | None) -> DataFrame:
     """Statistics and test from counts of equal answers, which are kept: the rows are read once."""
-    counts = cut_lineage(rows.groupBy(key, "type", "site_group", value).agg(F.count(F.lit(1)).alias("_answers")))
+    counts = cut_lineage(rows.groupBy(key, "type", "site_group", value).agg(F.sum(weight(rows)).alias("_answers")))
     total = describe_by(counts, [key], value, "total_", "_answers")
     by_type = type_summary(counts, [key], "type", value, ["PC", "SUD"], "_answers")
     coded = counts.withColumn("_is_sud", F.when(F.col("type") == "SUD", 1.0).when(F.col("type") == "PC", 0.0))
@@ -100,7 +105,9 @@ def factor_summary(study: DataFrame) -> DataFrame:
 
 def site_category_shares(scored: DataFrame) -> DataFrame:
     """Percent of each category by site, two digits."""
-    counts = crosstab(scored, ["program_id"], "cat", fixed.CATEGORIES)
+    counts = scored.groupBy("program_id").agg(
+        *[F.sum(F.when(F.col("cat") == c, weight(scored)).otherwise(0)).alias(c) for c in fixed.CATEGORIES]
+    )
     total = sum((F.col(c) for c in fixed.CATEGORIES[1:]), F.col(fixed.CATEGORIES[0]))
     return counts.select(
         "program_id", *[F.bround(F.try_divide(F.col(c), total) * 100, 2).alias(c) for c in fixed.CATEGORIES]
@@ -109,7 +116,7 @@ def site_category_shares(scored: DataFrame) -> DataFrame:
 
 def regression_inputs(scored: DataFrame, measures: DataFrame, date: str) -> DataFrame:
     """Site mean score, percent of each category, and the outcomes of one month."""
-    mean = scored.groupBy("program_id").agg(F.avg("raw_value").alias("mean_likert"))
+    mean = scored.groupBy("program_id").agg(_mean(scored, "raw_value").alias("mean_likert"))
     picked = measures.filter(
         (F.col("date") == F.lit(date).cast("date")) & F.col("variable").isin("reaim_b4", "reaim_b4p")
     )
@@ -125,7 +132,7 @@ def regression_grid(inputs: DataFrame) -> DataFrame:
 
 def site_features(scored: DataFrame, feature: str, names: list[str], distinct: bool) -> DataFrame:
     """Site by feature means, standardised; of sites with equal features the lowest id stays."""
-    means = scored.groupBy("program_id", feature).agg(F.avg("raw_value").alias("mean_likert"))
+    means = scored.groupBy("program_id", feature).agg(_mean(scored, "raw_value").alias("mean_likert"))
     wide = cut_lineage(pivot(means, ["program_id"], feature, "mean_likert", names))  # one row per site
     scaled = zscore(wide, names)
     if not distinct:
@@ -138,7 +145,7 @@ def interview_table(info: DataFrame, measures: DataFrame, scored: DataFrame) ->
     system = (
         scored.filter(F.col("item").contains("outer"))
         .groupBy("program_id")
-        .agg(F.avg("raw_value").alias("mean_system_CDI"))
+        .agg(_mean(scored, "raw_value").alias("mean_system_CDI"))
     )
     picked = measures.filter(F.col("variable").isin(fixed.INTERVIEW_VARIABLES))
     newest = picked.groupBy("program_id", "variable").agg(F.max_by(F.struct("value"), "date")["value"].alias("value"))

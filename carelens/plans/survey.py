@@ -41,15 +41,26 @@ def raw_value(value: Column) -> Column:
     return F.nullif(value, F.lit(fixed.DOES_NOT_APPLY))
 
 
-def score_answers(wide: DataFrame, ids: list[str], does_not_apply=0, cutoff=0) -> DataFrame:
+def weight(scored: DataFrame) -> Column:
+    """How many answers a row of scored answers stands for."""
+    return F.col("answers") if "answers" in scored.columns else F.lit(1)
+
+
+def score_answers(wide: DataFrame, ids: list[str], does_not_apply=0, cutoff=0, counted=False) -> DataFrame:
     """Wide answers to long scored answers.
 
+    ``counted`` first counts equal answers by (ids, item), in the column
+    ``answers``: dictionary and scores then meet a few rows per id instead of
+    every answer.  Tables and summaries read both forms.
+
     Two scores exist side by side: ``raw_value`` is the answer as given,
     ``oriented_value`` has reversed items turned; both are null for
     'does not apply', which the category treats as ``does_not_apply``.
     """
     items = pick_columns(wide, prefix="cdi_")
     long = melt(wide.select(*ids, *items), ids, items, "item", "value", drop_null=True)
+    if counted:
+        long = long.groupBy(*ids, "item", "value").agg(F.count(F.lit(1)).alias("answers"))
     dictionary = fixed.scoring_dictionary(wide.sparkSession).withColumns(
         {"_key": F.col("item"), "level": nth_part(F.col("item"), 2), "_sign": F.when(F.col("isReverse"), -1).otherwise(1)}
     )

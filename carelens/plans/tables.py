@@ -9,6 +9,7 @@ from carelens import fixed
 from carelens.functions.text import list_position
 from carelens.operators.joins import beside_totals
 from carelens.operators.select import label, stack
+from carelens.plans.survey import weight
 from carelens.sources.staging import cut_lineage
 
 SHARES = ["barriers_percent", "facilitators_percent"]
@@ -21,11 +22,10 @@ def answer_cells(scored: DataFrame) -> DataFrame:
     All tables are sums over these cells, so the answers are read once; the
     cells are sites by questions by categories, whatever the number of answers.
     """
+    w, v = weight(scored), F.col("oriented_value")
     return cut_lineage(
         scored.groupBy("program_id", "type", "subscale", "level", "q_num", "cat").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("oriented_value").alias("score"),
-            F.count("oriented_value").alias("n_score"),
+            F.sum(w).alias("n"), F.sum(v * w).alias("score"), F.sum(F.when(v.isNotNull(), w)).alias("n_score")
         )
     )
 

@@ -18,10 +18,9 @@ LAST_MONTH = "2000-09-01"
 IMAT_DATE = "2000-04-01"
 
 
-def active(spark, d):
-    """Scored answers of sites still in the study."""
-    ids = ["program_id", "type", "date"]
-    return survey.score_answers(drop_withdrawn(view(spark, d, "v_survey")), ids)
+def active(spark, d, ids=("program_id", "type"), counted=True):
+    """Scored answers of sites still in the study, equal answers counted."""
+    return survey.score_answers(drop_withdrawn(view(spark, d, "v_survey")), list(ids), counted=counted)
 
 
 @query("job_survey_scoring", f"""
@@ -345,7 +344,8 @@ WITH {_ACTIVE} SELECT program_id, count(*) AS n, round(avg(raw_value), 6) AS mea
   UNION ALL SELECT 'id89', avg(raw_value) FROM active WHERE CAST(substr(program_id, 3) AS INT) BETWEEN 53 AND 62 GROUP BY item, q_num, subscale, date)
 GROUP BY program_id""")
 def _(spark, d):
-    merged = survey.collapse_sites(grouped(spark, d), fixed.COLLAPSED_SITES, "id89", "PC_group1")
+    answers = survey.with_site_group(active(spark, d, ["program_id", "type", "date"], counted=False))
+    merged = survey.collapse_sites(answers, fixed.COLLAPSED_SITES, "id89", "PC_group1")
     return r6(merged.groupBy("program_id").agg(F.count(F.lit(1)).alias("n"), F.avg("raw_value").alias("mean")))
 
 
@@ -370,7 +370,8 @@ def _(spark, d):
 def factors(spark, d):
     sites = view(spark, d, "v_site")
     info = baseline.program_info(sites.filter("type = 'SUD'"), sites.filter("type = 'PC'"))
-    return summaries.community_factors(active(spark, d), integration.imat_items(view(spark, d, "v_imat")), info)
+    answers = active(spark, d, ["program_id", "type", "date"])
+    return summaries.community_factors(answers, integration.imat_items(view(spark, d, "v_imat")), info)
 
 
 # ---- survey tables

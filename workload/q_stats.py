@@ -106,7 +106,7 @@ WITH {_SITES}, {_reml_sql(_ANSWER_ROWS, "q_num")}
 SELECT q_num, round(estimate, 5) + 0.0 AS estimate, round(t_value, 5) + 0.0 AS t_value, n_clusters, round({_p("t_value", "n_clusters - 2")}, 5) + 0.0 AS p_val FROM reml""")
 def _(spark, d):
     coded = grouped(spark, d).withColumn("_is_sud", (F.col("type") == "SUD").cast("double"))
-    return r6(stats.random_intercept_by(coded, ["q_num"], "raw_value", "_is_sud", "site_group"), 5)
+    return r6(stats.random_intercept_by(coded, ["q_num"], "raw_value", "_is_sud", "site_group", "answers"), 5)
 
 
 def _five(value: str, source: str, key: str) -> str:

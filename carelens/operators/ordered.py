@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 SAMPLES_PER_SLICE = 10
 MIN_SAMPLE = 2_000
 MAX_SAMPLE = 200_000
+ROWS_WORTH_CUTTING = 100
 
 
 @dataclass(frozen=True)
@@ -90,9 +91,14 @@ def find_hot(df: DataFrame, keys: list[str], order: list[str], slice_rows: int =
     """Heavy keys of ``df`` and the bounds that cut them.
 
     Call it on the raw table the key comes from: two narrow scans, no shuffle.
+    A table of a few hundred rows per slice wanted is not worth cutting: all of
+    it fits one task.
     """
     narrow = df.select(*keys, *[c for c in order if c not in keys])
-    return cut_heavy(narrow, keys, order, draw(narrow), slice_rows)
+    rows = narrow.count()
+    if rows <= ROWS_WORTH_CUTTING * slice_rows:
+        return None
+    return cut_heavy(narrow, keys, order, draw(narrow, rows), slice_rows)
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carelens.llm import topk, urls, warc
+from carelens.llm import packing, secret_scan, token_counts, topk, urls, warc
 from carelens.llm.common import table
 
 QUERIES: dict = {}
@@ -80,3 +80,18 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 def op7_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules, "page_id", "url")
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op3_secret_scans")
+def op3_secret_scans(spark, sf_dir):
+    return secret_scan.scan_digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))

@@ -187,7 +187,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
             at = np.flatnonzero(dims == d)
             cells = np.floor(scale * np.array(part["_vec"].iloc[at].tolist(), np.float64).reshape(len(at), d))
             wave[int(d)] = (at, ids[at], cells, float(np.abs(cells).max()) if cells.size else 0.0)
-            most = np.abs(cells).sum(axis=1) * norms.get(int(d), 0.0) + 1
+            with np.errstate(over="ignore"):  # infinity, then the whole range of long
+                most = np.abs(cells).sum(axis=1) * norms.get(int(d), 0.0) + 1
             high[at] = np.where(most < 2.0**62, most, 0).astype(np.int64) + np.where(most < 2.0**62, 0, TOP)
         wave_bc = spark.sparkContext.broadcast(wave)
         kth, need = _locate(blocks, wave_bc, -high, high.copy(), k)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carelens.sources.staging import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 PREFIX_HEX = 8  # characters of the digest two sides meet on: 32 bits
@@ -67,6 +69,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, key: str, url: str, default: s
         .groupBy("_host", "_head")
         .agg(F.max(F.struct(F.length(rule), F.length("r_host"), (F.col("r_verdict") == "block").alias("strict"), rule.alias("rule"), "r_verdict")).alias("_won"))
     )
-    return pages.join(won, ["_host", "_head"], "left").select(
+    # written first: its size is then known, and a very common (host, path) can be split in the join
+    return pages.join(stage(won, "won"), ["_host", "_head"], "left").select(
         *out, F.col("_won.rule").alias("rule"), F.coalesce("_won.r_verdict", F.lit(default)).alias("verdict")
     )

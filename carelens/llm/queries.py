@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carelens.llm import packing, secret_scan, token_counts, topk, urls, warc
+from carelens.llm import langid, mixing, packing, quality, secret_scan, token_counts, topk, urls, warc
 from carelens.llm.common import table
 
 QUERIES: dict = {}
@@ -95,3 +95,47 @@ def op3_secret_scans(spark, sf_dir):
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark, sf_dir):
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+MAX_REPEATS = 2.0
+
+
+@query(
+    "op6_source_mixing",
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+    s AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS n FROM d GROUP BY 1),
+    m AS (SELECT CAST(max(n) AS DOUBLE) AS most, CAST(min(n) FILTER (n > 0) AS DOUBLE) AS least FROM s),
+    b(step, low, high) AS (
+        SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+        UNION ALL
+        SELECT step + 1, CASE WHEN fits THEN low ELSE mid END, CASE WHEN fits THEN mid ELSE high END
+        FROM (SELECT b.*, (low + high) / 2 AS mid, pow(least / most, (low + high) / 2 - 1) <= 2 AS fits FROM b, m WHERE step < 32)),
+    a AS (SELECT CASE WHEN pow(least / most, -1) <= 2 THEN 0 ELSE high END AS a, most FROM b, m WHERE step = 32),
+    p AS (SELECT source, n, CASE WHEN n > 0 THEN CAST(floor(n * pow(n / most, a - 1)) AS BIGINT) ELSE 0 END AS budget FROM s, a),
+    w AS (SELECT source, CASE WHEN n > 0 THEN budget // n ELSE 1 END AS whole, CASE WHEN n > 0 THEN budget % n ELSE 0 END AS rest FROM p),
+    k AS (
+        SELECT d.*, whole, rest, sum(n_tokens) OVER (
+                   PARTITION BY d.source ORDER BY md5('mix:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), ''))
+                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+        FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source),
+    t AS (SELECT *, unnest(range(whole + CASE WHEN rest > 0 AND running <= rest THEN 1 ELSE 0 END)) AS pass FROM k),
+    o AS (SELECT *, md5('mix:' || pass || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM t)
+    SELECT doc_id, source, n_tokens, CAST(pass AS INTEGER) AS pass,
+           CAST(floor(CAST('0x' || left(place, 8) AS BIGINT) * floor(sqrt((SELECT count(*) FROM d))) / 4294967296) AS BIGINT) AS block, place
+    FROM o
+    """,
+)
+def op6_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), max_repeats=MAX_REPEATS)
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    return langid.train_and_identify(table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -39,3 +40,9 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
     )
+
+
+def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in small parts, so that only a few texts are Python objects at a time."""
+    for s in range(0, b.num_rows, rows):
+        yield b.slice(s, rows)

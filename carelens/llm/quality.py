@@ -9,7 +9,8 @@ from carelens.sources.staging import stage
 
 # Fixed values of the base rules.
 SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = r"[#*$%&|<>]"
+WORD = r"[^\x20\x09-\x0D]"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of words within repeated windows
 
@@ -19,50 +20,55 @@ TRUSTED = 50_000  # documents the target is learned from, about; the raw model c
 THRESHOLD = -0.08  # nats per n-gram: on average a twelfth less likely as a trusted text than as any
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+def _parts(text: Column) -> Column:
+    """The text cut at every white space character; searches for single bytes are much faster here than patterns."""
+    for c in SPACES[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.split(text, " ", -1)
 
 
 def _from(array: Column, start: int) -> Column:
     return F.slice(array, start, F.greatest(F.size(array), F.lit(1)))
 
 
-def _windows(words: Column) -> Column:
-    """All runs of three words, as text; words hold no space."""
-    rows = F.arrays_zip(words.alias("a"), _from(words, 2).alias("b"), _from(words, 3).alias("c"))
-    return F.transform(F.slice(rows, 1, F.greatest(F.size(words) - 2, F.lit(0))), lambda r: F.concat_ws(" ", r["a"], r["b"], r["c"]))
+def _with_hashes(rows: DataFrame) -> DataFrame:
+    """Add ``_words``, the hashes ``_ones`` of the words and ``_twos`` of each word with its follower (or the end).
 
+    Each step is a column of its own: an expression within a function of array elements is evaluated anew each time.
+    """
+    rows = rows.withColumn("_words", F.array_remove("_parts", ""))
+    rows = rows.withColumn("_ones", F.transform("_words", lambda w: F.xxhash64(w)))
+    return rows.withColumn("_twos", F.zip_with("_ones", _from(F.col("_ones"), 2), lambda a, b: F.xxhash64(a, b)))
 
-def repeated_words(windows: Column) -> Column:
-    """Words within windows that occur more than once.
 
-    Windows are sorted with their places; equal neighbours are the repeated ones.  Of the repeated places in order,
-    each covers the words up to the next one, three at most.  Nothing is compared with everything.
+def _with_repeats(rows: DataFrame) -> DataFrame:
+    """Add ``n_repeat_words``, the words within three-word windows that occur more than once.
+
+    Without two windows of the same hash there are none.  Else the windows are sorted with their places, by hash, then
+    by the words themselves; equal neighbours are the repeated ones.  Of the repeated places in order, each covers the
+    words up to the next one, three at most.  Nothing is compared with everything.
     """
-    placed = F.array_sort(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    beside = F.arrays_zip(placed.alias("a"), _from(placed, 2).alias("b"))
-    # a pair of equal neighbours marks both places
-    pairs = F.filter(beside, lambda r: r["a"]["w"] == r["b"]["w"])
-    marked = F.array_sort(F.array_distinct(F.concat(F.transform(pairs, lambda r: r["a"]["i"]), F.transform(pairs, lambda r: r["b"]["i"]))))
+    n = F.greatest(F.size("_words") - 2, F.lit(0))
+    rows = rows.withColumn("_threes", F.slice(F.zip_with("_twos", _from(F.col("_ones"), 3), lambda p, c: F.xxhash64(p, c)), 1, n))
+    zipped = F.arrays_zip(F.col("_words").alias("a"), _from(F.col("_words"), 2).alias("b"), _from(F.col("_words"), 3).alias("c"))
+    placed = F.transform(
+        F.zip_with(F.slice(zipped, 1, n), "_threes", lambda r, h: F.struct(h.alias("h"), F.concat_ws(" ", r["a"], r["b"], r["c"]).alias("w"))),
+        lambda x, i: F.struct(x["h"].alias("h"), x["w"].alias("w"), i.alias("i")),
+    )
+    several = F.size(F.array_distinct("_threes")) < F.size("_threes")
+    rows = rows.withColumn("_placed", F.when(several, F.sort_array(placed)))
+    same = F.filter(
+        F.arrays_zip(F.col("_placed").alias("a"), _from(F.col("_placed"), 2).alias("b")),
+        lambda r: (r["a"]["h"] == r["b"]["h"]) & (r["a"]["w"] == r["b"]["w"]),
+    )
+    rows = rows.withColumn("_same", F.transform(same, lambda r: F.struct(r["a"]["i"].alias("x"), r["b"]["i"].alias("y"))))
+    marked = F.sort_array(F.array_distinct(F.concat(F.transform("_same", lambda r: r["x"]), F.transform("_same", lambda r: r["y"]))))
     covered = F.aggregate(
         marked, F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda s, i: F.struct((s["n"] + F.least(F.lit(3), i - s["last"])).alias("n"), i.alias("last")),
         lambda s: s["n"],
     )
-    return covered
-
-
-def grams(words: Column) -> Column:
-    """Buckets of the single words and the pairs of neighbours."""
-    pairs = F.slice(F.arrays_zip(words.alias("a"), _from(words, 2).alias("b")), 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.concat(
-        F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")),
-        F.transform(pairs, lambda p: F.pmod(F.xxhash64(p["a"], p["b"]), F.lit(BUCKETS)).cast("int")),
-    )
+    return rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
 
 
 def learn(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -73,11 +79,11 @@ def learn(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     repeats) is joined as it comes.
     """
     known = trusted.select(F.col(trusted.columns[0]).alias("_trusted"))
-    rows = docs.select(F.col(key).alias("_key"), words(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
-    rows = rows.join(known, F.col("_key") == F.col("_trusted"), "left")
+    rows = docs.select(F.col(key).alias("_key"), _parts(F.coalesce(F.col(text), F.lit(""))).alias("_parts"))
+    rows = _with_hashes(rows.join(known, F.col("_key") == F.col("_trusted"), "left"))
     counted = (
-        rows.select(F.explode(grams(F.col("_words"))).alias("_b"), F.col("_trusted").isNotNull().cast("long").alias("_t"))
-        .groupBy("_b").agg(F.count("*").alias("_raw"), F.sum("_t").alias("_target"))
+        rows.select(F.explode(F.concat("_ones", "_twos")).alias("_h"), F.col("_trusted").isNotNull().cast("long").alias("_t"))
+        .groupBy(F.pmod("_h", F.lit(BUCKETS)).alias("_b")).agg(F.count("*").alias("_raw"), F.sum("_t").alias("_target"))
     )
     spark = docs.sparkSession
     every = spark.range(0, BUCKETS, 1, 1).withColumnRenamed("id", "_bucket")  # the model's size, not the data's
@@ -101,31 +107,25 @@ def trusted_documents(labels: DataFrame, bound: int = TRUSTED, key: str = "doc_i
 def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr, kept.
 
-    ``llr`` is the mean over a document's single words and pairs of neighbours of the log ratio of their buckets'
+    ``llr`` is the mean over a document's words, alone and with their followers, of the log ratio of their buckets'
     probabilities, target over raw; a document is kept when no base rule fails it and ``llr`` is not under the
     threshold, the same for all.  A missing or empty text has no words and fails; a missing key stays; repeated rows
     give repeated rows; an empty table gives an empty result; other columns are ignored.  Rows are independent: the
     model is one row of fixed size, and nothing of a document is shuffled.
     """
     rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    lines = F.filter(F.split("_text", "\n", -1), lambda x: _without(x, SPACES) != "")
     read = rows.select(
-        "_key",
-        words(F.col("_text")).alias("_words"),
-        F.length(_without(F.col("_text"), SPACES)).cast("long").alias("word_chars"),
-        (F.length("_text") - F.length(_without(F.col("_text"), SYMBOLS))).cast("long").alias("n_symbols"),
-        lines.alias("_lines"),
+        "_key", F.length("_text").alias("_length"), _parts(F.col("_text")).alias("_parts"),
+        F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(WORD)).alias("_lines"),
     )
+    read = _with_repeats(_with_hashes(read)).withColumn("_ratios", ratios.scalar())
+    add = lambda s, h: s + F.get("_ratios", F.pmod(h, F.lit(BUCKETS)).cast("int"))
     read = read.select(
-        "_key", "word_chars", "n_symbols", F.size("_words").cast("long").alias("n_words"),
+        "_key", "n_symbols", "n_repeat_words", F.size("_words").cast("long").alias("n_words"),
+        (F.col("_length") - F.size("_parts") + 1).cast("long").alias("word_chars"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        _windows(F.col("_words")).alias("_windows"), grams(F.col("_words")).alias("_grams"),
-    )
-    several = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    read = read.withColumn("_ratios", ratios.scalar()).select(
-        "_key", "word_chars", "n_symbols", "n_words", "n_dup_lines",
-        F.when(several, repeated_words(F.col("_windows"))).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.aggregate(F.transform("_grams", lambda b: F.get("_ratios", b)), F.lit(0.0), lambda s, x: s + x).alias("_sum"), F.size("_grams").alias("_n"),
+        F.aggregate("_twos", F.aggregate("_ones", F.lit(0.0), add), add).alias("_sum"), (2 * F.size("_words")).alias("_n"),
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     read = read.withColumn("llr", F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n"))).withColumn("base_failed", failed)

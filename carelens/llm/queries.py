@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carelens.llm import langid, mixing, packing, quality, secret_scan, token_counts, topk, urls, warc
+from carelens.llm import jaccard, langid, mixing, packing, quality, secret_scan, token_counts, topk, urls, warc
 from carelens.llm.common import table
 
 QUERIES: dict = {}
@@ -139,3 +139,8 @@ def op6_source_mixing(spark, sf_dir):
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
     return langid.train_and_identify(table(spark, sf_dir, "documents"))
+
+
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from carelens.llm.common import ship, utf8
 from carelens.sources.staging import stage
 
-CACHED = 500_000  # words a worker remembers with their ids
-BATCH = 512  # texts whose unknown words are encoded together
+CACHED = 200_000  # words a worker remembers with their ids
+BATCH = 128  # texts whose unknown words are encoded together
 CHECK_SPAN = np.dtype("<u4")
 
 PIECES = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())]
@@ -35,14 +35,14 @@ def _tokenizer(path: str):
 _known: dict[str, dict[bytes, bytes]] = {}
 
 
-def encode(texts: list[bytes], path: str, end: int) -> Iterator[bytes]:
+def encode(texts: pa.Array, path: str, end: int) -> Iterator[bytes]:
     """Ids of each text and the end id, as little-endian 32-bit numbers.
 
     The tokenizer drops white space and lets no token span it, so the ids of a text are those of its words.
     """
     known, last = _known.setdefault(path, {}), np.array([end], CHECK_SPAN).tobytes()
     for s in range(0, len(texts), BATCH):
-        words = [t.split() for t in texts[s : s + BATCH]]
+        words = [t.split() for t in utf8(texts.slice(s, BATCH))]
         if len(known) > CACHED:
             known.clear()
         new = list(set().union(*words).difference(known))
@@ -56,7 +56,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, size: int, with
     step = 4 * size
     for b in batches:
         at, rows = [], []
-        for i, ids in enumerate(encode(utf8(b.column(1)), path, end)):
+        for i, ids in enumerate(encode(b.column(1), path, end)):
             for piece, s in enumerate(range(0, len(ids), step)):
                 own = ids[s : s + step]
                 at.append(i)

@@ -16,12 +16,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import batch, ship, utf8
+from carelens.llm.common import batch, ship, slices, utf8
 
 FREQUENT = 65_536  # pre-tokens in the broadcast table, about a megabyte
 SUMMARY = 16_384  # of them that one task proposes
 COUNTING = 131_072  # pre-tokens a task counts at once; beyond that the rare ones are forgotten
-CACHED = 400_000  # pre-tokens a worker remembers besides
+CACHED = 250_000  # pre-tokens a worker remembers besides
 
 COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 SPACE = "▁".encode()  # the library's own sign for a space
@@ -90,10 +90,11 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's most frequent pre-tokens, by counts that forget rare ones when there are too many."""
     counts: Counter = Counter()
     for b in batches:
-        for text in utf8(b.column(0)):
-            counts.update(pretokens(text))
-            if len(counts) > COUNTING:
-                counts = Counter(dict(heapq.nlargest(COUNTING // 4, counts.items(), key=lambda x: x[1])))
+        for part in slices(b):
+            for text in utf8(part.column(0)):
+                counts.update(pretokens(text))
+                if len(counts) > COUNTING:
+                    counts = Counter(dict(heapq.nlargest(COUNTING // 4, counts.items(), key=lambda x: x[1])))
     top = heapq.nlargest(SUMMARY, ((n, w) for w, n in counts.items() if n > 1))
     if top:
         yield batch(COUNTS, [w for _, w in top], [n for n, _ in top])
@@ -131,7 +132,7 @@ def count_tokens(docs: DataFrame, model: str | None = None, limit: int = 4096, k
     def count(batches):
         lengths = _table(token, packed.value, model)
         get = lengths.__getitem__
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             found = utf8(b.column(1))
             tokens = [sum(map(get, pretokens(t))) for t in found]
             yield pa.RecordBatch.from_arrays(

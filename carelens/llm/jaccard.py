@@ -296,3 +296,21 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.col("doc_id").alias(key), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"),
     )
+
+
+def drop_linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, unchanged, less those linked to one with a smaller key: one of each component stays.
+
+    Of rows with equal keys one stays, the first by text and then by the other columns.  Rows without key stay.
+    """
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    at, rows = names[docs.columns.index(key)], docs.toDF(*names)
+    linked = stage(link_documents(docs, key, text).select(F.col(key).alias("_id"), "component_id"), "linked")
+    gone = stage(linked.where("component_id <> _id").select("_id").distinct(), "gone")
+    rows = rows.join(gone, F.col(at) == F.col("_id"), "left_anti")
+    repeated = stage(linked.where("_id IS NOT NULL").groupBy("_id").count().where("count > 1").select("_id"), "repeated")
+    if not repeated.isEmpty():
+        order = Window.partitionBy(at).orderBy(names[docs.columns.index(text)], *names)
+        again = rows.join(repeated, F.col(at) == F.col("_id"), "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+        rows = rows.join(repeated, F.col(at) == F.col("_id"), "left_anti").unionByName(again)
+    return rows.toDF(*docs.columns)

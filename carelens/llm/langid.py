@@ -196,6 +196,7 @@ _scores: dict[str, _Scores] = {}
 
 
 def _predict(batches, text: int, token: str, langs: list[str], model: np.ndarray, path: str) -> Iterator[pa.RecordBatch]:
+    """The same batches with two more columns."""
     if token not in _scores:
         _scores.clear()
         _scores[token] = _Scores(model, path)
@@ -214,9 +215,18 @@ def _predict(batches, text: int, token: str, langs: list[str], model: np.ndarray
                 total = scores.rows[np.fromiter(map(scores.number.__getitem__, own), np.int64, len(own))].sum(axis=0)
                 best = int(total.argmax())  # of equal ones the first by name
                 pred.append(langs[best]), sure.append(round(1.0 / float(np.exp(total - total[best]).sum()), 9))
-        kept = [c for i, c in enumerate(b.columns) if i != text]
-        names = [n for i, n in enumerate(b.schema.names) if i != text]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(sure, pa.float64())], [*names, "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(sure, pa.float64())], [*b.schema.names, "_pred", "_score"])
+
+
+def _identified(docs: DataFrame, text: str, langs: list[str], model: np.ndarray, vocab: str | None) -> DataFrame:
+    """All columns by number, then _pred and _score."""
+    spark = docs.sparkSession
+    ship(spark)
+    path = vocab or public_tokenizers.path("piece_bpe_32k.model")
+    sent, token, at = spark.sparkContext.broadcast(model), uuid.uuid4().hex, docs.columns.index(text)
+    rows = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
+    return rows.mapInArrow(lambda it: _predict(it, at, token, langs, sent.value, path), f"{schema}, _pred string, _score double")
 
 
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray, key: str = "doc_id", text: str = "text", vocab: str | None = None) -> DataFrame:
@@ -228,14 +238,14 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray, key: str = "d
     Of equally likely languages the first by name is taken.  A missing key stays; repeated rows give repeated rows; an
     empty table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    path = vocab or public_tokenizers.path("piece_bpe_32k.model")
-    sent, token = spark.sparkContext.broadcast(model), uuid.uuid4().hex
-    kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    out = rows.mapInArrow(lambda it: _predict(it, 1, token, langs, sent.value, path), f"_key {kind}, lang_pred string, score double")
-    return out.withColumnRenamed("_key", key)
+    out = _identified(docs.select(key, text), text, langs, model, vocab)
+    return out.select(F.col("_0").alias(key), F.col("_pred").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def keep_identified(docs: DataFrame, langs: list[str], model: np.ndarray, least: float = 0.5, text: str = "text", vocab: str | None = None) -> DataFrame:
+    """The documents, unchanged, whose language is one of the learned ones with a score of at least ``least``."""
+    out = _identified(docs, text, langs, model, vocab).where((F.col("_pred") != UNKNOWN) & (F.col("_score") >= least))
+    return out.drop("_pred", "_score").toDF(*docs.columns)
 
 
 def held_out(key: Column) -> Column:

@@ -122,13 +122,19 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return scanned.select(F.col("_key").alias(key), F.col("_spans").alias("spans"))
 
 
-def mask_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The same rows and columns with every secret in ``text`` replaced by a mask; other texts are untouched."""
+def mask_secrets(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
+    """The same rows and columns with every secret in ``text`` replaced by a mask; other texts are untouched.
+
+    ``length`` names a column with the number of characters, to be counted again where a text changes.
+    """
     ship(docs.sparkSession)
     names = [f"_{i}" for i in range(len(docs.columns))]
     rows, at = docs.toDF(*names), docs.columns.index(text)
     schema = ", ".join(f"{n} {t}" for n, (_, t) in zip(names, rows.dtypes))
     out = rows.mapInArrow(lambda it: _scan(it, at, True), f"{schema}, _spans {SPANS_DDL}")
+    if length is not None:
+        n = names[docs.columns.index(length)]
+        out = out.withColumn(n, F.when(F.size("_spans") > 0, F.length(names[at])).otherwise(F.col(n)).cast(dict(docs.dtypes)[length]))
     return out.drop("_spans").toDF(*docs.columns)
 
 

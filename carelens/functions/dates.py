@@ -47,5 +47,11 @@ def days_between(later: Column, earlier: Column) -> Column:
     return F.date_diff(later, earlier)
 
 
+FIRST_DAY, LAST_DAY = -719162, 2932896  # 0001-01-01 and 9999-12-31, from 1970-01-01
+
+
 def add_days(d: Column, days: Column) -> Column:
-    return F.date_add(d, F.floor(days).cast("int"))
+    """Later by whole days; null beyond the calendar (a date of the years 1 to 9999)."""
+    whole = F.floor(days.try_cast("double"))
+    there = F.unix_date(d) + whole.cast("double")
+    return F.when(there.between(FIRST_DAY, LAST_DAY), F.date_add(d, whole.try_cast("int")))

@@ -172,7 +172,7 @@ def entity_counts(df, entity: str, kind: str, types: list[str]) -> DataFrame:
 
 def count_and_pct(counts, base, keys: list[str], count: str, base_value: str, names: tuple[str, str]) -> DataFrame:
     """A count and its percent of a base measure, both as long rows."""
-    joined = counts.join(base.select(*keys, F.col(base_value).alias("_base")), keys, "left")
+    joined = _join_groups(counts, base.select(*keys, F.col(base_value).alias("_base")), keys)
     n = F.col(count).cast("double")
     wide = joined.select(*keys, n.alias(names[0]), percent(n, F.col("_base")).alias(names[1]))
     return wide.unpivot(keys, list(names), "variable", "value")

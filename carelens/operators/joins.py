@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.operators.ordered import Hot, next_known, over_ordered
-from carelens.operators.select import small_side
+from carelens.operators.select import same_keys, small_side
 
 
 def natural_left(a: DataFrame, b: DataFrame) -> DataFrame:
     """Left join on all shared columns."""
-    return a.join(b, [c for c in a.columns if c in b.columns], "left")
+    return same_keys(a, b, [c for c in a.columns if c in b.columns])
 
 
 def beside_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
@@ -23,16 +23,18 @@ def beside_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
 def overlap_months(spans: DataFrame, start: str, end: str, observed: DataFrame, month: str) -> DataFrame:
     """Months each closed date interval touches, among the observed months.
 
-    Only months of the span are generated, so the work follows the result.
-    A span with a missing end touches no month; a reversed one is turned round.
+    The observed months within the span are picked, so a span of any length
+    costs no more than the months of the extract.  A span with a missing end
+    touches no month; a reversed one is turned round.
     """
     # a null bound must not be skipped by least/greatest
     known = spans.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
     first = F.trunc(F.least(start, end), "MM")
     last = F.trunc(F.greatest(start, end), "MM")
-    covered = F.sequence(first, last, F.expr("interval 1 month"))
-    seen = observed.agg(F.collect_set(month)).scalar()  # calendar months of the extract
-    return known.withColumn("_seen", seen).withColumn(month, F.explode(F.array_intersect(covered, "_seen"))).drop("_seen")
+    seen = observed.agg(F.collect_set(F.trunc(month, "MM"))).scalar()  # calendar months of the extract
+    spans = known.withColumns({"_seen": seen, "_first": first, "_last": last})
+    touched = F.filter("_seen", lambda m: m.between(F.col("_first"), F.col("_last")))
+    return spans.withColumn(month, F.explode(touched)).drop("_seen", "_first", "_last")
 
 
 def asof_forward(
@@ -88,4 +90,4 @@ def replace_by_key(base: DataFrame, new: DataFrame, key: str, keep_prefix: str,
 
 def restrict_to_cohort(events: DataFrame, cohort: DataFrame, key: str, date: str, entry: str) -> DataFrame:
     """Events of cohort members from their entry date on."""
-    return events.join(cohort.select(key, entry), key).filter(F.col(date) >= F.col(entry))
+    return same_keys(events, cohort.select(key, entry), [key], "inner").filter(F.col(date) >= F.col(entry))

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelens.operators.select import same_keys
+
 
 def melt(df: DataFrame, ids: list[str], cols: list[str], name="variable", value="value", drop_null=False) -> DataFrame:
     """Wide to long: one row per id and column."""
@@ -95,11 +97,11 @@ def densify(df, ids: list[str], key: str, value: str, fill=0, within: list[str]
     rows = df.select(*ids).distinct()
     if within:
         lists = df.groupBy(*within).agg(F.collect_set(key).alias("_keys"))
-        grid = rows.join(lists, list(within)).select(*ids, F.explode("_keys").alias(key))
+        grid = same_keys(rows, lists, list(within), "inner").select(*ids, F.explode("_keys").alias(key))
     else:
         grid = rows.withColumn(key, F.explode(df.agg(F.collect_set(key)).scalar()))
     known = df.select(*ids, key, value, F.lit(True).alias("_known"))
-    joined = grid.join(known, [*ids, key], "left")
+    joined = same_keys(grid, known, [*ids, key])
     return joined.select(
         *ids, key, F.when(F.col("_known").isNull(), F.lit(fill)).otherwise(F.col(value)).alias(value)
     )

@@ -108,6 +108,20 @@ def left_lookup(facts: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]])
     return facts.join(renamed, cond, "left").drop(*[f"_dim_{d}" for _, d in pairs])
 
 
+def same_keys(a: DataFrame, b: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on shared key columns, a missing key matching a missing key; the keys are those of ``a``.
+
+    In a full join a row that only ``b`` has keeps its own keys.
+    """
+    renamed = b.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys])
+    if how != "full":
+        return a.join(renamed, cond, how).drop(*[f"_same_{k}" for k in keys])
+    joined = a.withColumn("_in_a", F.lit(True)).join(renamed, cond, how)
+    own = {k: F.when(F.col("_in_a"), F.col(k)).otherwise(F.col(f"_same_{k}")) for k in keys}
+    return joined.withColumns(own).drop("_in_a", *[f"_same_{k}" for k in keys])
+
+
 def label(df: DataFrame, col: str, names: list[tuple[str, str]], out: str) -> DataFrame:
     """Display names from a literal table."""
     table = fixed.name_table(df.sparkSession, names, "_code", out)

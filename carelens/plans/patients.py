@@ -17,7 +17,7 @@ from carelens.functions.dates import month_start
 from carelens.functions.text import contains_any, parse_number
 from carelens.operators.joins import asof_forward, asof_hot_input, overlap_months, restrict_to_cohort
 from carelens.operators.ordered import Hot, cut_heavy, draw
-from carelens.operators.select import left_lookup
+from carelens.operators.select import left_lookup, same_keys
 from carelens.operators.windows import (
     assign_ids,
     episodes,
@@ -71,7 +71,7 @@ def patient_ids(visits: DataFrame, decoder: DataFrame, balance: Balance = Balanc
 
 
 def _with_ids(events: DataFrame, ids: DataFrame, date: str) -> DataFrame:
-    joined = events.drop("program_id").join(ids, PATIENT, "left")
+    joined = same_keys(events.drop("program_id"), ids, [PATIENT])
     return joined.withColumns(
         {
             "program_id": F.concat(F.lit("id"), F.substring("pr_id", 1, 2)),
@@ -103,7 +103,7 @@ def visit_flags(visits: DataFrame, ids: DataFrame, rx_flags: DataFrame, balance:
     restarts = rx_flags.filter("is_restart").select(
         PATIENT, F.col("rx_order_date").alias("encounter_date"), F.lit(True).alias("is_restart")
     ).distinct()
-    return own.join(restarts, [PATIENT, "encounter_date"], "left").fillna({"is_restart": False})
+    return same_keys(own, restarts, [PATIENT, "encounter_date"]).fillna({"is_restart": False})
 
 
 def study_cohort(visits: DataFrame, start: str = fixed.STUDY_START) -> DataFrame:

@@ -83,7 +83,7 @@ def _seen(study: Study) -> DataFrame:
     A patient counts in the month of the first visit and in months on
     treatment; one reduction by patient and month serves both measures.
     """
-    cols = ["pr_id", "program_id", "month"]
+    cols = [P.PATIENT, "program_id", "month"]
     first = study.visits.filter("is_start").select(*cols, F.lit(0).alias("on"))
     treated = study.months.select(*cols, F.lit(1).alias("on"))
     per_patient = stack(first, treated).groupBy(*cols).agg(F.max("on").alias("on"))
@@ -100,7 +100,7 @@ def _new(study: Study, days: int | None) -> DataFrame:
     if days is not None:
         visits = P.match_visits(visits, study.rx, study.balance)
         quick = F.coalesce((days_between(F.col("nearest_rx"), F.col("encounter_date")) <= days).cast("int"), F.lit(0))
-    per_patient = visits.groupBy("pr_id", "program_id", "month").agg(F.sum(quick).alias("quick"))
+    per_patient = visits.groupBy(P.PATIENT, "program_id", "month").agg(F.sum(quick).alias("quick"))
     return per_patient.groupBy("program_id", "month").agg(
         F.count(F.lit(1)).alias("b2"), F.nullif(F.sum("quick"), F.lit(0)).alias("c1")
     )

@@ -10,7 +10,7 @@ from carelens.functions.nulls import recode, weighted_mean
 from carelens.operators.aggs import describe_by, type_summary
 from carelens.operators.joins import natural_left
 from carelens.operators.reshape import pivot
-from carelens.operators.select import left_lookup, small_side, stack
+from carelens.operators.select import left_lookup, same_keys, small_side, stack
 from carelens.operators.stats import linear_grid, random_intercept_by, spearman_by
 from carelens.operators.windows import zscore
 from carelens.plans.survey import weight
@@ -83,7 +83,7 @@ def community_factors(
     keys = ["program_id", "date"]
     wide = pivot(scored.filter(F.col("q_num").isin(questions)), keys, "q_num", "raw_value", questions, prefix="cdi_")
     picked = items.filter(F.col("variable") == item).groupBy(*keys).agg(F.max("value").alias(item))
-    joined = wide.join(picked, keys, "left")
+    joined = same_keys(wide, picked, keys)
     return left_lookup(joined, small_side(info), [("program_id", "program_id")]).filter(
         ~F.col("program_id").isin(excluded)
     )
@@ -123,7 +123,7 @@ def regression_inputs(scored: DataFrame, measures: DataFrame, date: str) -> Data
     outcomes = pivot(picked, ["program_id"], "variable", "value", ["reaim_b4", "reaim_b4p"]).withColumnsRenamed(
         {"reaim_b4": "count_MOUD", "reaim_b4p": "pct_MOUD"}
     )
-    return mean.join(site_category_shares(scored), "program_id", "left").join(outcomes, "program_id", "left")
+    return same_keys(same_keys(mean, site_category_shares(scored), ["program_id"]), outcomes, ["program_id"])
 
 
 def regression_grid(inputs: DataFrame) -> DataFrame:
@@ -150,6 +150,6 @@ def interview_table(info: DataFrame, measures: DataFrame, scored: DataFrame) ->
     picked = measures.filter(F.col("variable").isin(fixed.INTERVIEW_VARIABLES))
     newest = picked.groupBy("program_id", "variable").agg(F.max_by(F.struct("value"), "date")["value"].alias("value"))
     wide = pivot(newest, ["program_id"], "variable", "value", fixed.INTERVIEW_VARIABLES)
-    return info.join(wide, "program_id", "left").join(system, "program_id", "full")
+    return same_keys(same_keys(info, wide, ["program_id"]), system, ["program_id"], "full")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelens import fixed
 from carelens.functions.text import list_position
 from carelens.operators.joins import beside_totals
-from carelens.operators.select import label, stack
+from carelens.operators.select import label, same_keys, stack
 from carelens.plans.survey import weight
 from carelens.sources.staging import cut_lineage
 
@@ -71,7 +71,7 @@ def total_row(cells: DataFrame) -> DataFrame:
 
 
 def _table(cells: DataFrame, group: str) -> DataFrame:
-    body = score_means(cells, [group]).join(share_means(site_shares(cells, group), [group]), group, "left")
+    body = same_keys(score_means(cells, [group]), share_means(site_shares(cells, group), [group]), [group])
     rows = stack(body, total_row(cells).withColumn(group, F.lit("total")))
     named = label(rows, group, fixed.DISPLAY_NAMES, "fmt_name")
     return named.withColumn("position", list_position(F.col(group), ORDER)).drop(group)

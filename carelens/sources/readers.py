@@ -38,10 +38,9 @@ def snapshot_names(spark: SparkSession, folder: str) -> DataFrame:
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
     )
-    tail = folder.rstrip("/").rsplit("/", 1)[-1]
-    return listing.select(
-        F.regexp_extract("path", rf"^.*?/{re.escape(tail)}/([^/]+)", 1).alias("entry")
-    ).distinct()
+    # the listing gives whole paths; the folder may be given with or without a scheme, so its own path is what counts
+    place = re.escape(re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", folder).rstrip("/"))
+    return listing.select(F.regexp_extract("path", rf"^(?:[a-z][a-z0-9+.-]*:(?://[^/]*)?)?/*{place.removeprefix('/')}/+([^/]+)", 1).alias("entry")).distinct()
 
 
 def latest_snapshot_name(spark: SparkSession, folder: str, tokens: list[str]) -> str:

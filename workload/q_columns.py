@@ -55,7 +55,7 @@ def _(spark, d):
 
 @query("proj_case_when", """
 SELECT rx_id, CASE WHEN strpos(rx_name, 'VIVITROL') > 0 THEN 34 WHEN strpos(rx_name, 'SUBLOCADE') > 0 THEN 34
-       ELSE CAST(replace(replace(rx_quantity, ' tabs', ''), ',', '') AS DOUBLE) END AS est_rx_days FROM v_rx""")
+       ELSE TRY_CAST(replace(regexp_extract(rx_quantity, '[0-9][0-9,]*'), ',', '') AS DOUBLE) END AS est_rx_days FROM v_rx""")
 def _(spark, d):
     injected = X.contains_any(F.col("rx_name"), fixed.INJECTIONS)
     days = F.when(injected, float(fixed.INJECTION_DAYS)).otherwise(X.parse_number(F.col("rx_quantity")))
@@ -157,9 +157,9 @@ def _(spark, d):
     return df.select("response_id", D.month_from_event(F.col("event_name")).alias("date"))
 
 
-@query("filt_listwise_complete", f"SELECT response_id FROM v_survey WHERE {' AND '.join(c + ' IS NOT NULL' for c in ITEMS[:6])}")
+@query("filt_listwise_complete", f"SELECT response_id FROM v_survey WHERE {' AND '.join(c + ' IS NOT NULL' for c in ITEMS)}")
 def _(spark, d):
-    return view(spark, d, "v_survey").na.drop(subset=ITEMS[:6]).select("response_id")
+    return view(spark, d, "v_survey").na.drop(subset=ITEMS).select("response_id")
 
 
 @query("filt_within_interval", """
@@ -218,13 +218,13 @@ def _(spark, d):
 
 
 @query("fn_date_add_days", """
-SELECT rx_id, CAST(rx_order_date + CAST(regexp_extract(replace(rx_quantity, ',', ''), '[0-9]+') AS INT) AS DATE) AS until FROM v_rx""")
+SELECT rx_id, CASE WHEN date_diff('day', DATE '1970-01-01', rx_order_date) + floor(TRY_CAST(replace(regexp_extract(rx_quantity, '[0-9][0-9,]*'), ',', '') AS DOUBLE)) BETWEEN -719162 AND 2932896 THEN CAST(rx_order_date + CAST(floor(TRY_CAST(replace(regexp_extract(rx_quantity, '[0-9][0-9,]*'), ',', '') AS DOUBLE)) AS INT) AS DATE) END AS until FROM v_rx""")
 def _(spark, d):
     until = D.add_days(F.col("rx_order_date"), X.parse_number(F.col("rx_quantity")))
     return view(spark, d, "v_rx").select("rx_id", until.alias("until"))
 
 
-@query("fn_parse_number", "SELECT rx_id, CAST(replace(split_part(rx_quantity, ' ', 1), ',', '') AS DOUBLE) AS quantity FROM v_rx")
+@query("fn_parse_number", "SELECT rx_id, TRY_CAST(replace(regexp_extract(rx_quantity, '[0-9][0-9,]*'), ',', '') AS DOUBLE) AS quantity FROM v_rx")
 def _(spark, d):
     return view(spark, d, "v_rx").select("rx_id", X.parse_number(F.col("rx_quantity")).alias("quantity"))
 

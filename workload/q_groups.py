@@ -170,7 +170,7 @@ def _(spark, d):
     return W.first_per_key(visits, "id_from_site", P.VISIT_ORDER)
 
 
-IDS_SQL = """first_visit AS (SELECT id_from_site, encounter_date, program_id FROM v_visit JOIN v_site USING (site_name)
+IDS_SQL = """first_visit AS (SELECT id_from_site, encounter_date, program_id FROM v_visit LEFT JOIN v_site USING (site_name)
   QUALIFY row_number() OVER (PARTITION BY id_from_site ORDER BY encounter_date, visit_id) = 1),
 ids AS (SELECT id_from_site, program_id, encounter_date, right(program_id, 2) || '-' ||
   CASE WHEN n < 10000 THEN printf('%04d', n) ELSE CAST(n AS VARCHAR) END AS pr_id
@@ -189,13 +189,13 @@ def _(spark, d):
     return W.assign_ids(first, "id_from_site", "program_id", "encounter_date", "pr_id", hot).drop("visit_id")
 
 
-FLAGS_SQL = """lagged AS (SELECT *, CASE WHEN strpos(rx_name, 'BUPRENORPHINE') > 0 THEN CAST(replace(split_part(rx_quantity, ' ', 1), ',', '') AS DOUBLE)
+FLAGS_SQL = """lagged AS (SELECT *, CASE WHEN strpos(rx_name, 'BUPRENORPHINE') > 0 THEN TRY_CAST(replace(regexp_extract(rx_quantity, '[0-9][0-9,]*'), ',', '') AS DOUBLE)
     ELSE 34 END AS est_rx_days, row_number() OVER (PARTITION BY id_from_site ORDER BY rx_order_date, rx_id) AS rn FROM v_rx),
 restarts AS (SELECT b.*, NOT (b.rn = 1 OR b.rx_order_date - a.rx_order_date < 34
     OR ifnull(b.rx_order_date - a.rx_order_date < a.est_rx_days * (a.rx_num_refills + 1), false)) AS is_restart
-  FROM lagged b LEFT JOIN lagged a ON a.id_from_site = b.id_from_site AND a.rn = b.rn - 1),
+  FROM lagged b LEFT JOIN lagged a ON a.id_from_site IS NOT DISTINCT FROM b.id_from_site AND a.rn = b.rn - 1),
 flagged AS (SELECT a.*, ifnull(b.is_restart, true) AS is_break FROM restarts a LEFT JOIN restarts b
-  ON a.id_from_site = b.id_from_site AND b.rn = a.rn + 1)"""
+  ON a.id_from_site IS NOT DISTINCT FROM b.id_from_site AND b.rn = a.rn + 1)"""
 
 
 @query("win_gap_restart", f"WITH {FLAGS_SQL} SELECT rx_id, is_restart FROM restarts")
@@ -212,9 +212,9 @@ def _(spark, d):
 @query("win_episode_islands", f"""
 WITH {FLAGS_SQL}, opened AS (SELECT id_from_site, rn, rx_order_date AS start_date, row_number() OVER (PARTITION BY id_from_site ORDER BY rn) AS episode
     FROM flagged WHERE rn = 1 OR is_restart),
-closed AS (SELECT id_from_site, CAST(rx_order_date + CAST(floor(est_rx_days) AS INT) AS DATE) AS end_date,
+closed AS (SELECT id_from_site, CASE WHEN date_diff('day', DATE '1970-01-01', rx_order_date) + floor(est_rx_days) BETWEEN -719162 AND 2932896 THEN CAST(rx_order_date + CAST(floor(est_rx_days) AS INT) AS DATE) END AS end_date,
     row_number() OVER (PARTITION BY id_from_site ORDER BY rn) AS episode FROM flagged WHERE is_break)
-SELECT id_from_site, CAST(episode AS INT) AS episode, start_date, end_date FROM opened JOIN closed USING (id_from_site, episode)""")
+SELECT o.id_from_site, CAST(o.episode AS INT) AS episode, start_date, end_date FROM opened o JOIN closed c ON o.id_from_site IS NOT DISTINCT FROM c.id_from_site AND o.episode = c.episode""")
 def _(spark, d):
     marked, hot = flags(spark, d)
     return W.episodes(marked, ["id_from_site"], P.RX_ORDER, "rx_order_date", "est_rx_days", hot)
@@ -278,7 +278,7 @@ def _(spark, d):
 
 
 @query("win_visit_start_flags", """
-SELECT visit_id, NOT EXISTS (SELECT 1 FROM v_visit w WHERE w.id_from_site = v.id_from_site
+SELECT visit_id, NOT EXISTS (SELECT 1 FROM v_visit w WHERE w.id_from_site IS NOT DISTINCT FROM v.id_from_site
   AND (w.encounter_date, w.visit_id) < (v.encounter_date, v.visit_id)) AS is_start FROM v_visit v""")
 def _(spark, d):
     visits = view(spark, d, "v_visit")

@@ -152,7 +152,7 @@ def _(spark, d):
 
 @query("job_prescription_flags", f"""
 WITH {IDS_SQL}, {FLAGS_SQL} SELECT rx_id, pr_id, 'id' || left(pr_id, 2) AS program_id, date_trunc('month', rx_order_date)::DATE AS month,
-  est_rx_days, is_restart, is_break FROM flagged LEFT JOIN ids USING (id_from_site)""")
+  est_rx_days, is_restart, is_break FROM flagged LEFT JOIN ids ON flagged.id_from_site IS NOT DISTINCT FROM ids.id_from_site""")
 def _(spark, d):
     cols = ["rx_id", "pr_id", "program_id", "month", "est_rx_days", "is_restart", "is_break"]
     return flagged(spark, d)[1].select(*cols)
@@ -160,8 +160,8 @@ def _(spark, d):
 
 VISITS_SQL = """starts AS (SELECT v.*, pr_id, i.program_id, date_trunc('month', v.encounter_date)::DATE AS month,
     v.visit_id = first_value(v.visit_id) OVER (PARTITION BY v.id_from_site ORDER BY v.encounter_date, v.visit_id) AS is_start,
-    EXISTS (SELECT 1 FROM flagged f WHERE f.is_restart AND f.id_from_site = v.id_from_site AND f.rx_order_date = v.encounter_date) AS is_restart
-  FROM v_visit v LEFT JOIN ids i ON i.id_from_site = v.id_from_site)"""
+    EXISTS (SELECT 1 FROM flagged f WHERE f.is_restart AND f.id_from_site IS NOT DISTINCT FROM v.id_from_site AND f.rx_order_date = v.encounter_date) AS is_restart
+  FROM v_visit v LEFT JOIN ids i ON i.id_from_site IS NOT DISTINCT FROM v.id_from_site)"""
 
 
 @query("job_visit_flags", f"WITH {IDS_SQL}, {FLAGS_SQL}, {VISITS_SQL} SELECT visit_id, pr_id, program_id, month, is_start, is_restart FROM starts")
@@ -180,19 +180,19 @@ def _(spark, d):
 
 STUDY_SQL = f"""{IDS_SQL}, {FLAGS_SQL}, {VISITS_SQL}, {COHORT_SQL},
 s_lag AS (SELECT l.* EXCLUDE (rn), pr_id, i.program_id, row_number() OVER (PARTITION BY l.id_from_site ORDER BY rx_order_date, rx_id) AS rn
-  FROM lagged l JOIN cohort c ON c.id_from_site = l.id_from_site AND l.rx_order_date >= c.entry JOIN ids i ON i.id_from_site = l.id_from_site),
+  FROM lagged l JOIN cohort c ON c.id_from_site IS NOT DISTINCT FROM l.id_from_site AND l.rx_order_date >= c.entry JOIN ids i ON i.id_from_site IS NOT DISTINCT FROM l.id_from_site),
 s_rx AS (SELECT b.*, NOT (b.rn = 1 OR b.rx_order_date - a.rx_order_date < 34
     OR ifnull(b.rx_order_date - a.rx_order_date < a.est_rx_days * (a.rx_num_refills + 1), false)) AS is_restart
-  FROM s_lag b LEFT JOIN s_lag a ON a.id_from_site = b.id_from_site AND a.rn = b.rn - 1),
-s_brk AS (SELECT a.*, ifnull(b.is_restart, true) AS is_break FROM s_rx a LEFT JOIN s_rx b ON a.id_from_site = b.id_from_site AND b.rn = a.rn + 1),
+  FROM s_lag b LEFT JOIN s_lag a ON a.id_from_site IS NOT DISTINCT FROM b.id_from_site AND a.rn = b.rn - 1),
+s_brk AS (SELECT a.*, ifnull(b.is_restart, true) AS is_break FROM s_rx a LEFT JOIN s_rx b ON a.id_from_site IS NOT DISTINCT FROM b.id_from_site AND b.rn = a.rn + 1),
 s_vis AS (SELECT * EXCLUDE (is_start, is_restart, n), n = 1 AS is_start, is_restart AND n > 1 AS is_restart
   FROM (SELECT s.*, row_number() OVER (PARTITION BY s.id_from_site ORDER BY encounter_date, visit_id) AS n
-        FROM starts s JOIN cohort c ON c.id_from_site = s.id_from_site AND s.encounter_date >= c.entry)),
+        FROM starts s JOIN cohort c ON c.id_from_site IS NOT DISTINCT FROM s.id_from_site AND s.encounter_date >= c.entry)),
 s_open AS (SELECT id_from_site, pr_id, program_id, rx_order_date AS start_date, row_number() OVER (PARTITION BY id_from_site ORDER BY rn) AS k
   FROM s_brk WHERE rn = 1 OR is_restart),
-s_close AS (SELECT id_from_site, rx_order_date + CAST(floor(est_rx_days) AS INT) AS end_date, row_number() OVER (PARTITION BY id_from_site ORDER BY rn) AS k
+s_close AS (SELECT id_from_site, CASE WHEN date_diff('day', DATE '1970-01-01', rx_order_date) + floor(est_rx_days) BETWEEN -719162 AND 2932896 THEN CAST(rx_order_date + CAST(floor(est_rx_days) AS INT) AS DATE) END AS end_date, row_number() OVER (PARTITION BY id_from_site ORDER BY rn) AS k
   FROM s_brk WHERE is_break),
-s_span AS (SELECT * FROM s_open JOIN s_close USING (id_from_site, k)),
+s_span AS (SELECT o.*, c.end_date FROM s_open o JOIN s_close c ON o.id_from_site IS NOT DISTINCT FROM c.id_from_site AND o.k = c.k),
 s_month AS (SELECT DISTINCT date_trunc('month', rx_order_date)::DATE AS month FROM s_brk),
 on_tx AS (SELECT s.*, m.month FROM s_span s JOIN s_month m ON s.start_date <= last_day(m.month) AND s.end_date >= m.month)"""
 
@@ -217,27 +217,27 @@ def _(spark, d):
 def _grid(counts: str) -> str:
     """Zero fill over the sites and months of one measure."""
     return f"""m AS ({counts}), full_grid AS (SELECT a.program_id, a.variable, b.date, ifnull(m.value, 0) AS value
-  FROM (SELECT DISTINCT program_id, variable FROM m) a CROSS JOIN (SELECT DISTINCT date FROM m) b LEFT JOIN m USING (program_id, variable, date))"""
+  FROM (SELECT DISTINCT program_id, variable FROM m) a CROSS JOIN (SELECT DISTINCT date FROM m) b LEFT JOIN m ON m.program_id IS NOT DISTINCT FROM a.program_id AND m.variable = a.variable AND m.date = b.date)"""
 
 
 A1_SQL = """SELECT s.program_id, 'reaim_a1' AS variable, date_trunc('month', rx_order_date)::DATE AS date,
   count(DISTINCT ifnull(rx_provider, '?'))::DOUBLE AS value FROM s_brk r JOIN v_site s ON s.site_name = r.rx_site_name GROUP BY ALL"""
-B1_SQL = """SELECT program_id, 'reaim_b1' AS variable, month AS date, count(DISTINCT pr_id)::DOUBLE AS value FROM
-  (SELECT program_id, month, pr_id FROM s_vis WHERE is_start UNION ALL SELECT program_id, month, pr_id FROM on_tx) GROUP BY ALL"""
-B2_SQL = """SELECT program_id, 'reaim_b2' AS variable, month AS date, count(DISTINCT pr_id)::DOUBLE AS value FROM s_vis
+B1_SQL = """SELECT program_id, 'reaim_b1' AS variable, month AS date, count(DISTINCT coalesce(id_from_site, -1))::DOUBLE AS value FROM
+  (SELECT program_id, month, id_from_site FROM s_vis WHERE is_start UNION ALL SELECT program_id, month, id_from_site FROM on_tx) GROUP BY ALL"""
+B2_SQL = """SELECT program_id, 'reaim_b2' AS variable, month AS date, count(DISTINCT coalesce(id_from_site, -1))::DOUBLE AS value FROM s_vis
   WHERE is_start OR is_restart GROUP BY ALL"""
 
 
 def _pct(count: str, base: str, n: str, p: str) -> str:
     """Both rows of a measure with its percent; the base is looked up where the measure has a count."""
     return f"""SELECT c.program_id, unnest(['{n}', '{p}']) AS variable, c.date, unnest([c.value, c.value / b.value * 100]) AS value
-  FROM ({count}) c LEFT JOIN ({base}) b ON b.program_id = c.program_id AND b.date = c.date"""
+  FROM ({count}) c LEFT JOIN ({base}) b ON b.program_id IS NOT DISTINCT FROM c.program_id AND b.date = c.date"""
 
 
-B4_SQL = _pct("SELECT program_id, month AS date, count(DISTINCT pr_id)::DOUBLE AS value FROM on_tx GROUP BY ALL", B1_SQL, "reaim_b4", "reaim_b4p")
+B4_SQL = _pct("SELECT program_id, month AS date, count(DISTINCT coalesce(id_from_site, -1))::DOUBLE AS value FROM on_tx GROUP BY ALL", B1_SQL, "reaim_b4", "reaim_b4p")
 C1_SQL = _pct(
     """SELECT program_id, month AS date, count(*)::DOUBLE AS value FROM s_vis v WHERE (is_start OR is_restart) AND EXISTS (SELECT 1 FROM s_brk r
-  WHERE r.id_from_site = v.id_from_site AND r.rx_order_date BETWEEN v.encounter_date AND v.encounter_date + 3) GROUP BY ALL""",
+  WHERE r.id_from_site IS NOT DISTINCT FROM v.id_from_site AND r.rx_order_date BETWEEN v.encounter_date AND v.encounter_date + 3) GROUP BY ALL""",
     B2_SQL, "reaim_c1_n", "reaim_c1p",
 )
 _LONG_OUT = "SELECT program_id, variable, date, round(value, 6) AS value FROM full_grid"
@@ -270,7 +270,7 @@ def _(spark, d):
 
 def _named(counts: str, n: int) -> str:
     return _grid(counts).replace("m AS (", f"m{n} AS (", 1).replace("full_grid", f"g{n}").replace("FROM m)", f"FROM m{n})").replace(
-        "LEFT JOIN m USING", f"LEFT JOIN m{n} USING").replace("ifnull(m.value", f"ifnull(m{n}.value")
+        "LEFT JOIN m ON", f"LEFT JOIN m{n} ON").replace(" m.program_id", f" m{n}.program_id").replace(" m.variable", f" m{n}.variable").replace(" m.date", f" m{n}.date").replace("ifnull(m.value", f"ifnull(m{n}.value")
 
 
 _ALL5 = [A1_SQL, B1_SQL, B2_SQL, B4_SQL, C1_SQL]

@@ -14,7 +14,6 @@ from carelens.sources.staging import cut_lineage
 from workload.registry import query, r6
 from workload.views import BASE_MONTHS, BASE_VARS, IMAT_MEANS, ITEMS, table, view
 
-KEEP = ITEMS[:4]
 
 
 def _stacked(source: str, cols: list[str], extra: str = "response_id", where: str = "") -> str:
@@ -148,25 +147,25 @@ _SCORING = ", ".join(f"('{i}', '{q}', '{s}')" for q, i, s, _ in fixed.SURVEY_ITE
 
 
 @query("join_left_dim", f"""
-SELECT a.response_id, a.item, d.q_num, d.subscale FROM ({_stacked("v_survey", KEEP, where="WHERE {c} IS NOT NULL")}) a
+SELECT a.response_id, a.item, d.q_num, d.subscale FROM ({_stacked("v_survey", ITEMS, where="WHERE {c} IS NOT NULL")}) a
 LEFT JOIN (VALUES {_SCORING}) d(item, q_num, subscale) ON a.item = d.item""")
 def _(spark, d):
-    long = R.melt(view(spark, d, "v_survey"), ["response_id"], KEEP, "item", "value", drop_null=True).drop("value")
+    long = R.melt(view(spark, d, "v_survey"), ["response_id"], ITEMS, "item", "value", drop_null=True).drop("value")
     dictionary = fixed.scoring_dictionary(spark).drop("isReverse").withColumnRenamed("item", "_code")
     return S.left_lookup(long, F.broadcast(dictionary), [("item", "_code")])
 
 
 @query("join_left_fact", """
 SELECT v.visit_id, f.first_rx FROM v_visit v
-LEFT JOIN (SELECT id_from_site, min(rx_order_date) AS first_rx FROM v_rx GROUP BY 1) f ON v.id_from_site = f.id_from_site""")
+LEFT JOIN (SELECT id_from_site, min(rx_order_date) AS first_rx FROM v_rx GROUP BY 1) f ON v.id_from_site IS NOT DISTINCT FROM f.id_from_site""")
 def _(spark, d):
     first = view(spark, d, "v_rx").groupBy("id_from_site").agg(F.min("rx_order_date").alias("first_rx"))
-    return view(spark, d, "v_visit").join(first, "id_from_site", "left").select("visit_id", "first_rx")
+    return S.same_keys(view(spark, d, "v_visit"), first, ["id_from_site"]).select("visit_id", "first_rx")
 
 
 @query("join_diff_keys", """
 SELECT v.visit_id, r.n FROM v_visit v LEFT JOIN (SELECT id_from_site, rx_order_date, count(*) AS n FROM v_rx GROUP BY ALL) r
-ON v.id_from_site = r.id_from_site AND v.encounter_date = r.rx_order_date""")
+ON v.id_from_site IS NOT DISTINCT FROM r.id_from_site AND v.encounter_date = r.rx_order_date""")
 def _(spark, d):
     rx = view(spark, d, "v_rx").groupBy("id_from_site", "rx_order_date").agg(F.count(F.lit(1)).alias("n"))
     pairs = [("id_from_site", "id_from_site"), ("encounter_date", "rx_order_date")]
@@ -209,7 +208,7 @@ def _(spark, d):
 
 
 @query("join_asof_forward", """
-SELECT v.visit_id, (SELECT min(rx_order_date) FROM v_rx r WHERE r.id_from_site = v.id_from_site
+SELECT v.visit_id, (SELECT min(rx_order_date) FROM v_rx r WHERE r.id_from_site IS NOT DISTINCT FROM v.id_from_site
   AND r.rx_order_date >= v.encounter_date) AS nearest_rx FROM v_visit v""")
 def _(spark, d):
     visits = view(spark, d, "v_visit").select("id_from_site", "encounter_date", "visit_id")
@@ -233,7 +232,7 @@ def _(spark, d):
 
 
 @query("join_left_semi_cohort", """
-SELECT rx_id, rx_order_date FROM (SELECT *, (SELECT min(encounter_date) FROM v_visit v WHERE v.id_from_site = r.id_from_site
+SELECT rx_id, rx_order_date FROM (SELECT *, (SELECT min(encounter_date) FROM v_visit v WHERE v.id_from_site IS NOT DISTINCT FROM r.id_from_site
   AND encounter_date >= DATE '1998-01-01') AS entry FROM v_rx r) WHERE rx_order_date >= entry""")
 def _(spark, d):
     visits = view(spark, d, "v_visit").filter("encounter_date >= date '1998-01-01'")

@@ -10,12 +10,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carelens import fixed
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-ITEMS = [
-    "cdi_outer_1", "cdi_outer_2", "cdi_outer_3", "cdi_outer_4", "cdi_outer_5", "cdi_outer_6", "cdi_outer_7",
-    "cdi_outer_8", "cdi_inner_1", "cdi_inner_8", "cdi_inner_12", "cdi_staff_1", "cdi_staff_6", "cdi_staff_12",
-    "cdi_patient_4", "cdi_patient_6",
-]
+ITEMS = [item for _, item, _, _ in fixed.SURVEY_ITEMS]
 IMAT_ITEMS = [
     "imat_d1_1", "imat_d2_1", "imat_d3_11", "imat_d3_12", "imat_d3_14", "imat_d4_9", "imat_d5_5", "imat_d5_6",
     "imat_d6_1", "imat_d6_2", "imat_d7_3",
@@ -32,7 +30,7 @@ _MON = "substr('janfebmaraprmayjunjulaugsepoctnovdec', CAST(3 * month({d}) - 2 A
 
 def _likert(i: int, scale: int) -> str:
     return (
-        f"CASE WHEN (o.o_orderkey + {i}) % 11 = 0 THEN NULL "
+        f"CASE WHEN (o.o_orderkey + {i}) % 53 = 0 THEN NULL "
         f"ELSE CAST(1 + (o.o_orderkey * {2 * i + 1} + o.o_custkey * {i} + s.n_nationkey * (o.o_orderkey % 3)) % {scale} AS INT) END"
     )
 
@@ -62,16 +60,18 @@ SELECT o.o_orderkey AS response_id, s.program_id, s.type,
        {", ".join(f"CASE WHEN (o.o_orderkey + {i}) % 9 = 0 THEN NULL ELSE CAST(1 + (o.o_orderkey * {i + 2} + o.o_custkey) % 41 * 0.1 AS DOUBLE) END AS {c}" for i, c in enumerate(IMAT_MEANS))}
 FROM {_JOINED}""",
     "v_rx": f"""
-SELECT o.o_orderkey AS rx_id, o.o_custkey AS id_from_site, s.site_name AS rx_site_name,
+SELECT o.o_orderkey AS rx_id, CASE WHEN o.o_orderkey % 97 > 0 THEN o.o_custkey END AS id_from_site, s.site_name AS rx_site_name,
        CAST(o.o_orderdate AS DATE) AS rx_order_date,
        CASE o.o_orderkey % 7 WHEN 0 THEN 'VIVITROL 380mg' WHEN 1 THEN 'SUBLOCADE 300mg' ELSE 'BUPRENORPHINE 8mg' END AS rx_name,
-       CASE WHEN o.o_orderkey % 29 = 0 THEN '1,' || lpad(CAST(o.o_orderkey % 1000 AS STRING), 3, '0')
-            ELSE CAST(30 + o.o_orderkey % 60 AS STRING) END || ' tabs' AS rx_quantity,
+       CASE WHEN o.o_orderkey % 103 = 0 THEN '9999999999 tabs' WHEN o.o_orderkey % 107 = 0 THEN 'as directed'
+            WHEN o.o_orderkey % 109 = 0 THEN '999999 tabs' ELSE CASE WHEN o.o_orderkey % 29 = 0 THEN '1,' || lpad(CAST(o.o_orderkey % 1000 AS STRING), 3, '0')
+            ELSE CAST(30 + o.o_orderkey % 60 AS STRING) END || ' tabs' END AS rx_quantity,
        CASE WHEN o.o_orderkey % 19 = 0 THEN NULL ELSE CAST(o.o_orderkey % 4 AS INT) END AS rx_num_refills,
        CASE WHEN o.o_orderkey % 23 = 0 THEN NULL ELSE 'p' || CAST(o.o_orderkey % 40 AS STRING) END AS rx_provider
 FROM {_JOINED}""",
     "v_visit": f"""
-SELECT o.o_orderkey AS visit_id, o.o_custkey AS id_from_site, s.site_name,
+SELECT o.o_orderkey AS visit_id, CASE WHEN o.o_orderkey % 89 > 0 THEN o.o_custkey END AS id_from_site,
+       CASE WHEN s.n_nationkey = 7 THEN 'CLOSED CLINIC' ELSE s.site_name END AS site_name,
        CAST(CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 11 AS INT) - 6 AS DATE) AS encounter_date
 FROM {_JOINED}""",
     "v_month": f"""

@@ -1,4 +1,4 @@
-"""Two-sided Student t probability as a column expression."""
+"""Tail probabilities of the t and normal distributions as column expressions."""
 
 from __future__ import annotations
 
@@ -7,66 +7,48 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SERIES_LIMIT = 1000
+# Places and weights of a double-exponential rule for integrals from 0 to infinity: s = exp(pi/2 sinh(u)), u in steps of 1/8.
+_STEP = 1 / 8
+_NODES = [
+    (s, _STEP * math.pi / 2 * math.cosh(k * _STEP) * s)
+    for k in range(-36, 37)
+    for s in [math.exp(math.pi / 2 * math.sinh(k * _STEP))]
+]
 
 
-def _erfc(x: Column) -> Column:
-    """Complementary error function for x >= 0 (continued fraction / Taylor series)."""
-    steps = F.sequence(F.lit(60), F.lit(1), F.lit(-1))
-    fraction = F.aggregate(steps, x, lambda acc, k: x + (k.cast("double") / 2) / acc)
-    tail = F.exp(-x * x) / (fraction * math.sqrt(math.pi))
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(60)),
-        F.struct(x.alias("term"), x.alias("total")),
-        lambda acc, k: F.struct(
-            (acc["term"] * x * x * 2 / (k * 2 + 1)).alias("term"),
-            (acc["total"] + acc["term"] * x * x * 2 / (k * 2 + 1)).alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    near = F.lit(1.0) - F.exp(-x * x) * series * (2 / math.sqrt(math.pi))
-    return F.when(x < 2, near).otherwise(tail)
+def _integral(fall) -> Column:
+    """Integral over s from 0 of exp(-fall(s)), for an increasing fall that is 0 at 0 and near 1 at 1."""
+    rule = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(w).alias("w")) for s, w in _NODES])
+    return F.aggregate(rule, F.lit(0.0), lambda acc, node: acc + node["w"] * F.exp(-fall(node["s"])))
 
 
 def two_sided_p(t: Column, df: Column) -> Column:
-    """P(|T| > |t|) for integer degrees of freedom.
+    """P(|T| > |t|) for any positive degrees of freedom, whole or not.
 
-    Up to 1000 degrees of freedom the finite trigonometric series is summed.
-    Beyond that the t value is turned into a normal deviate first (Hill 1970),
-    so the work per row does not grow with the number of observations.
+    The upper tail itself is integrated, relative to its height at t, and
+    divided by the same integral from 0; so there is one formula for all
+    degrees of freedom, and small probabilities keep their digits.
     """
-    t = F.abs(t.cast("double"))
-    n = df.cast("double")
-    theta = F.atan(t / F.sqrt(n))
-    cos2 = n / (n + t * t)
-    odd = (df % 2) == 1
-    # term ratios: even df 1/2, 3/4, ...; odd df 2/3, 4/5, ...
-    offset = F.when(odd, 1).otherwise(0)
-    n_terms = ((df - 2 - offset) / 2).cast("int")
-    ratios = F.when(n_terms >= 1, F.sequence(F.lit(1), F.least(n_terms, F.lit(_SERIES_LIMIT)))).otherwise(
-        F.array().cast("array<int>")
-    )
-    series = F.aggregate(
-        ratios,
-        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
-        lambda acc, k: F.struct(
-            (acc["term"] * cos2 * (k * 2 - 1 + offset) / (k * 2 + offset)).alias("term"),
-            (acc["total"] + acc["term"] * cos2 * (k * 2 - 1 + offset) / (k * 2 + offset)).alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    inside = (
-        F.when(df == 1, theta * (2 / math.pi))
-        .when(odd, (theta + F.sin(theta) * F.cos(theta) * series) * (2 / math.pi))
-        .otherwise(F.sin(theta) * series)
-    )
-    a = n - 0.5
-    b = a * a * 48
-    z = F.sqrt(a * F.log1p(t * t / n))
-    z = z + (F.pow(z, F.lit(3.0)) + z * 3) / b
-    far = _erfc(z / math.sqrt(2))
+    t, n = F.abs(t.cast("double")), df.cast("double")
+    half = (n + 1) / 2
+    scale = 1 / ((n + 1) * t / (n + t * t) + 1 / (1 + t))
+
+    def past(s):
+        x = scale * s
+        return half * F.log1p((2 * t * x + x * x) / (n + t * t))
+
+    tail = F.exp(-half * F.log1p(t * t / n)) * scale * _integral(past)
+    whole = _integral(lambda s: half * F.log1p(s * s / n))
     return (
-        F.when((df < 1) | t.isNull(), F.lit(None).cast("double"))
-        .when(df <= _SERIES_LIMIT, F.greatest(F.lit(1.0) - inside, F.lit(0.0)))
-        .otherwise(far)
+        F.when((n <= 0) | t.isNull() | F.isnan(t), F.lit(None).cast("double"))
+        .when(t == float("inf"), 0.0)
+        .otherwise(F.least(tail / whole, F.lit(1.0)))
     )
+
+
+def normal_tail(x: Column) -> Column:
+    """P(Z > x)."""
+    t = F.abs(x.cast("double"))
+    scale = 1 / (1 + t)
+    upper = F.exp(-t * t / 2) * scale * _integral(lambda s: t * scale * s + scale * scale * s * s / 2) / math.sqrt(2 * math.pi)
+    return F.when(x >= 0, upper).otherwise(1 - upper)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.functions.tdist import two_sided_p
+from carelens.functions.tdist import normal_tail, two_sided_p
 from carelens.operators.aggs import _join_groups
 from carelens.operators.ordered import Hot, find_hot, over_ordered, running_sum
 from carelens.sources.staging import cut_lineage, stage
@@ -20,8 +20,61 @@ def _mean_ranks(pairs: DataFrame, keys: list[str], col: str, out: str, hot: Hot
     return ranked.select(*keys, col, (F.col("_upto") - (F.col("_c") - 1) / 2).alias(out))
 
 
+# Limits of the rank test and coefficients of its series (algorithm AS 89): fixed values.
+EXACT_RANKS, SERIES_RANKS = 9, 1290
+_RANK_SERIES = [0.2274, 0.2531, 0.1745, 0.0758, 0.1033, 0.3932, 0.0879, 0.0151, 0.0072, 0.0831, 0.0131, 4.6e-4]
+
+
+def rank_distance_counts(n: int) -> list[int]:
+    """How many permutations of n ranks have each sum of squared differences, by half the sum."""
+    states: dict[int, dict[int, int]] = {0: {0: 1}}
+    for i in range(n):
+        following: dict[int, dict[int, int]] = {}
+        for taken, sums in states.items():
+            for j in range(n):
+                if not taken >> j & 1:
+                    into = following.setdefault(taken | 1 << j, {})
+                    for total, times in sums.items():
+                        into[total + (i - j) ** 2] = into.get(total + (i - j) ** 2, 0) + times
+        states = following
+    [sums] = states.values()
+    return [sums.get(2 * k, 0) for k in range((n**3 - n) // 6 + 1)]
+
+
+def _rank_p(n, cor) -> Column:
+    """Two-sided p of a rank correlation without ties, as the test for small samples has it.
+
+    Up to 9 pairs all permutations are counted; beyond, an Edgeworth series
+    for the sum of squared rank differences.
+    """
+    n3 = (n * n * n - n).cast("double")
+    s = F.round(n3 * (1 - cor) / 6)  # an even whole number
+    above = s > n3 / 6
+    exact = F.lit(None).cast("double")
+    for m in range(2, EXACT_RANKS + 1):
+        counts = rank_distance_counts(m)
+        at = (s / 2).cast("int")
+        inner = F.when(above, F.slice(F.lit(counts), at + 1, len(counts))).otherwise(F.slice(F.lit(counts), 1, at + 1))
+        part = F.aggregate(inner, F.lit(0).cast("long"), lambda acc, c: acc + c.cast("long")) / sum(counts)
+        exact = F.when(n == m, part).otherwise(exact)
+    c, b = _RANK_SERIES, 1 / n.cast("double")
+    # the upper tail from s on, or the lower one up to s: the next sum is s + 2
+    x = (6 * (F.when(above, s).otherwise(s + 2) - 1) * b / (n * n - 1) - 1) * F.sqrt(1 / b - 1)
+    y = x * x
+    u = x * b * (
+        c[0] + b * (c[1] + c[2] * b)
+        + y * (-c[3] + b * (c[4] + c[5] * b) - y * b * (c[6] + c[7] * b - y * (c[8] - c[9] * b + y * b * (c[10] - c[11] * y))))
+    ) / F.exp(y / 2)
+    series = F.when(above, normal_tail(x) + u).otherwise(normal_tail(-x) - u)
+    one = F.when(n <= EXACT_RANKS, exact).otherwise(F.greatest(F.least(series, F.lit(1.0)), F.lit(0.0)))
+    return F.least(2 * one, F.lit(1.0))
+
+
 def spearman_by(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """Spearman correlation and p-value (t approximation) by group over complete pairs.
+    """Spearman correlation and p-value by group over complete pairs.
+
+    Without ties and up to 1290 pairs the p-value comes from the distribution
+    of the rank differences (`_rank_p`), else from the t approximation.
 
     Equal pairs are counted first and the counts kept, and ranks come from
     running counts over distinct values, so a group of any size is spread
@@ -52,7 +105,10 @@ def spearman_by(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     t = F.try_divide(F.col("cor") * F.sqrt((F.col("n") - 2).cast("double")), F.sqrt(1 - F.col("cor") * F.col("cor")))
     perfect = (F.abs("cor") >= 1) & (F.col("n") > 2)
     p = F.when(perfect, 0.0).otherwise(two_sided_p(t, F.col("n") - 2))
-    return out.select(*keys, "n", "cor", F.when(F.col("n") > 2, p).alias("p_val"))
+    n = F.col("n")
+    most = (n * n * n - n).cast("double") / 12  # of the sums of squares, reached without ties only
+    untied = (F.col("_sxx") == most) & (F.col("_syy") == most) & (n <= SERIES_RANKS)
+    return out.select(*keys, "n", "cor", F.when(untied & (n > 1), _rank_p(n, F.col("cor"))).when(n > 2, p).alias("p_val"))
 
 
 def linear_grid(df: DataFrame, outcomes: list[str], exposures: list[str]) -> DataFrame:
@@ -80,61 +136,58 @@ def linear_grid(df: DataFrame, outcomes: list[str], exposures: list[str]) -> Dat
     )
 
 
-def _reml(stats: DataFrame, keys: list[str], ratio) -> DataFrame:
-    """REML criterion, slope and its t value by group for each variance ratio."""
-    lam, n = F.col("_lam"), F.col("_n")
-    shrink = lam / (1 + lam * n)
+def _reml(stats: DataFrame, keys: list[str], points: Column) -> DataFrame:
+    """REML criterion and fit of each group at each of its points, arrays of ln(variance ratio); null is the ratio 0.
 
-    def s(total, u, v):
-        return F.sum(F.col(total) - shrink * F.col(u) * F.col(v))
-
-    sums = (
-        stats.withColumn("_lam", ratio)
-        .groupBy(*keys, "_lam")
-        .agg(
-            s("_n", "_n", "_n").alias("a11"), s("_x", "_n", "_x").alias("a1x"), s("_xx", "_x", "_x").alias("axx"),
-            s("_y", "_n", "_y").alias("a1y"), s("_xy", "_x", "_y").alias("axy"), s("_yy", "_y", "_y").alias("ayy"),
-            F.sum(F.log1p(lam * n)).alias("logs"), F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("clusters"),
-        )
+    A cluster of n rows weighs n / (1 + ratio n) by its mean, and 1 by what
+    lies within it; written so, nothing cancels however large the ratio is.
+    """
+    at = stats.withColumn("_at", F.explode(points)).withColumn("_lam", F.coalesce(F.exp("_at"), F.lit(0.0)))
+    at = at.withColumn("_b", F.col("_n") / (1 + F.col("_lam") * F.col("_n")))
+    b = F.col("_b")
+    sums = at.groupBy(*keys, "_at").agg(
+        F.sum(b).alias("a11"), F.sum(b * F.col("_mx")).alias("a1x"), F.sum(b * F.col("_my")).alias("a1y"),
+        F.sum(F.col("_wxx") + b * F.col("_mx") * F.col("_mx")).alias("axx"),
+        F.sum(F.col("_wxy") + b * F.col("_mx") * F.col("_my")).alias("axy"),
+        F.sum(F.col("_wyy") + b * F.col("_my") * F.col("_my")).alias("ayy"),
+        F.sum(F.log1p(F.col("_lam") * F.col("_n"))).alias("logs"),
+        (F.sum("_n") - 2).alias("free"), F.count(F.lit(1)).alias("clusters"),
     )
-    det = F.col("a11") * F.col("axx") - F.col("a1x") * F.col("a1x")
-    fit = sums.withColumn("det", det).filter(F.col("det") > 1e-9)
-    fit = fit.withColumns(
-        {
-            "slope": (F.col("a11") * F.col("axy") - F.col("a1x") * F.col("a1y")) / F.col("det"),
-            "level": (F.col("axx") * F.col("a1y") - F.col("a1x") * F.col("axy")) / F.col("det"),
-            "free": (F.col("rows") - 2).cast("double"),
-        }
-    ).withColumn("rss", F.col("ayy") - F.col("level") * F.col("a1y") - F.col("slope") * F.col("axy"))
-    fit = fit.filter((F.col("rss") > 0) & (F.col("free") > 0)).withColumns(
-        {
-            "criterion": F.col("free") * F.log("rss") + F.col("logs") + F.log("det"),
-            "t": F.col("slope") / F.sqrt(F.col("rss") / F.col("free") * F.col("a11") / F.col("det")),
-        }
+    sxx = F.col("axx") - F.col("a1x") * F.col("a1x") / F.col("a11")
+    sxy = F.col("axy") - F.col("a1x") * F.col("a1y") / F.col("a11")
+    syy = F.col("ayy") - F.col("a1y") * F.col("a1y") / F.col("a11")
+    fit = sums.withColumns({"sxx": sxx, "slope": sxy / sxx, "rss": syy - sxy * sxy / sxx})
+    fit = fit.filter((F.col("sxx") > 1e-10 * F.col("axx")) & (F.col("rss") > 0) & (F.col("free") > 0))
+    return fit.select(
+        *keys, "_at", "slope", "free", "clusters", F.log("rss").alias("log_rss"), (-F.log("sxx")).alias("log_c"),
+        (F.col("free") * F.log("rss") + F.col("logs") + F.log("a11") + F.log("sxx")).alias("criterion"),
+        (F.col("slope") / F.sqrt(F.col("rss") / F.col("free") / F.col("sxx"))).alias("t"),
     )
-    return fit.groupBy(*keys).agg(
-        F.min_by(F.struct("_lam", "slope", "t", "clusters"), F.struct("criterion", "_lam")).alias("_b")
-    ).select(*keys, "_b.*")
 
 
-# Search grid of the variance ratio, as powers of ten; 0 is tried as well.
-GRID = {"low": -60, "high": 30, "per_decade": 10, "fine": 1000}
+# ln(variance ratio): from where a ratio is as good as none to where the fit is its limit, to the last digit of a double.
+LOWEST, HIGHEST, DECADE = -30, 18, 2.302585092994046
+STENCIL = 0.02
 
 
 def random_intercept_by(
     df: DataFrame, keys: list[str], y: str, x: str, cluster: str, weight: str | None = None
 ) -> DataFrame:
-    """Per group: y ~ x with a random intercept by cluster (REML); slope, t and p of x.
+    """Per group: y ~ x with a random intercept by cluster (REML); slope, t, degrees of freedom and p of x.
 
-    Rows are reduced to six sums by (group, cluster).  The criterion is then
-    a closed form of the variance ratio, searched on a grid and once more on
-    a fine grid round the best point.  Degrees of freedom: clusters - 2.
+    Rows are reduced to sums by (group, cluster).  The criterion is then a
+    closed form of the variance ratio.  Its lowest point is sought among 0 and
+    all ratios a double can tell apart, narrowed three times, and met by two
+    Newton steps.  Degrees of freedom are Satterthwaite's, from derivatives
+    of the criterion; without variance between clusters they are rows - 2, in
+    the limit without variance within clusters they are clusters - 2.
     """
     yc, xc = F.col(y).cast("double"), F.col(x).cast("double")
 
     def total(*factors):
         return F.sum(reduce(lambda a, b: a * b, [F.col(f) for f in factors], F.col("_w")))
 
+    n = F.col("_n")
     stats = (
         df.select(
             *keys, F.col(cluster).alias("_c"), yc.alias("_yv"), xc.alias("_xv"),
@@ -146,25 +199,59 @@ def random_intercept_by(
             F.sum("_w").alias("_n"), total("_xv").alias("_x"), total("_yv").alias("_y"),
             total("_xv", "_xv").alias("_xx"), total("_xv", "_yv").alias("_xy"), total("_yv", "_yv").alias("_yy"),
         )
-    )
-    stats = cut_lineage(stats)  # clusters by group, read by both searches
-    per, fine = GRID["per_decade"], GRID["fine"]
-    coarse = F.transform(
-        F.sequence(F.lit(GRID["low"]), F.lit(GRID["high"])), lambda k: F.pow(F.lit(10.0), k / per)
-    )
-    best = _reml(stats, keys, F.explode(F.concat(F.array(F.lit(0.0)), coarse)))
-    half = fine // per
-    near = F.when(F.col("_start") == 0, F.array(F.lit(0.0))).otherwise(
-        F.transform(
-            F.sequence(F.lit(-half), F.lit(half)), lambda k: F.col("_start") * F.pow(F.lit(10.0), k / fine)
+        .select(
+            *keys, "_n", (F.col("_x") / n).alias("_mx"), (F.col("_y") / n).alias("_my"),
+            F.greatest(F.col("_xx") - F.col("_x") * F.col("_x") / n, F.lit(0.0)).alias("_wxx"),
+            (F.col("_xy") - F.col("_x") * F.col("_y") / n).alias("_wxy"),
+            F.greatest(F.col("_yy") - F.col("_y") * F.col("_y") / n, F.lit(0.0)).alias("_wyy"),
         )
     )
-    around = _join_groups(stats, best.select(*keys, F.col("_lam").alias("_start")), keys).filter("_start is not null")
-    fit = _reml(around, keys, F.explode(near))
-    free = F.col("clusters") - 2
+    stats = cut_lineage(stats)  # clusters by group, read by every search
+    none = F.array(F.lit(None).cast("double"))
+
+    def around(step, count):
+        spread = F.transform(F.sequence(F.lit(-count), F.lit(count)), lambda k: F.col("_mid") + k * step)
+        edge = F.col("_mid") >= HIGHEST * DECADE
+        return F.when(F.col("_mid").isNull(), none).when(edge, F.array("_mid")).otherwise(spread)
+
+    def near(best):
+        return _join_groups(stats, best, keys).filter("_found")
+
+    def lowest(fit):
+        best = fit.groupBy(*keys).agg(F.min_by(F.struct(F.col("_at").alias("a")), F.struct("criterion", "_at")).alias("_s"))
+        return best.select(*keys, F.col("_s.a").alias("_mid"), F.lit(True).alias("_found"))
+
+    grid = F.transform(F.sequence(F.lit(2 * LOWEST), F.lit(2 * HIGHEST)), lambda k: k * (DECADE / 2))
+    best = lowest(_reml(stats, keys, F.concat(none, grid)))
+    for step in (DECADE / 40, DECADE / 800):
+        best = cut_lineage(lowest(_reml(near(best), keys, around(step, 20))))
+
+    def stencil(best):
+        """Five neighbouring fits of each group in a row, and derivatives at the middle one."""
+        fit = _reml(near(best), keys, around(STENCIL, 2))
+        five = fit.groupBy(*keys).agg(
+            F.sort_array(F.collect_list(F.struct("_at", "criterion", "log_rss", "log_c", "slope", "t", "free", "clusters"))).alias("_f")
+        )  # five rows of a group
+        f = lambda i, name: F.try_element_at("_f", F.lit(i + 3))[name]
+
+        def slope_of(name):
+            return (f(-2, name) - 8 * f(-1, name) + 8 * f(1, name) - f(2, name)) / (12 * STENCIL)
+
+        bend = (-f(-2, "criterion") + 16 * f(-1, "criterion") - 30 * f(0, "criterion") + 16 * f(1, "criterion") - f(2, "criterion")) / (12 * STENCIL**2)
+        middle = F.when(F.size("_f") == 5, F.get("_f", F.lit(2))).otherwise(F.get("_f", F.lit(0)))
+        return five.withColumns({"_m": middle, "_d1": slope_of("criterion"), "_d2": bend, "_turn": slope_of("log_rss") + slope_of("log_c")})
+
+    for _ in range(2):
+        five = stencil(best)
+        moved = F.when((F.size("_f") == 5) & (F.col("_d2") > 0), F.greatest(F.least(-F.col("_d1") / F.col("_d2"), F.lit(0.1)), F.lit(-0.1))).otherwise(0.0)
+        best = cut_lineage(five.select(*keys, (F.col("_m._at") + moved).alias("_mid"), F.lit(True).alias("_found")))
+    fit = stencil(best)
+    free, clusters = F.col("_m.free"), F.col("_m.clusters")
+    between = F.when(F.col("_d2") > 0, 1 / (1 / free + F.col("_turn") * F.col("_turn") / F.col("_d2")))
+    freedom = F.when(F.col("_m._at").isNull(), free).otherwise(F.coalesce(between, (clusters - 2).cast("double")))
     return fit.select(
-        *keys, F.col("slope").alias("estimate"), F.col("t").alias("t_value"), F.col("clusters").alias("n_clusters"),
-        F.when(free > 0, two_sided_p(F.col("t"), free)).alias("p_val"),
+        *keys, F.col("_m.slope").alias("estimate"), F.col("_m.t").alias("t_value"), clusters.alias("n_clusters"), freedom.alias("df"),
+        F.when(clusters > 2, two_sided_p(F.col("_m.t"), freedom)).alias("p_val"),
     )
 
 

@@ -100,13 +100,6 @@ def locf(df, key, order, col, out=None, hot: Hot | None = None) -> DataFrame:
     return filled.withColumn(name, F.col("_filled")).drop("_filled")
 
 
-def days_off(df, key, order, date, duration, limit=fixed.RESTART_AFTER_DAYS_OFF, hot: Hot | None = None) -> DataFrame:
-    """Days between a refill and the end of the supply before it; restart beyond ``limit``."""
-    ends = over_ordered(df, key, order, {"_until": prev(add_days(F.col(date), F.col(duration)))}, hot)
-    off = days_between(F.col(date), F.col("_until"))
-    return ends.withColumns({"days_off_rx": off, "is_restart": off > limit}).drop("_until")
-
-
 def zscore(df: DataFrame, cols: list[str]) -> DataFrame:
     """Standardise columns to mean 0 and sd 1 over all rows; the moments are a scalar subquery."""
     moments = df.agg(

@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.functions.dates import days_between, month_end
+from carelens import fixed
+from carelens.functions.dates import add_days, days_between, month_end
 from carelens.operators.joins import beside_totals
-from carelens.operators.ordered import Hot
 from carelens.operators.reshape import melt_blocks
-from carelens.operators.windows import days_off
 
 PARTS = ["prescriber", "location", "date", "duration"]
 
 
-def registry_long(register: DataFrame, refills: int, hot: Hot | None = None) -> DataFrame:
-    """One row per prescription; 0 is the initial one. Days off and restart flag by patient."""
-    blocks = {0: {p: f"init_{p}" for p in PARTS}}
-    blocks |= {n: {p: f"refill{n}_{p}" for p in PARTS} for n in range(1, refills + 1)}
+def registry_long(register: DataFrame, refills: int = 6) -> DataFrame:
+    """One row per prescription; 0 is the initial one.  Days off since the supply before it, and restart flag.
+
+    The prescription before stands in the same wide row, so nothing is sorted or shuffled.
+    """
+    names = ["init", *[f"refill{n}" for n in range(1, refills + 1)]]
+    blocks = {n: {p: f"{name}_{p}" for p in PARTS} for n, name in enumerate(names)}
+    ends = {f"_until_{n}": add_days(F.col(f"{names[n - 1]}_date"), F.col(f"{names[n - 1]}_duration")) if n else F.lit(None).cast("date") for n in blocks}
+    blocks = {n: {**cols, "_until": f"_until_{n}"} for n, cols in blocks.items()}
     ids = ["ID", "admit_date", "diag_date", "disc_date", "MOUD_type"]
-    long = melt_blocks(register, ids, blocks, "refill")
-    return days_off(long, ["ID"], ["refill"], "date", "duration", hot=hot)
+    long = melt_blocks(register.withColumns(ends), ids, blocks, "refill")
+    off = days_between(F.col("date"), F.col("_until"))
+    return long.withColumns({"days_off_rx": off, "is_restart": off > fixed.RESTART_AFTER_DAYS_OFF}).drop("_until")
 
 
 def within_month(date: Column, start: str) -> Column:

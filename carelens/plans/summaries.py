@@ -76,13 +76,23 @@ def total_vs_imat(scored: DataFrame, imat: DataFrame, variable: str = "imat_tota
 
 
 def community_factors(
-    scored: DataFrame, items: DataFrame, info: DataFrame, questions=fixed.FACTOR_QUESTIONS, item=fixed.FACTOR_ITEM,
-    excluded=fixed.FACTOR_EXCLUDED_SITES,
+    scored: DataFrame, items: DataFrame, info: DataFrame, date: str | None = None, questions=fixed.FACTOR_QUESTIONS,
+    item=fixed.FACTOR_ITEM, excluded=fixed.FACTOR_EXCLUDED_SITES,
 ) -> DataFrame:
-    """Question values and one integration item by site and date, site attributes, exclusions."""
+    """Question values and one integration item by site and date, site attributes, exclusions.
+
+    ``date`` is the survey date; without it each date of a site is a row.  The
+    1-5 item is put on the 1-7 scale.  Several answers of a site on a date are
+    averaged, so that a cell is unique.
+    """
     keys = ["program_id", "date"]
-    wide = pivot(scored.filter(F.col("q_num").isin(questions)), keys, "q_num", "raw_value", questions, prefix="cdi_")
-    picked = items.filter(F.col("variable") == item).groupBy(*keys).agg(F.max("value").alias(item))
+    if date is not None:
+        day = F.lit(date).cast("date")
+        scored, items = scored.filter(F.col("date") == day), items.filter(F.col("date") == day)
+    asked = scored.filter(F.col("q_num").isin(questions)).groupBy(*keys, "q_num").agg(_mean(scored, "raw_value").alias("mean"))
+    wide = pivot(asked, keys, "q_num", "mean", questions, prefix="cdi_")
+    scaled = items.filter(F.col("variable") == item).withColumn(item, recode(F.col("value"), fixed.FIVE_TO_SEVEN).cast("double"))
+    picked = scaled.groupBy(*keys).agg(F.avg(item).alias(item))
     joined = same_keys(wide, picked, keys)
     return left_lookup(joined, small_side(info), [("program_id", "program_id")]).filter(
         ~F.col("program_id").isin(excluded)
@@ -94,11 +104,9 @@ def factor_columns(questions=fixed.FACTOR_QUESTIONS, item=fixed.FACTOR_ITEM) ->
 
 
 def factor_summary(study: DataFrame) -> DataFrame:
-    """Means and sds of the factors, the 1-5 item put on the 1-7 scale."""
-    cols = factor_columns()
-    rescaled = study.withColumn(fixed.FACTOR_ITEM, recode(F.col(fixed.FACTOR_ITEM), fixed.FIVE_TO_SEVEN))
-    c = {name: F.col(name).cast("double") for name in cols}
-    return rescaled.agg(
+    """Means and sds of the factors."""
+    c = {name: F.col(name).cast("double") for name in factor_columns()}
+    return study.agg(
         *[F.avg(v).alias(f"{n}_mean") for n, v in c.items()], *[F.stddev_samp(v).alias(f"{n}_sd") for n, v in c.items()]
     )
 

@@ -255,7 +255,7 @@ def _(spark, d):
 
 REGISTER_SQL = " UNION ALL ".join(
     f"SELECT ID, admit_date, diag_date, disc_date, MOUD_type, {n} AS refill, {p}_prescriber AS prescriber, {p}_location AS location, "
-    f"{p}_date AS date, {p}_duration AS duration FROM v_register" for n, p in enumerate(["init", "refill1", "refill2"])
+    f"{p}_date AS date, {p}_duration AS duration FROM v_register" for n, p in enumerate(["init", *[f"refill{n}" for n in range(1, 7)]])
 )
 
 
@@ -265,9 +265,7 @@ WITH r AS ({REGISTER_SQL}) SELECT b.ID, b.refill, b.date, CAST(b.date - (a.date
 def _(spark, d):
     from carelens.plans.archive import registry_long
 
-    register = view(spark, d, "v_register")
-    hot = find_hot(register.withColumn("refill", F.lit(0)), ["ID"], ["refill"])
-    return registry_long(register, 2, hot).select("ID", "refill", "date", "days_off_rx", "is_restart")
+    return registry_long(view(spark, d, "v_register")).select("ID", "refill", "date", "days_off_rx", "is_restart")
 
 
 @query("win_zscore", """

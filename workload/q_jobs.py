@@ -356,22 +356,25 @@ def _(spark, d):
     return r6(summaries.site_distribution(grouped(spark, d)))
 
 
+FACTORS_SQL = f"""{_ACTIVE}, w AS (SELECT program_id, date, {", ".join(f"avg(raw_value) FILTER (q_num = '{q}') AS cdi_{q}" for q in fixed.FACTOR_QUESTIONS)}
+  FROM active WHERE q_num IN ({", ".join(f"'{q}'" for q in fixed.FACTOR_QUESTIONS)}) GROUP BY ALL),
+i AS (SELECT program_id, {_IMAT_MONTH}, avg([1.0, 2.5, 4.0, 5.5, 7.0][imat_d5_6]::DOUBLE) AS imat_d5_6 FROM v_imat GROUP BY ALL),
+j AS (SELECT w.*, imat_d5_6 FROM w LEFT JOIN i USING (program_id, date) WHERE CAST(substr(program_id, 3) AS INT) NOT BETWEEN 54 AND 62)"""
+
+
 @query("job_community_factors", f"""
-WITH {_ACTIVE}, w AS (SELECT program_id, date, {", ".join(f"max(raw_value) FILTER (q_num = '{q}') AS cdi_{q}" for q in fixed.FACTOR_QUESTIONS)}
-  FROM active GROUP BY ALL HAVING count(*) FILTER (q_num IN ({", ".join(f"'{q}'" for q in fixed.FACTOR_QUESTIONS)})) > 0),
-i AS (SELECT program_id, {_IMAT_MONTH}, max(imat_d5_6) AS imat_d5_6 FROM v_imat GROUP BY ALL),
-j AS (SELECT w.*, [1.0, 2.5, 4.0, 5.5, 7.0][imat_d5_6]::DOUBLE AS imat_d5_6 FROM w LEFT JOIN i USING (program_id, date)
-  WHERE CAST(substr(program_id, 3) AS INT) NOT BETWEEN 54 AND 62)
-SELECT {", ".join(f"round(avg({c}), 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_sd" for c in summaries.factor_columns())} FROM j""")
+WITH {FACTORS_SQL}
+SELECT {", ".join(f"round(avg({c}), 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_sd" for c in summaries.factor_columns())} FROM j
+WHERE date = DATE '{LAST_MONTH}'""")
 def _(spark, d):
-    return r6(summaries.factor_summary(factors(spark, d)))
+    return r6(summaries.factor_summary(factors(spark, d, LAST_MONTH)))
 
 
-def factors(spark, d):
+def factors(spark, d, date=None):
     sites = view(spark, d, "v_site")
     info = baseline.program_info(sites.filter("type = 'SUD'"), sites.filter("type = 'PC'"))
     answers = active(spark, d, ["program_id", "type", "date"])
-    return summaries.community_factors(answers, integration.imat_items(view(spark, d, "v_imat")), info)
+    return summaries.community_factors(answers, integration.imat_items(view(spark, d, "v_imat")), info, date)
 
 
 # ---- survey tables
@@ -543,5 +546,5 @@ n AS (SELECT count(DISTINCT ifnull(prescriber, '?')) FILTER (recent AND location
 SELECT a1, a2, a1 + a2 AS a3, b1, b2, b3, b4, b3 + b4 AS b5, round(fresh / (b3 + b4), 6) AS b6, round(again / (b3 + b4), 6) AS b7, c1 FROM n""")
 def _(spark, d):
     register = view(spark, d, "v_register")
-    return r6(archive.registry_measures(archive.registry_long(register, 2), "1998-06-01"))
+    return r6(archive.registry_measures(archive.registry_long(register), "1998-06-01"))
 

@@ -60,9 +60,9 @@ def _(spark, d):
 
 
 @query("src_manual_records", """
-SELECT date, program_id, variable, CASE WHEN month(date) = 7 THEN NULL ELSE value END AS value FROM v_long WHERE variable = 'reaim_b1'""")
+SELECT date, program_id, variable, CASE WHEN month(date) = 7 THEN NULL ELSE value END AS value FROM v_long""")
 def _(spark, d):
-    long = view(spark, d, "v_long").filter("variable = 'reaim_b1'")
+    long = view(spark, d, "v_long")
     m = F.month("date") % 4
     text = F.date_format("date", "MMM-yy")
     for n, pattern in enumerate(["MMM-yyyy", "MMM yy", "MMM yyyy"], 1):

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from carelens import fixed
 from carelens.operators import cluster, stats
 from carelens.plans import summaries
-from workload.q_jobs import _SITES, LAST_MONTH, REGRESSION_SQL, active, factors, grouped, regression_inputs
+from workload.q_jobs import _SITES, FACTORS_SQL, LAST_MONTH, REGRESSION_SQL, active, factors, grouped, regression_inputs
 from workload.registry import query, r6
-from workload.views import ITEMS, table, view
+from workload.views import table, view
 
-SUBSCALES = sorted({s for _, i, s, _ in fixed.SURVEY_ITEMS if i in ITEMS})
+SUBSCALES = sorted({s for _, _, s, _ in fixed.SURVEY_ITEMS})
 LEVELS = ["inner", "outer", "patient", "staff"]
 
 
@@ -24,6 +24,22 @@ def _p(t: str, v: str) -> str:
     )
 
 
+def _rank_p() -> str:
+    """The series for untied ranks, written from the sum of squared differences; normal tails by Simpson's rule."""
+    s = "round((pow(n, 3) - n) * (1 - cor) / 6)"
+    up = f"({s} > (pow(n, 3) - n) / 6)"
+    x = f"((6 * (CASE WHEN {up} THEN {s} - 1 ELSE {s} + 1 END) / n / (n * n - 1) - 1) * sqrt(n - 1))"
+    u = (
+        f"({x} / n * (0.2274 + (0.2531 + 0.1745 / n) / n + pow({x}, 2) * (-0.0758 + (0.1033 + 0.3932 / n) / n - pow({x}, 2) / n * "
+        f"(0.0879 + 0.0151 / n - pow({x}, 2) * (0.0072 - 0.0831 / n + pow({x}, 2) / n * (0.0131 - 4.6e-4 * pow({x}, 2)))))) / exp(pow({x}, 2) / 2))"
+    )
+    inner = (
+        f"({x} / 6000 * list_sum(list_transform(range(2001), lambda k: (CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) "
+        f"* exp(-pow({x} * k / 2000, 2) / 2))) / sqrt(2 * pi()))"
+    )
+    return f"least(1, 2 * CASE WHEN {up} THEN 0.5 - {inner} + {u} ELSE 0.5 + {inner} - {u} END)"
+
+
 def _spearman(rows: str, keys: str) -> str:
     """Rank correlation by keys of rows (keys, x, y)."""
     part = f"PARTITION BY {keys}" if keys else ""
@@ -32,9 +48,9 @@ def _spearman(rows: str, keys: str) -> str:
     return f"""pairs AS ({rows}),
 ranks AS (SELECT {out}rank() OVER ({part} ORDER BY x) + (count(*) OVER ({both}x) - 1) / 2.0 AS rx,
   rank() OVER ({part} ORDER BY y) + (count(*) OVER ({both}y) - 1) / 2.0 AS ry FROM pairs WHERE x IS NOT NULL AND y IS NOT NULL),
-cors AS (SELECT {out}count(*) AS n, corr(rx, ry) AS cor FROM ranks {"GROUP BY " + keys if keys else ""}),
+cors AS (SELECT {out}count(*) AS n, corr(rx, ry) AS cor, count(DISTINCT rx) = count(*) AND count(DISTINCT ry) = count(*) AND count(*) BETWEEN 10 AND 1290 AS no_ties FROM ranks {"GROUP BY " + keys if keys else ""}),
 ts AS (SELECT *, cor * sqrt(n - 2) / sqrt(1 - cor * cor) AS t FROM cors)
-SELECT {out}n, round(cor, 6) + 0.0 AS cor, round({_p("t", "n - 2")}, 6) + 0.0 AS p_val FROM ts"""
+SELECT {out}n, round(cor, 6) + 0.0 AS cor, round(CASE WHEN no_ties THEN {_rank_p()} ELSE {_p("t", "n - 2")} END, 6) + 0.0 AS p_val FROM ts"""
 
 
 @query("stat_spearman", "WITH " + _spearman("SELECT l_returnflag, l_quantity AS x, l_tax AS y FROM lineitem", "l_returnflag"))
@@ -50,11 +66,9 @@ def _(spark, d):
 
 
 @query("job_total_vs_imat", f"WITH {_SITES}, " + _spearman(f"""
-SELECT total_val AS x, value AS y FROM totals LEFT JOIN (SELECT program_id, value FROM v_long WHERE variable = 'imat_total'
-  AND date = DATE '{LAST_MONTH}') i USING (program_id)""", ""))
+SELECT total_val AS x, value AS y FROM totals LEFT JOIN (SELECT program_id, value FROM v_long WHERE variable = 'imat_total') i USING (program_id)""", ""))
 def _(spark, d):
-    imat = view(spark, d, "v_long").filter(F.col("date") == F.lit(LAST_MONTH).cast("date"))
-    return r6(summaries.total_vs_imat(grouped(spark, d), imat))
+    return r6(summaries.total_vs_imat(grouped(spark, d), view(spark, d, "v_long")))
 
 
 _GRID = " UNION ALL ".join(
@@ -72,41 +86,54 @@ def _(spark, d):
 
 
 def _reml_sql(rows: str, key: str) -> str:
-    """The same criterion and search grid, as joins and sums."""
+    """REML by halving on the analytic derivative of the criterion; the clusters of a group are a list.
+
+    b is a cluster's weight, n / (1 + lam n), whose derivative is -b * b.
+    """
+
+    def over(expr: str) -> str:
+        body = expr.replace("$b", "(k.n / (1 + lam * k.n))")
+        return f"list_sum(list_transform(c, lambda k: {body}))"
 
-    def fit(name: str, grid: str) -> str:
+    def score(source: str) -> str:
         sums = ", ".join(
-            f"sum({a} - lam / (1 + lam * n) * {u} * {v}) AS {o}"
-            for a, u, v, o in [("n", "n", "n", "a11"), ("sx", "n", "sx", "a1x"), ("sxx", "sx", "sx", "axx"),
-                               ("sy", "n", "sy", "a1y"), ("sxy", "sx", "sy", "axy"), ("syy", "sy", "sy", "ayy")]
+            f"{over(e)} AS {n}" for n, e in [
+                ("a11", "$b"), ("a1x", "$b * k.mx"), ("axx", "k.wxx + $b * k.mx * k.mx"), ("a1y", "$b * k.my"),
+                ("axy", "k.wxy + $b * k.mx * k.my"), ("ayy", "k.wyy + $b * k.my * k.my"),
+                ("b11", "$b * $b"), ("b1x", "$b * $b * k.mx"), ("bxx", "$b * $b * k.mx * k.mx")]
         )
-        return f"""{name} AS (SELECT *, (a11 * axy - a1x * a1y) / det AS slope,
-    (n_rows - 2) * ln(ayy - (axx * a1y - a1x * axy) / det * a1y - (a11 * axy - a1x * a1y) / det * axy) + logs + ln(det) AS criterion,
-    (ayy - (axx * a1y - a1x * axy) / det * a1y - (a11 * axy - a1x * a1y) / det * axy) / (n_rows - 2) AS s2
-  FROM (SELECT *, a11 * axx - a1x * a1x AS det FROM (SELECT {key}, lam, {sums}, sum(ln(1 + lam * n)) AS logs, sum(n) AS n_rows, count(*) AS clusters
-    FROM {grid} GROUP BY ALL)) WHERE det > 1e-9
-  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY criterion, lam) = 1)"""
-
-    return f"""reml_stats AS (SELECT {key}, site_group, count(*)::DOUBLE AS n, sum(x) AS sx, sum(y)::DOUBLE AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy,
-    sum(y * y)::DOUBLE AS syy FROM (SELECT {key}, site_group, y, CASE type WHEN 'SUD' THEN 1.0::DOUBLE ELSE 0 END AS x FROM ({rows}) WHERE y IS NOT NULL)
-  GROUP BY ALL),
-coarse_grid AS (SELECT s.*, unnest(list_concat([0.0::DOUBLE], list_transform(range(-60, 31), lambda k: pow(10.0::DOUBLE, k / 10)))) AS lam FROM reml_stats s),
-{fit("coarse_fit", "coarse_grid")},
-fine_grid AS (SELECT s.*, unnest(CASE WHEN c.lam = 0 THEN [0.0::DOUBLE] ELSE list_transform(range(-100, 101), lambda k: c.lam * pow(10.0::DOUBLE, k / 1000)) END) AS lam
-  FROM reml_stats s JOIN coarse_fit c USING ({key})),
-{fit("fine_fit", "fine_grid")},
-reml AS (SELECT {key}, slope AS estimate, slope / sqrt(s2 * a11 / det) AS t_value, clusters AS n_clusters FROM fine_fit)"""
+        return f"""(SELECT *, lam * (free * drss / rss + a11 + ddet / det) AS score, lam * drss / rss AS r1, lam * (-ddet / det - b11 / a11) AS c1,
+    slope / sqrt(rss / free * a11 / det) AS t FROM (
+  SELECT *, ayy - level * a1y - slope * axy AS rss, -{over("$b * $b * pow(k.my - level - slope * k.mx, 2)")} AS drss,
+    -(b11 * axx + a11 * bxx - 2 * a1x * b1x) AS ddet FROM (
+  SELECT *, (a11 * axy - a1x * a1y) / det AS slope, (axx * a1y - a1x * axy) / det AS level FROM (
+  SELECT *, a11 * axx - a1x * a1x AS det FROM (SELECT *, {sums} FROM {source})))))"""
+
+    return f"""reml_stats AS (SELECT {key}, site_group, count(*)::DOUBLE AS n, avg(x) AS mx, avg(y)::DOUBLE AS my, sum(x * x) - sum(x) * sum(x) / count(*) AS wxx,
+    (sum(x * y) - sum(x) * sum(y) / count(*))::DOUBLE AS wxy, (sum(y * y) - sum(y) * sum(y) / count(*))::DOUBLE AS wyy
+  FROM (SELECT {key}, site_group, y::DOUBLE AS y, CASE type WHEN 'SUD' THEN 1.0::DOUBLE ELSE 0 END AS x FROM ({rows}) WHERE y IS NOT NULL) GROUP BY ALL),
+reml_lists AS (SELECT {key}, list({{'n': n, 'mx': mx, 'my': my, 'wxx': wxx, 'wxy': wxy, 'wyy': wyy}}) AS c, sum(n) - 2 AS free, count(*) AS clusters
+  FROM reml_stats GROUP BY {key} HAVING sum(n) > 2 AND count(DISTINCT mx) > 1),
+halving AS (SELECT 0 AS step, {key}, c, free, clusters, -69.0::DOUBLE AS lo, 41.0::DOUBLE AS hi FROM reml_lists
+  UNION ALL SELECT step + 1, {key}, c, free, clusters, CASE WHEN score < 0 THEN ln(lam) ELSE lo END, CASE WHEN score < 0 THEN hi ELSE ln(lam) END
+  FROM {score("(SELECT *, exp((lo + hi) / 2) AS lam FROM halving WHERE step < 90)")}),
+found AS (SELECT {key}, c, free, clusters, CASE WHEN hi < -60 THEN 0 ELSE exp(lo) END AS lam FROM halving WHERE step = 90),
+bends AS (SELECT {key}, (max(score) FILTER (side = 1) - max(score) FILTER (side = -1)) / 0.002 AS bend
+  FROM {score("(SELECT {key}, c, free, clusters, side, lam * exp(side * 0.001) AS lam FROM found, (VALUES (-1), (1)) s(side))".replace("{key}", key))} GROUP BY {key}),
+reml AS (SELECT {key}, slope AS estimate, t AS t_value, clusters AS n_clusters,
+    CASE WHEN lam = 0 THEN free ELSE 1 / (1 / free + pow(r1 + c1, 2) / bend) END AS df FROM {score("found")} JOIN bends USING ({key}))"""
 
 
 _ANSWER_ROWS = f"SELECT q_num, raw_value AS y, type, {'CASE WHEN CAST(substr(program_id, 3) AS INT) BETWEEN 53 AND 62 THEN ' + chr(39) + 'PC_group1' + chr(39) + ' ELSE program_id END'} AS site_group FROM active"
 
 
 @query("stat_random_intercept", f"""
-WITH {_SITES}, {_reml_sql(_ANSWER_ROWS, "q_num")}
-SELECT q_num, round(estimate, 5) + 0.0 AS estimate, round(t_value, 5) + 0.0 AS t_value, n_clusters, round({_p("t_value", "n_clusters - 2")}, 5) + 0.0 AS p_val FROM reml""")
+WITH RECURSIVE {_SITES}, {_reml_sql(_ANSWER_ROWS, "q_num")}
+SELECT q_num, round(estimate, 5) + 0.0 AS estimate, round(t_value, 5) + 0.0 AS t_value, n_clusters, round(df, 4) AS df, round({_p("t_value", "df")}, 5) + 0.0 AS p_val FROM reml""")
 def _(spark, d):
     coded = grouped(spark, d).withColumn("_is_sud", (F.col("type") == "SUD").cast("double"))
-    return r6(stats.random_intercept_by(coded, ["q_num"], "raw_value", "_is_sud", "site_group", "answers"), 5)
+    fit = stats.random_intercept_by(coded, ["q_num"], "raw_value", "_is_sud", "site_group", "answers")
+    return r6(fit, 5).withColumn("df", F.round("df", 4))
 
 
 def _five(value: str, source: str, key: str) -> str:
@@ -123,28 +150,30 @@ def _five(value: str, source: str, key: str) -> str:
 
 
 @query("job_question_summary", f"""
-WITH {_SITES}, {_reml_sql(_ANSWER_ROWS, "q_num")}, five AS ({_five("raw_value", "active", "q_num")})
-SELECT five.*, round({_p("t_value", "n_clusters - 2")}, 5) + 0.0 AS p_val FROM five LEFT JOIN reml USING (q_num)""")
+WITH RECURSIVE {_SITES}, {_reml_sql(_ANSWER_ROWS, "q_num")}, five AS ({_five("raw_value", "active", "q_num")})
+SELECT five.*, round({_p("t_value", "df")}, 5) + 0.0 AS p_val FROM five LEFT JOIN reml USING (q_num)""")
 def _(spark, d):
     return r6(summaries.question_summary(grouped(spark, d)).withColumn("p_val", F.round("p_val", 5)))
 
 
 @query("job_subscale_summary", f"""
-WITH {_SITES}, {_reml_sql("SELECT subscale, subscale_val AS y, type, site_group FROM sites", "subscale")}, five AS ({_five("subscale_val", "sites", "subscale")})
-SELECT five.*, round_even({_p("t_value", "n_clusters - 2")}, 4) + 0.0 AS p_val FROM five LEFT JOIN reml USING (subscale)""")
+WITH RECURSIVE {_SITES}, {_reml_sql("SELECT subscale, subscale_val AS y, type, site_group FROM sites", "subscale")}, five AS ({_five("subscale_val", "sites", "subscale")})
+SELECT five.*, round_even({_p("t_value", "df")}, 4) + 0.0 AS p_val FROM five LEFT JOIN reml USING (subscale)""")
 def _(spark, d):
     return r6(summaries.subscale_summary(grouped(spark, d)))
 
 
-_SIX = ITEMS[:6]
-_SUM = " + ".join(_SIX)
+_FACTORS = summaries.factor_columns()
+_SUM = " + ".join(_FACTORS)
 
 
 @query("stat_cronbach_alpha", f"""
-SELECT count(*) AS n, 6 AS n_items, round(1.2 * (1 - ({" + ".join(f"var_samp({c})" for c in _SIX)}) / var_samp({_SUM})), 6) + 0.0 AS alpha
-FROM v_survey WHERE {_SUM} IS NOT NULL""")
+WITH {FACTORS_SQL}
+SELECT count(*) AS n, {len(_FACTORS)} AS n_items,
+  round({len(_FACTORS)} / {len(_FACTORS) - 1} * (1 - ({" + ".join(f"var_samp({c})" for c in _FACTORS)}) / var_samp({_SUM})), 6) + 0.0 AS alpha
+FROM j WHERE {_SUM} IS NOT NULL""")
 def _(spark, d):
-    return r6(stats.cronbach_alpha(view(spark, d, "v_survey"), _SIX))
+    return r6(stats.cronbach_alpha(factors(spark, d), _FACTORS))
 
 
 @query("stat_pca")

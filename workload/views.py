@@ -132,9 +132,11 @@ SELECT o.o_orderkey AS ID, s.program_id, CAST(o.o_orderdate AS DATE) AS admit_da
        'p' || CAST(o.o_custkey % 40 AS STRING) AS refill1_prescriber, 'Onsite' AS refill1_location,
        CAST(CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 80 AS INT) AS DATE) AS refill1_date,
        CAST(14 + o.o_orderkey % 15 AS INT) AS refill1_duration,
-       CAST(NULL AS STRING) AS refill2_prescriber, 'Offsite' AS refill2_location,
-       CASE WHEN o.o_orderkey % 4 > 0 THEN CAST(CAST(o.o_orderdate AS DATE) + 80 + CAST(o.o_custkey % 60 AS INT) AS DATE) END AS refill2_date,
-       28 AS refill2_duration
+       {", ".join(
+           f"CASE WHEN o.o_orderkey % {n} > 0 THEN 'p' || CAST((o.o_custkey + {n}) % 40 AS STRING) END AS refill{n}_prescriber, "
+           f"CASE WHEN o.o_orderkey % {n + 1} > 0 THEN 'Offsite' ELSE 'Onsite' END AS refill{n}_location, "
+           f"CASE WHEN o.o_orderkey % {n + 2} > 0 THEN CAST(CAST(o.o_orderdate AS DATE) + {40 * n} + CAST(o.o_custkey % 60 AS INT) AS DATE) END AS refill{n}_date, "
+           f"CAST({14 + n} + o.o_orderkey % 15 AS INT) AS refill{n}_duration" for n in range(2, 7))}
 FROM {_JOINED}""",
 }
 

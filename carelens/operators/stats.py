@@ -218,7 +218,9 @@ def random_intercept_by(
         return _join_groups(stats, best, keys).filter("_found")
 
     def lowest(fit):
-        best = fit.groupBy(*keys).agg(F.min_by(F.struct(F.col("_at").alias("a")), F.struct("criterion", "_at")).alias("_s"))
+        # a tiny ratio differs from none by rounding only, and then none is meant
+        worth = F.col("criterion") + F.when(F.col("_at").isNull(), 0.0).otherwise(F.abs("criterion") * 1e-11)
+        best = fit.groupBy(*keys).agg(F.min_by(F.struct(F.col("_at").alias("a")), F.struct(worth, "_at")).alias("_s"))
         return best.select(*keys, F.col("_s.a").alias("_mid"), F.lit(True).alias("_found"))
 
     grid = F.transform(F.sequence(F.lit(2 * LOWEST), F.lit(2 * HIGHEST)), lambda k: k * (DECADE / 2))

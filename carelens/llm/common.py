@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -46,3 +47,19 @@ def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """A batch in small parts, so that only a few texts are Python objects at a time."""
     for s in range(0, b.num_rows, rows):
         yield b.slice(s, rows)
+
+
+def most_frequent(counts: DataFrame, times: str, n: int) -> DataFrame:
+    """Rows with the largest counts, at most ``n``: all rows from some level on, levels being quarter powers of two.
+
+    ``counts`` is a written table, as it is read twice; only a count per level goes to the driver.
+    """
+    level = F.floor(F.log2(times) * 4)
+    sizes = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # a few hundred rows at most
+    least, total = None, 0
+    for r in sizes:
+        total += r["count"]
+        if total > n:
+            break
+        least = r["level"]
+    return counts.where(F.lit(False) if least is None else level >= least)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import batch, ship, slices, utf8
+from carelens.llm.common import batch, most_frequent, ship, slices, utf8
 from carelens.llm.components import components
 from carelens.sources.staging import new_folder, save_stage, stage
 
@@ -102,10 +102,13 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _common(read: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the commonest shingles, sorted, and their ranks from the rarest of them (1) up."""
-    counts = read.where("common").groupBy("hash").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
-    top = counts.orderBy(F.desc("times"), "hash").limit(MOST_COMMON).select("hash").toPandas()["hash"].to_numpy(np.int64).astype(np.uint64)
-    order = np.argsort(top)
-    return top[order], (len(top) - order).astype(np.int64)
+    counts = stage(read.where("common").groupBy("hash").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON), "common")
+    top = most_frequent(counts, "times", MOST_COMMON).toPandas()
+    hashes, times = top["hash"].to_numpy(np.int64).astype(np.uint64), top["times"].to_numpy(np.int64)
+    ranks = np.empty(len(hashes), np.int64)
+    ranks[np.lexsort((hashes, times))] = np.arange(1, len(hashes) + 1)
+    order = np.argsort(hashes)
+    return hashes[order], ranks[order]
 
 
 def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:

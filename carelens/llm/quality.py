@@ -97,11 +97,12 @@ def learn(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
 
 
 def trusted_documents(labels: DataFrame, bound: int = TRUSTED, key: str = "doc_id") -> DataFrame:
-    """Documents labelled good and not toxic by all their labels; of more than ``bound``, those of smallest hashed id."""
+    """Documents labelled good and not toxic by all their labels; of more than ``bound``, a share as large, by hashed id."""
     good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     by_doc = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.coalesce(good, F.lit(False))).alias("_good"))
-    chosen = by_doc.where("_good").select(F.col(key).alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(bound)
-    return F.broadcast(chosen)  # bounded by the limit
+    found = stage(by_doc.where("_good").select(F.col(key).alias("_id")), "trusted")
+    share = min(1.0, bound / max(1, found.count()))
+    return F.broadcast(found.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < share * (1 << 30)))  # about the bound at most
 
 
 def judge(docs: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,11 +7,11 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Places and weights of a double-exponential rule for integrals from 0 to infinity: s = exp(pi/2 sinh(u)), u in steps of 1/8.
-_STEP = 1 / 8
+# Places and weights of a double-exponential rule for integrals from 0 to infinity: s = exp(pi/2 sinh(u)), u in steps of 1/16.
+_STEP = 1 / 16
 _NODES = [
     (s, _STEP * math.pi / 2 * math.cosh(k * _STEP) * s)
-    for k in range(-36, 37)
+    for k in range(-72, 73)
     for s in [math.exp(math.pi / 2 * math.sinh(k * _STEP))]
 ]
 

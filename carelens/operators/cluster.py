@@ -65,9 +65,11 @@ def hclust_complete(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
     neighbour are merged at once.  Complete linkage is reducible, so the tree
     is the one that merging pair by pair gives; ties go to the smaller id.
     A cluster carries the smallest id of its members, and the branch with the
-    smaller id comes first in the leaf order.
+    smaller id comes first in the leaf order.  A missing distance is an error.
     """
-    links = cut_lineage(distances.select("site_a", "site_b", F.col("distance").alias("d")).na.drop(subset=["d"]))
+    flat = F.raise_error(F.lit("a site with equal features has no correlation with others, and no place in the tree"))
+    known = F.when(F.isnan("distance"), None).otherwise(F.col("distance"))
+    links = cut_lineage(distances.select("site_a", "site_b", F.coalesce(known, flat.cast("double")).alias("d")))
     ends = links.select(F.col("site_a").alias("site")).union(links.select(F.col("site_b").alias("site"))).distinct()
     members = ends.select("site", F.col("site").alias("cluster"), F.lit(1).cast("bigint").alias("position"))
     merges = None

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -188,6 +190,13 @@ def random_intercept_by(
         return F.sum(reduce(lambda a, b: a * b, [F.col(f) for f in factors], F.col("_w")))
 
     n = F.col("_n")
+
+    def within(v):
+        """Sum of squares within the cluster; what only rounding leaves is none."""
+        squares = F.col(v + v[1:])
+        rest = squares - F.col(v) * F.col(v) / n
+        return F.when(rest > 1e-12 * squares, rest).otherwise(0.0)
+
     stats = (
         df.select(
             *keys, F.col(cluster).alias("_c"), yc.alias("_yv"), xc.alias("_xv"),
@@ -199,11 +208,10 @@ def random_intercept_by(
             F.sum("_w").alias("_n"), total("_xv").alias("_x"), total("_yv").alias("_y"),
             total("_xv", "_xv").alias("_xx"), total("_xv", "_yv").alias("_xy"), total("_yv", "_yv").alias("_yy"),
         )
+        .withColumns({"_wxx": within("_x"), "_wyy": within("_y")})
         .select(
-            *keys, "_n", (F.col("_x") / n).alias("_mx"), (F.col("_y") / n).alias("_my"),
-            F.greatest(F.col("_xx") - F.col("_x") * F.col("_x") / n, F.lit(0.0)).alias("_wxx"),
-            (F.col("_xy") - F.col("_x") * F.col("_y") / n).alias("_wxy"),
-            F.greatest(F.col("_yy") - F.col("_y") * F.col("_y") / n, F.lit(0.0)).alias("_wyy"),
+            *keys, "_n", (F.col("_x") / n).alias("_mx"), (F.col("_y") / n).alias("_my"), "_wxx", "_wyy",
+            F.when((F.col("_wxx") > 0) & (F.col("_wyy") > 0), F.col("_xy") - F.col("_x") * F.col("_y") / n).otherwise(0.0).alias("_wxy"),
         )
     )
     stats = cut_lineage(stats)  # clusters by group, read by every search
@@ -275,22 +283,25 @@ def pca(df: DataFrame, cols: list[str]) -> DataFrame:
 
     One row per component: sd, proportion, cumulative proportion and the
     loading of each column.  The sign makes the largest loading positive.
-    Only the column-by-column covariance reaches the driver.
+    One aggregate gives the correlations; only they reach the driver.
     """
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-
     items = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v").transform(items)
-    scaler = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(vectors)
-    model = PCA(k=len(cols), inputCol="_s", outputCol="_p").fit(scaler.transform(vectors))
-    loadings = model.pc.toArray()
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i)]
+    found = items.agg(F.count(F.lit(1)), *[F.corr(cols[i], cols[j]) for i, j in pairs]).first()  # one number per pair of columns
+    matrix = np.eye(len(cols))
+    for (i, j), r in zip(pairs, found[1:]):
+        if r is None or math.isnan(r):
+            raise ValueError(f"no correlation of {cols[i]} and {cols[j]} over {found[0]} complete rows")
+        matrix[i, j] = matrix[j, i] = r
+    values, vectors = np.linalg.eigh(matrix)
     rows, so_far = [], 0.0
-    for j, part in enumerate(model.explainedVariance.toArray()):
-        vector = [float(v) for v in loadings[:, j]]
+    for n, at in enumerate(np.argsort(-values), 1):
+        vector = [float(v) for v in vectors[:, at]]
         if max(vector, key=abs) < 0:
             vector = [-v for v in vector]
-        so_far += float(part)
-        rows.append((f"PC{j + 1}", float((part * len(cols)) ** 0.5), float(part), so_far, *vector))
+        part = max(float(values[at]), 0.0) / len(cols)
+        so_far += part
+        rows.append((f"PC{n}", (part * len(cols)) ** 0.5, part, so_far, *vector))
     fields = ", ".join(f"`{c}` double" for c in cols)
     return df.sparkSession.createDataFrame(
         rows, f"component string, sd double, proportion double, cumulative double, {fields}"

@@ -221,6 +221,45 @@ def test_study_and_measures(spark, rows):
     assert ("id60", D(2022, 10, 1), 1.0, None) in wide
 
 
+def test_patients_of_an_undecoded_site_stay_apart(spark):
+    """Three patients at a site the decoder lacks are three, and their rows keep their values."""
+    visits = spark.createDataFrame([(i, i, D(2022, 9, 1 + i), "?") for i in (1, 2, 3)], "visit_id int, id_from_site int, encounter_date date, site_name string")
+    rx = spark.createDataFrame(
+        [(i, i, D(2022, 9, 1 + i), "B", "30", 0, "a", "?") for i in (1, 2, 3)],
+        "rx_id int, id_from_site int, rx_order_date date, rx_name string, rx_quantity string, rx_num_refills int, rx_provider string, rx_site_name string",
+    )
+    decoder = spark.createDataFrame([("S", "id10")], "site_name string, program_id string")
+    study = reach.build_study(visits, rx, decoder, "2022-09-01")
+    got = {(r["program_id"], r["variable"]): r["value"] for r in reach.measures_long(study).collect()}
+    assert got == {(None, "reaim_a1"): 1, (None, "reaim_b1"): 3, (None, "reaim_b2"): 3, (None, "reaim_b4"): 3, (None, "reaim_b4p"): 100, (None, "reaim_c1_n"): 3, (None, "reaim_c1p"): 100}
+
+
+def test_events_without_patient_id_are_one_patient(spark):
+    visits = spark.createDataFrame([(1, 1, D(2022, 9, 2), "S"), (2, None, D(2022, 9, 3), "S"), (3, None, D(2022, 9, 4), "S")], "visit_id int, id_from_site int, encounter_date date, site_name string")
+    rx = spark.createDataFrame(
+        [(1, 1, D(2022, 9, 2), "B", "30", 0, "a", "S"), (2, None, D(2022, 9, 4), "B", "30", 0, "b", "S")],
+        "rx_id int, id_from_site int, rx_order_date date, rx_name string, rx_quantity string, rx_num_refills int, rx_provider string, rx_site_name string",
+    )
+    decoder = spark.createDataFrame([("S", "id10")], "site_name string, program_id string")
+    study = reach.build_study(visits, rx, decoder, "2022-09-01")
+    got = {r["variable"]: r["value"] for r in reach.measures_long(study).collect()}
+    assert got["reaim_b1"] == 2 and got["reaim_a1"] == 2 and got["reaim_b4"] == 2
+
+
+def test_bad_quantities(spark):
+    """Unreadable and oversized quantities end no job: the episode has no end and touches no month; a long one touches the observed months."""
+    quantities = ["9999999999 tabs", "as directed", "900000 tabs", "30 tabs"]
+    visits = spark.createDataFrame([(i, i, D(2022, 9, 1), "S") for i in range(4)], "visit_id int, id_from_site int, encounter_date date, site_name string")
+    rx = spark.createDataFrame(
+        [(i, i, D(2022, 9, 1), "B", q, 0, "a", "S") for i, q in enumerate(quantities)] + [(9, 3, D(2023, 5, 1), "B", "30", 0, "a", "S")],
+        "rx_id int, id_from_site int, rx_order_date date, rx_name string, rx_quantity string, rx_num_refills int, rx_provider string, rx_site_name string",
+    )
+    decoder = spark.createDataFrame([("S", "id10")], "site_name string, program_id string")
+    study = reach.build_study(visits, rx, decoder, "2022-09-01")
+    months = sorted((r["id_from_site"], r["month"]) for r in study.months.select("id_from_site", "month").collect())
+    assert months == [(2, D(2022, 9, 1)), (2, D(2023, 5, 1)), (3, D(2022, 9, 1)), (3, D(2023, 5, 1))]
+
+
 def test_longer_window_counts_more(spark):
     study = tiny_study(spark)
     month = reach.c1_fast_access(study, 2).agg(F.sum("value")).first()[0]

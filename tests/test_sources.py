@@ -23,6 +23,14 @@ def test_latest_snapshot(spark, rows, tmp_path):
         R.latest_snapshot(spark, folder, ["REAIM"], "id string")
 
 
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_snapshot_folder_whose_name_occurs_earlier_in_the_path(spark, tmp_path, scheme):
+    write(tmp_path / "data" / "site (a)" / "data" / "CDI_20230101.csv", "id\nx\n")
+    folder = f"{scheme}{tmp_path}/data/site (a)/data"
+    assert R.latest_snapshot_name(spark, folder, ["CDI"]) == "CDI_20230101.csv"
+    assert R.latest_snapshot_name(spark, folder + "/", ["CDI"]) == "CDI_20230101.csv"
+
+
 def test_null_tokens_and_bad_numbers(spark, rows, tmp_path):
     write(tmp_path / "x.csv", "id,v,w\na,1,NA\nb,.,2.5\nc,na,\nd,abc,7\n")
     got = rows(R.read_csv_nulls(spark, str(tmp_path / "x.csv"), "id string, v int, w double"))

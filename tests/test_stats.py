@@ -30,8 +30,11 @@ def test_spearman_with_ties_and_missing_pairs(spark):
 def test_spearman_perfect_and_short(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 9.0), (4.0, 10.0)], "x double, y double")
     r = S.spearman_by(df, [], "x", "y").first()
-    assert r["cor"] == pytest.approx(1) and r["p_val"] == pytest.approx(0, abs=1e-9)
-    assert S.spearman_by(df.limit(2), [], "x", "y").first()["p_val"] is None
+    assert r["cor"] == pytest.approx(1) and r["p_val"] == pytest.approx(2 / 24)  # two of the orders of four
+    assert S.spearman_by(df.limit(2), [], "x", "y").first()["p_val"] == pytest.approx(1)
+    tied = df.union(df)
+    assert S.spearman_by(tied, [], "x", "y").first()["p_val"] == pytest.approx(0, abs=1e-9)
+    assert S.spearman_by(df.limit(1), [], "x", "y").first()["p_val"] is None
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 400])
@@ -80,8 +83,62 @@ def test_random_intercept_on_a_balanced_design(spark):
     a, b = np.array(means[0]), np.array(means[1])
     pooled = (a.var(ddof=1) * 5 + b.var(ddof=1) * 5) / 10
     assert r["estimate"] == pytest.approx(b.mean() - a.mean(), abs=1e-9)
-    assert r["t_value"] == pytest.approx((b.mean() - a.mean()) / np.sqrt(pooled * (2 / 6)), rel=2e-3)
-    assert r["n_clusters"] == 12
+    assert r["t_value"] == pytest.approx((b.mean() - a.mean()) / np.sqrt(pooled * (2 / 6)), rel=1e-7)
+    assert r["n_clusters"] == 12 and r["df"] == pytest.approx(10, rel=1e-5)
+
+
+def test_random_intercept_of_far_apart_clusters(spark):
+    """Clusters a thousand times as far apart as their rows; rows without any spread; and no clusters at all."""
+    rnd = np.random.default_rng(6)
+    data = []
+    for q, between, within in (("far", 1000.0, 1.0), ("rigid", 1.0, 0.0), ("none", 0.0, 1.0)):
+        for c in range(10):
+            level = between * rnd.normal()
+            noise = rnd.normal(size=6)
+            noise -= noise.mean() if q == "none" else 0.0
+            data += [(q, f"c{c}", float(c % 2), float(5 + level + within * e)) for e in noise]
+    df = spark.createDataFrame(data, "q string, c string, x double, y double")
+    fits = {r["q"]: r for r in S.random_intercept_by(df, ["q"], "y", "x", "c").collect()}
+    for q in ("far", "rigid"):
+        means = {c: np.mean([y for p, d, _, y in data if p == q and d == f"c{c}"]) for c in range(10)}
+        a, b = (np.array([means[c] for c in range(10) if c % 2 == k]) for k in (0, 1))
+        pooled = (a.var(ddof=1) * 4 + b.var(ddof=1) * 4) / 8
+        want = (b.mean() - a.mean()) / np.sqrt(pooled * (2 / 5))
+        assert fits[q]["estimate"] == pytest.approx(b.mean() - a.mean(), rel=1e-6)
+        if q == "far":
+            assert fits[q]["t_value"] == pytest.approx(want, rel=1e-6) and fits[q]["df"] == pytest.approx(8, rel=1e-4)
+    assert fits["rigid"]["df"] == pytest.approx(8)
+    assert fits["none"]["df"] == 58
+
+
+def brute_rank_p(x, y):
+    """Two-sided p over all orders of y, as twice the smaller tail."""
+    n = len(x)
+    ranks = lambda v: [sorted(v).index(e) + 1 for e in v]
+    rx, ry = ranks(x), ranks(y)
+    s = sum((a - b) ** 2 for a, b in zip(rx, ry))
+    every = [sum((a - b) ** 2 for a, b in zip(rx, p)) for p in itertools.permutations(range(1, n + 1))]
+    tail = sum(e >= s for e in every) if s > (n**3 - n) / 6 else sum(e <= s for e in every)
+    return min(1, 2 * tail / len(every))
+
+
+@pytest.mark.parametrize("n", [3, 5, 7])
+def test_untied_ranks_of_small_samples(spark, n):
+    rnd = random.Random(n)
+    for _ in range(3):
+        x, y = rnd.sample(range(100), n), rnd.sample(range(100), n)
+        df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+        assert S.spearman_by(df, [], "x", "y").first()["p_val"] == pytest.approx(brute_rank_p(x, y))
+
+
+def test_rank_series_continues_the_exact_counts(spark, monkeypatch):
+    """The series used from ten pairs on is close to the counts where both can be had."""
+    x, y = list(range(9)), [4, 0, 7, 1, 3, 8, 2, 6, 5]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    exact = S.spearman_by(df, [], "x", "y").first()["p_val"]
+    monkeypatch.setattr(S, "EXACT_RANKS", 2)
+    assert S.spearman_by(df, [], "x", "y").first()["p_val"] == pytest.approx(exact, rel=0.05)
+    assert exact == pytest.approx(brute_rank_p(x, y))
 
 
 def test_random_intercept_weights(spark):

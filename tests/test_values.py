@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from carelens.functions import dates as D
 from carelens.functions import nulls as N
 from carelens.functions import text as X
-from carelens.functions.tdist import two_sided_p
+from carelens.functions.tdist import normal_tail, two_sided_p
 
 DAY = datetime.date
 
@@ -97,5 +97,20 @@ def test_t_probability(spark, v):
         assert abs(p - reference_p(t, v)) < 1e-7, (t, v, p)
 
 
+def test_t_probability_far_out(spark):
+    """Closed forms for 1, 2 and 4 degrees of freedom, and known values where 1 - x has no digits left."""
+    two = lambda t: 2 / (math.sqrt(2 + t * t) * (math.sqrt(2 + t * t) + t))
+    want = [(t, v, f(t)) for v, f in ((1, lambda t: 2 / math.pi * math.atan(1 / t)), (2, two)) for t in (1e-3, 0.7, 8.0, 300.0)]
+    want += [(9.0, 1000, 1.1129077171871503e-18), (9.0, 1001, 1.1112243175024433e-18), (12.0, 200, 2.4221360052466547e-25)]
+    got = [r[0] for r in spark.createDataFrame([(t, v) for t, v, _ in want], "t double, v int").select(two_sided_p(F.col("t"), F.col("v"))).collect()]
+    assert all(abs(p / w - 1) < 1e-9 for p, (_, _, w) in zip(got, want)), list(zip(got, want))
+    row = spark.range(1).select(
+        two_sided_p(F.lit(float("inf")), F.lit(3.5)), two_sided_p(F.lit(2.0), F.lit(3.5)), two_sided_p(F.lit(2.0), F.lit(3)), two_sided_p(F.lit(2.0), F.lit(4)),
+        normal_tail(F.lit(1.959963984540054)), normal_tail(F.lit(-1.0)), normal_tail(F.lit(0.0)),
+    ).first()
+    assert row[0] == 0.0 and row[3] < row[1] < row[2]
+    assert row[4] == pytest.approx(0.025) and row[5] == pytest.approx(0.8413447460685429) and row[6] == pytest.approx(0.5)
+
+
 def test_t_probability_without_freedom(spark):
     assert spark.range(1).select(two_sided_p(F.lit(1.0), F.lit(0))).first()[0] is None

@@ -176,9 +176,38 @@ def _(spark, d):
     return r6(stats.cronbach_alpha(factors(spark, d), _FACTORS))
 
 
-@query("stat_pca")
+def _matrix(expr: str) -> str:
+    """A square matrix as lists of lists, from an expression in i and j."""
+    k = len(_FACTORS)
+    return f"list_transform(range(1, {k + 1}), lambda i: list_transform(range(1, {k + 1}), lambda j: {expr}))"
+
+
+_ROWS = f"range(1, {len(_FACTORS) + 1})"
+_SQUARINGS = 45
+
+
+@query("stat_pca", f"""
+WITH RECURSIVE {FACTORS_SQL}, whole AS (SELECT {", ".join(_FACTORS)} FROM j WHERE {_SUM} IS NOT NULL),
+cors AS (SELECT [{", ".join("[" + ", ".join(f"corr({a}, {b})" for b in _FACTORS) + "]" for a in _FACTORS)}] AS c FROM whole),
+powers AS (
+  SELECT 1 AS comp, 0 AS n, c, c AS m, NULL::DOUBLE[] AS v, NULL::DOUBLE AS l FROM cors
+  UNION ALL
+  SELECT CASE WHEN n = {_SQUARINGS} THEN comp + 1 ELSE comp END, CASE WHEN n = {_SQUARINGS} THEN 0 ELSE n + 1 END,
+    CASE WHEN n = {_SQUARINGS} THEN rest ELSE c END, CASE WHEN n = {_SQUARINGS} THEN rest ELSE {_matrix("sq[i][j] / size")} END,
+    CASE WHEN n = {_SQUARINGS} THEN vec END, CASE WHEN n = {_SQUARINGS} THEN val END
+  FROM (SELECT *, {_matrix("c[i][j] - val * vec[i] * vec[j]")} AS rest FROM (
+    SELECT *, list_sum(list_transform({_ROWS}, lambda i: list_sum(list_transform({_ROWS}, lambda k: vec[i] * c[i][k] * vec[k])))) AS val FROM (
+    SELECT *, list_transform({_ROWS}, lambda i: m[i][top] / sqrt(list_sum(list_transform({_ROWS}, lambda k: m[k][top] * m[k][top])))) AS vec,
+      list_sum(list_transform({_ROWS}, lambda i: sq[i][i])) AS size FROM (
+    SELECT *, list_position(diag, list_max(diag)) AS top, {_matrix(f"list_sum(list_transform({_ROWS}, lambda k: m[i][k] * m[k][j]))")} AS sq FROM (
+    SELECT *, list_transform({_ROWS}, lambda i: m[i][i]) AS diag FROM powers WHERE comp <= {len(_FACTORS)})))))),
+parts AS (SELECT comp - 1 AS comp, l, list_transform(v, lambda x: x * sign(v[list_position(list_transform(v, lambda y: abs(y)), list_max(list_transform(v, lambda y: abs(y))))])) AS v
+  FROM powers WHERE v IS NOT NULL)
+SELECT 'PC' || comp AS component, round(sqrt(l), 6) AS sd, round(l / {len(_FACTORS)}, 6) AS proportion,
+  round(sum(l) OVER (ORDER BY comp) / {len(_FACTORS)}, 6) AS cumulative, {", ".join(f"round(v[{i}], 6) + 0.0 AS {c}" for i, c in enumerate(_FACTORS, 1))}
+FROM parts""")
 def _(spark, d):
-    return r6(stats.pca(factors(spark, d), summaries.factor_columns()))
+    return r6(stats.pca(factors(spark, d), _FACTORS))
 
 
 _FEATURES = f"""{_SITES}, z AS (SELECT program_id, subscale AS feature, (subscale_val - avg(subscale_val) OVER (PARTITION BY subscale))
@@ -211,12 +240,39 @@ def tree(spark, d, feature="subscale", names=SUBSCALES, distinct=True):
     return wide, merges, leaves
 
 
-@query("stat_hclust_complete")
+def _tree_sql(z: str) -> str:
+    """Complete linkage one merge at a time: the links between clusters, and the leaves of each, as lists."""
+    other = "(CASE WHEN z.a = m.a THEN z.b ELSE z.a END)"
+    far = f"list_filter(links, lambda w: w.a = least(m.b, {other}) AND w.b = greatest(m.b, {other}))[1].d"
+    return f"""dist AS (SELECT a.program_id AS a, b.program_id AS b, 1 - corr(a.value, b.value) AS d FROM {z} a JOIN {z} b
+  ON a.feature = b.feature AND a.program_id < b.program_id GROUP BY ALL),
+tree AS (
+  SELECT 0 AS step, (SELECT list({{'a': a, 'b': b, 'd': d}}) FROM dist) AS links,
+    (SELECT list({{'c': program_id, 's': [program_id]}}) FROM (SELECT DISTINCT program_id FROM {z})) AS leaves,
+    NULL::VARCHAR AS kept, NULL::VARCHAR AS absorbed, NULL::DOUBLE AS height
+  UNION ALL
+  SELECT step + 1,
+    list_transform(list_filter(links, lambda z: z.a <> m.b AND z.b <> m.b), lambda z: {{'a': z.a, 'b': z.b,
+      'd': CASE WHEN z.a = m.a OR z.b = m.a THEN greatest(z.d, {far}) ELSE z.d END}}),
+    list_transform(list_filter(leaves, lambda x: x.c <> m.b), lambda x: {{'c': x.c,
+      's': CASE WHEN x.c = m.a THEN list_concat(x.s, list_filter(leaves, lambda w: w.c = m.b)[1].s) ELSE x.s END}}),
+    m.a, m.b, m.d
+  FROM (SELECT *, list_sort(list_transform(links, lambda x: {{'d': x.d, 'a': x.a, 'b': x.b}}))[1] AS m FROM tree WHERE len(links) > 0))"""
+
+
+@query("stat_hclust_complete", f"""
+WITH RECURSIVE {_FEATURES}, {_tree_sql("z")}
+SELECT kept, absorbed, round(height, 6) + 0.0 AS height FROM tree WHERE step > 0""")
 def _(spark, d):
     return r6(tree(spark, d)[1])
 
 
-@query("stat_profile_heat")
+@query("stat_profile_heat", f"""
+WITH RECURSIVE {_SITES}, means AS (SELECT program_id, level AS feature, avg(raw_value) AS v FROM active GROUP BY ALL),
+y AS (SELECT program_id, feature, (v - avg(v) OVER (PARTITION BY feature)) / stddev_samp(v) OVER (PARTITION BY feature) AS value FROM means),
+{_tree_sql("y")}
+SELECT program_id, feature, round(value, 6) + 0.0 AS value, list_position(leaves[1].s, program_id)::BIGINT AS position
+FROM y, (SELECT leaves FROM tree ORDER BY step DESC LIMIT 1)""")
 def _(spark, d):
     wide, _, leaves = tree(spark, d, "level", LEVELS, False)
     return r6(cluster.heat_rows(wide, "program_id", LEVELS, leaves))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from carelens.functions.nulls import percent
 from carelens.operators.ordered import find_hot, over_ordered, running_sum
 from carelens.operators.reshape import pivot_glue
+from carelens.operators.select import small_side
 from carelens.sources.staging import stage
 
 
@@ -32,6 +33,31 @@ def _value_counts(df: DataFrame, keys: list[str], col: str, weight: str | None)
     return stage(valued.groupBy(*group, "_v").agg(n.alias("_n")), "value_counts"), group
 
 
+# Ranks of approximate quantiles are off by one in ACCURACY rows at most; brackets leave more than twice that.
+ACCURACY = 10_000
+MARGIN = 2.5 / ACCURACY
+
+
+def _near_counts(df: DataFrame, keys: list[str], col: str, probs: list[float]) -> tuple[DataFrame, list[str]]:
+    """Value counts near the wanted ranks; rows elsewhere are counted as the largest of their stretch."""
+    group = list(keys) or ["_all"]
+    valued = df.withColumn("_v", F.col(col).cast("double")).filter("_v is not null")
+    valued = (valued if keys else valued.withColumn("_all", F.lit(1))).select(*group, "_v")
+    ends = [e for p in probs for e in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
+    cuts = stage(valued.groupBy(*group).agg(F.percentile_approx("_v", ends, ACCURACY).alias("_cuts")), "cuts")
+    placed = _join_groups(valued, small_side(cuts), group)
+    v, cut = F.col("_v"), lambda i: F.get("_cuts", F.lit(i))
+    # a bracket at the very end is open: the approximation may stop short of the smallest or largest value
+    above = [F.lit(True) if ends[2 * i] <= 0 else v >= cut(2 * i) for i in range(len(probs))]
+    below = [F.lit(True) if ends[2 * i + 1] >= 1 else v <= cut(2 * i + 1) for i in range(len(probs))]
+    inside = reduce(lambda a, b: a | b, [a & b for a, b in zip(above, below)])
+    passed = reduce(lambda a, b: a + b, [(~b).cast("int") for b in below])
+    counts = placed.groupBy(*group, passed.alias("_passed"), F.when(inside, v).alias("_own")).agg(
+        F.max("_v").alias("_v"), F.count(F.lit(1)).alias("_n")
+    )
+    return stage(counts.drop("_passed", "_own"), "near_counts"), group
+
+
 def _from_counts(counts: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
     """Moments and quantiles by group of a value-count table, nulls ignored.
 
@@ -79,8 +105,17 @@ def summary_from_counts(counts, keys: list[str], value: str, n: str, probs: dict
 
 
 def quantiles_by(df: DataFrame, keys: list[str], col: str, probs: dict[str, float], weight: str | None = None) -> DataFrame:
-    """Exact quantiles by group with linear interpolation, nulls ignored."""
-    counts, group = _value_counts(df, keys, col, weight)
+    """Exact quantiles by group with linear interpolation, nulls ignored.
+
+    Rows are read twice and not shuffled: approximate quantiles, whose error
+    is known, give a bracket round each wanted rank; then rows outside the
+    brackets are counted by where they lie, and values inside kept with
+    their counts.  Weighted rows are counts already.
+    """
+    if weight is None:
+        counts, group = _near_counts(df, keys, col, list(probs.values()))
+    else:
+        counts, group = _value_counts(df, keys, col, weight)
     return _from_counts(counts, group, probs).select(*keys, *probs)
 
 
@@ -139,20 +174,20 @@ def share(df, keys: list[str], col: str, out="share") -> DataFrame:
     The total is a grouped sum joined back rather than a window, so a large
     group is never gathered in one task.
     """
-    totals = df.groupBy(*keys).agg(F.sum(col).alias("_total"))
-    return _join_groups(df, totals, keys).withColumn(out, F.try_divide(F.col(col), F.col("_total"))).drop("_total")
+    totals = stage(df.groupBy(*keys).agg(F.sum(col).alias("_total")), "totals")
+    return _join_groups(df, small_side(totals), keys).withColumn(out, F.try_divide(F.col(col), F.col("_total"))).drop("_total")
 
 
 def group_any(df, keys: list[str], cond, out: str) -> DataFrame:
     """Whether any row of the group meets a condition."""
     flags = df.groupBy(*keys).agg(F.coalesce(F.bool_or(cond), F.lit(False)).alias(out))
-    return _join_groups(df, flags, keys)
+    return _join_groups(df, small_side(stage(flags, "flags")), keys)
 
 
 def latest_per_key(df, keys: list[str], date: str) -> DataFrame:
     """Rows at the latest date of their key, ties kept."""
     newest = df.groupBy(*keys).agg(F.max(date).alias("_newest"))
-    return _join_groups(df, newest, keys).filter(F.col(date) == F.col("_newest")).drop("_newest")
+    return _join_groups(df, small_side(stage(newest, "newest")), keys).filter(F.col(date) == F.col("_newest")).drop("_newest")
 
 
 def latest(df, date: str) -> DataFrame:

@@ -11,6 +11,7 @@ sample: slices only decide where the work runs.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
@@ -27,7 +28,7 @@ ROWS_WORTH_CUTTING = 100
 
 @dataclass(frozen=True)
 class Hot:
-    """Slice bounds of the heavy keys: one row per key, at most a few thousand."""
+    """Slice bounds of the heavy keys: one row per key, at most a few thousand; every ``_step``-th one apart."""
 
     keys: list[str]
     order: list[str]
@@ -70,7 +71,9 @@ def cut_heavy(
     for key, found in hits.items():
         if len(found) >= 2 * slice_rows:
             found.sort()
-            heavy.append((*key, sorted(set(found[slice_rows::slice_rows]))))
+            bounds = sorted(set(found[slice_rows::slice_rows]))
+            step = max(1, math.isqrt(len(bounds)))
+            heavy.append((*key, bounds, bounds[::step], step))
     if not heavy:
         return None
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -82,7 +85,8 @@ def cut_heavy(
         ]
     )
     schema = T.StructType(
-        [T.StructField(f"_hot_{k}", types[k]) for k in keys] + [T.StructField("_bounds", T.ArrayType(edge))]
+        [T.StructField(f"_hot_{k}", types[k]) for k in keys]
+        + [T.StructField("_bounds", T.ArrayType(edge)), T.StructField("_coarse", T.ArrayType(edge)), T.StructField("_step", T.IntegerType())]
     )
     return Hot(list(keys), list(order), df.sparkSession.createDataFrame(heavy, schema))
 
@@ -190,12 +194,13 @@ def over_ordered(
     work = df.withColumns({f"_in_{name}": col for name, (_, col) in steps.items()})
     bounds = F.broadcast(hot.bounds)  # bounded: MAX_SAMPLE / SAMPLES_PER_SLICE entries
     work = work.join(bounds, _same(work, bounds, [(k, f"_hot_{k}") for k in keys]), "left")
-    # one evaluation per row: a literal-free count of the bounds below this row
+    # the number of bounds up to this row: among every _step-th one first, then among those of that stretch
     at = _ordering(order)
+    work = work.withColumn("_from", F.greatest((F.size(F.filter("_coarse", lambda b: b <= at)) - 1) * F.col("_step"), F.lit(0)))
+    within = F.filter(F.slice("_bounds", F.col("_from") + 1, F.col("_step")), lambda b: b <= at)
     work = work.withColumn(
-        "_slice",
-        F.when(F.col("_bounds").isNull(), 0).otherwise(F.size(F.filter("_bounds", lambda b: b <= at))),
-    ).withColumn("_hot", F.col("_bounds").isNotNull()).drop("_bounds", *[f"_hot_{k}" for k in keys])
+        "_slice", F.when(F.col("_bounds").isNull(), 0).otherwise(F.col("_from") + F.size(within))
+    ).withColumn("_hot", F.col("_bounds").isNotNull()).drop("_bounds", "_coarse", "_step", "_from", *[f"_hot_{k}" for k in keys])
 
     up = Window.partitionBy(*keys, "_slice").orderBy(*_sort_cols(order))
     down = Window.partitionBy(*keys, "_slice").orderBy(*_sort_cols(order, descending=True))

@@ -54,6 +54,14 @@ def test_csv_forms(spark, tmp_path):
     assert [r[0] for r in spark.read.text(path).collect()] == ["id\tv", "a\t", "b\t2"]
 
 
+def test_discard_deletes_what_was_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_root", lambda _: str(tmp_path))
+    path = staging.save_stage(spark.range(3).toDF("x"), "t")
+    assert staging.read_stage(spark, path).count() == 3
+    staging.discard(spark)
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_stage_goes_to_the_shared_folder(spark, rows):
     root = staging.shared_root(spark)
     path = staging.save_stage(spark.range(3).toDF("x"), "t")

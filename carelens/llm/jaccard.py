@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,48 +18,60 @@ from carelens.sources.staging import new_folder, save_stage, stage
 SIZE = 5  # words of a shingle
 PERCENT = 80  # least similarity
 CHUNK = 8 << 20  # bytes of text worked on at once
-CACHED = 300_000  # words a worker remembers with their hashes
-LOCAL = 4  # sets of one task that make a shingle worth counting
-COMMON = 16  # sets of all tasks that make it a common one
-MOST_COMMON = 1 << 18  # shingles in the broadcast order, about 3 MB; others come by hash alone
+STRETCH = 1 << 20  # bytes of text hashed at once
+WORDS = 20_000  # words hashed at once of a longer text
+BASE = 0x9E3779B97F4A7C15  # of the running sum, odd
+LOCAL = 2  # sets of one task that make a shingle worth counting
+COMMON = 4  # such sets of all tasks that make it a common one
+MOST_COMMON = 1 << 20  # shingles in the broadcast order, 16 MB; others come by hash alone
 FILTER_BITS = (1 << 26) - 5  # of the broadcast filter of documents whose sets are wanted: 8 MB
 SALT = 2_000  # sets compared with one centre in a task
 
-# Odd multipliers of the places of a shingle; those of shorter sequences are taken from the end.
-WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
 READ = pa.schema([("common", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.binary()), ("hash", pa.int64()), ("times", pa.int64())])
 POSTINGS = pa.schema([("kind", pa.int32()), ("hash", pa.int64()), ("gid", pa.int64()), ("place", pa.int64()), ("set_id", pa.binary())])
 SETS = pa.schema([("v", pa.int64()), ("cells", pa.binary())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_words = _Words()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(32))
 
 
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2 ** 64."""
+    up, down = np.full(STRETCH, BASE, np.uint64), np.full(STRETCH, pow(BASE, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
+def _runs(words: list[bytes]) -> np.ndarray:
+    """Hashes of all runs of five words, from one running sum over the bytes of the text."""
+    cells = np.frombuffer(b" ".join(words), np.uint8)
+    up, down = _powers()
+    if len(cells) > len(up):  # words without end: a hash of their own for each run
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i : i + SIZE])) for i in range(max(1, len(words) - SIZE + 1))], np.uint64)
+    sums = np.zeros(len(cells) + 1, np.uint64)
+    np.cumsum((cells.astype(np.uint64) + np.uint64(1)) * up[: len(cells)], out=sums[1:])
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = ends - lengths
+    k = min(SIZE, len(words))
+    first = starts[: len(words) - k + 1]
+    return _mix((sums[ends[k - 1 :]] - sums[first]) * down[first])
+
+
 def shingles(text: bytes) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; of all words as one where there are fewer than five."""
     words = text.lower().split()  # of bytes: A-Z only, and the six white space characters
     if not words:
         return np.empty(0, np.uint64)
-    own = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    k = min(SIZE, len(own))
-    total = np.full(len(own) - k + 1, k, np.uint64)
-    for i, weight in enumerate(WEIGHTS[SIZE - k :]):
-        total += own[i : len(own) - k + 1 + i] * weight
-    return np.unique(_mix(total))
+    if len(text) < STRETCH:
+        return np.unique(_runs(words))
+    parts = [_runs(words[i : i + WORDS + SIZE - 1]) for i in range(0, max(1, len(words) - SIZE + 1), WORDS)]
+    return np.unique(np.concatenate(parts))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
@@ -69,8 +82,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.nda
         for i, t in enumerate(texts):
             size += len(t)
             if size >= CHUNK or i == len(texts) - 1:
-                if len(_words) > CACHED:
-                    _words.clear()
                 yield ids[first : i + 1], [shingles(x) for x in texts[first : i + 1]]
                 first, size = i + 1, 0
 
@@ -210,6 +221,16 @@ def _fits(n, m):
     return (100 * F.least(n, m)) >= (PERCENT * F.greatest(n, m))
 
 
+def _least_shared(n, m):
+    """Prefix shingles that similar sets of these sizes share at least.
+
+    They share c = ceil(0.8 / 1.8 (n + m)) shingles or more; of these at most n less its prefix lie behind the one prefix,
+    m less its prefix behind the other, and those in both prefixes are the first ones in the common order.
+    """
+    c = F.floor((PERCENT * (n + m) + 99 + PERCENT) / (100 + PERCENT))
+    return c - F.floor((PERCENT * F.greatest(n, m) + 99) / 100) + 1
+
+
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, n_shingles (size of its set) and component_id, the smallest key reachable by links.
 
@@ -220,8 +241,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Equal sets are one vertex.  Sets with the same prefix and size form a group, and groups meet by shared prefix
     shingles, common shingles coming last in the order.  Each group is verified against one group per shingle first,
     which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
-    that can be similar by size and place are expanded to members and verified.  Pairs within a component say nothing
-    new and are not formed; every other candidate is.
+    that can be similar by size, by place and by the number of prefix shingles they share are expanded and verified.  Pairs within a component say nothing
+    new and are not formed; every other candidate is.  The tables the joins read are written ones.
 
     A missing or empty text has no shingles and is linked with nothing.  Rows with equal keys are one document (their
     texts count as linked); rows without key get a size and no component.  An empty table gives an empty result; other
@@ -255,9 +276,13 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # links of equal keys, and the stars: members with their group's first, groups with the first group of a shingle
     same = sizes.join(vertices, "set_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a <> b").select("a", "b")
     inside = members.join(firsts, "gid").where("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b"))
+    other_n = size(F.col("rep.place"))
+    met = (
+        postings.where((F.col("gid") != F.col("rep.gid")) & _fits(F.col("n"), other_n))
+        .groupBy("gid", "n", F.col("rep.gid").alias("other"), other_n.alias("m")).count().where(F.col("count") >= _least_shared(F.col("n"), F.col("m")))
+    )
     star = (
-        postings.where((F.col("gid") != F.col("rep.gid")) & _fits(F.col("n"), size(F.col("rep.place"))))
-        .select("gid", F.col("rep.gid").alias("other")).distinct()
+        met.groupBy("gid").agg(F.max_by("other", F.struct("count", "other")).alias("other"))  # the one it shares most with
         .join(firsts, "gid").withColumnRenamed("first", "a").join(firsts.select(F.col("gid").alias("other"), F.col("first").alias("b")), "other").select("a", "b")
     )
     links = stage(verify(texts, star.union(inside).where("a <> b").distinct()).union(same), "links")
@@ -279,7 +304,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     pairs = a.join(
         b, (col("a.hash") == col("b.hash")) & (col("a.gid") <= col("b.gid")) & open_pair
         & _fits(col("a.n"), col("b.n")) & (bound * (100 + PERCENT) >= both * PERCENT),
-    ).select(col("a.gid").alias("g"), col("b.gid").alias("h")).distinct()
+    ).groupBy(col("a.gid").alias("g"), col("a.n").alias("n"), col("b.gid").alias("h"), col("b.n").alias("m")).count()
+    pairs = pairs.where(col("count") >= _least_shared(col("n"), col("m"))).select("g", "h")
     expanded = (
         pairs.join(own.select(col("gid").alias("g"), col("v").alias("a"), col("label").alias("x")), "g")
         .join(own.select(col("gid").alias("h"), col("v").alias("b"), col("label").alias("y")), "h")

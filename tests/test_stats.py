@@ -37,6 +37,22 @@ def test_spearman_perfect_and_short(spark):
     assert S.spearman_by(df.limit(1), [], "x", "y").first()["p_val"] is None
 
 
+@pytest.mark.parametrize("accuracy", [4, 50, 10_000])
+def test_quantiles_from_brackets(spark, monkeypatch, accuracy):
+    """Brackets of any width give the exact values; ties, one value only, and both ends among the wanted places."""
+    monkeypatch.setattr(A, "ACCURACY", accuracy)
+    monkeypatch.setattr(A, "MARGIN", 4 / accuracy)
+    rnd = random.Random(accuracy)
+    data = [("wide", rnd.gauss(0, 1)) for _ in range(3000)] + [("ties", float(rnd.randrange(5))) for _ in range(700)] + [("one", 2.0)] * 90 + [("few", float(i)) for i in range(7)]
+    df = spark.createDataFrame([*data, ("few", None), ("none", None)], "g string, x double").repartition(5)
+    probs = {"a": 0.0, "b": 0.1, "c": 0.25, "d": 0.5, "e": 0.52, "f": 1.0}
+    got = {r["g"]: r for r in A.quantiles_by(df, ["g"], "x", probs).collect()}
+    assert set(got) == {"wide", "ties", "one", "few"}
+    for g, r in got.items():
+        x = [v for k, v in data if k == g]
+        assert [r[n] for n in probs] == pytest.approx([np.quantile(x, p) for p in probs.values()])
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 400])
 def test_quantiles_and_moments(spark, n):
     rnd = random.Random(n)

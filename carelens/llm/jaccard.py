@@ -25,6 +25,7 @@ LOCAL = 2  # sets of one task that make a shingle worth counting
 COMMON = 4  # such sets of all tasks that make it a common one
 MOST_COMMON = 1 << 20  # shingles in the broadcast order, 16 MB; others come by hash alone
 FILTER_BITS = (1 << 26) - 5  # of the broadcast filter of documents whose sets are wanted: 8 MB
+STARS = 3  # rounds of verification against one group per shingle, before all remaining pairs
 SALT = 2_000  # sets compared with one centre in a task
 
 READ = pa.schema([("common", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.binary()), ("hash", pa.int64()), ("times", pa.int64())])
@@ -240,7 +241,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Equal sets are one vertex.  Sets with the same prefix and size form a group, and groups meet by shared prefix
     shingles, common shingles coming last in the order.  Each group is verified against one group per shingle first,
-    which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
+    in three rounds at most, which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
     that can be similar by size, by place and by the number of prefix shingles they share are expanded and verified.  Pairs within a component say nothing
     new and are not formed; every other candidate is.  The tables the joins read are written ones.
 
@@ -261,40 +262,44 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     posted = texts.where("_key IS NOT NULL").mapInArrow(lambda it: _post(it, common.value), "kind int, hash long, gid long, place long, set_id binary")
     over = Window.partitionBy("hash", "kind")
     shared = (
-        posted.withColumn("rep", F.min(F.struct("gid", "place")).over(over)).withColumn("last", F.max("gid").over(over))
-        .where("kind = 1 OR rep.gid <> last").drop("last")
+        posted.withColumn("_least", F.min("gid").over(over)).withColumn("_most", F.max("gid").over(over))
+        .where("kind = 1 OR _least <> _most").drop("_least", "_most")
     )
     shared = spark.read.schema(shared.schema).parquet(save_stage(shared, "shared", folder, ["kind"]))
-    size = lambda c: F.shiftright(c, 32)
-    where = lambda c: c.bitwiseAND(F.lit((1 << 32) - 1))
     members = stage(
         shared.where("kind = 1").select("gid", "set_id").distinct().join(vertices, "set_id").select("gid", "v").distinct(), "members"
     )
-    firsts = members.groupBy("gid").agg(F.min("v").alias("first"))
-    postings = shared.where("kind = 0").select("hash", "gid", size(F.col("place")).alias("n"), where(F.col("place")).alias("i"), "rep").distinct()
+    n, i = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
+    postings = stage(shared.where("kind = 0").select("hash", "gid", n.alias("n"), i.alias("i")).distinct(), "postings")
 
-    # links of equal keys, and the stars: members with their group's first, groups with the first group of a shingle
+    # links of equal keys, and of members of a group with its first
     same = sizes.join(vertices, "set_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a <> b").select("a", "b")
-    inside = members.join(firsts, "gid").where("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b"))
-    other_n = size(F.col("rep.place"))
-    met = (
-        postings.where((F.col("gid") != F.col("rep.gid")) & _fits(F.col("n"), other_n))
-        .groupBy("gid", "n", F.col("rep.gid").alias("other"), other_n.alias("m")).count().where(F.col("count") >= _least_shared(F.col("n"), F.col("m")))
-    )
-    star = (
-        met.groupBy("gid").agg(F.max_by("other", F.struct("count", "other")).alias("other"))  # the one it shares most with
-        .join(firsts, "gid").withColumnRenamed("first", "a").join(firsts.select(F.col("gid").alias("other"), F.col("first").alias("b")), "other").select("a", "b")
-    )
-    links = stage(verify(texts, star.union(inside).where("a <> b").distinct()).union(same), "links")
-    labels = components(links)
+    firsts = members.groupBy("gid").agg(F.min("v").alias("first"))
+    star = members.join(firsts, "gid").where("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b"))
+    links, labels = stage(same, "links"), None
+    for turn in range(STARS + 1):
+        own = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("gid", "v", F.coalesce("label", "v").alias("label"))
+        own = stage(own, "own")
+        grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("v", F.struct("label", "v")).alias("first"))
+        spread = postings.join(grouped, "gid")
+        open_ = spread.groupBy("hash").agg(F.min("low").alias("_low"), F.max("high").alias("_high"), F.min(F.struct("low", "gid", "n", "first")).alias("rep"))
+        rest = stage(spread.join(open_.where("_low <> _high").select("hash", "rep"), "hash"), "rest")
+        if turn == STARS:
+            break
+        # each group with the group of the smallest component among those of a shingle: the one it shares most with
+        met = (
+            rest.where((F.col("high") != F.col("rep.low")) & _fits(F.col("n"), F.col("rep.n")))
+            .groupBy("gid", "n", F.col("first").alias("a"), F.col("rep.n").alias("m"), F.col("rep.first").alias("b")).count()
+            .where((F.col("count") >= _least_shared(F.col("n"), F.col("m"))) & (F.col("a") != F.col("b")))
+        )
+        best = met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
+        found = verify(texts, (star.union(best) if turn == 0 else best).distinct())
+        if turn and found.isEmpty():
+            break
+        links = stage(links.union(found), "links")
+        labels = components(links)
 
     # every pair of groups that is not within one component yet
-    own = members.join(labels, "v", "left").select("gid", "v", F.coalesce("label", "v").alias("label"))
-    own = stage(own, "own")
-    grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    spread = postings.drop("rep").join(grouped, "gid")
-    open_ = spread.groupBy("hash").agg(F.min("low").alias("_low"), F.max("high").alias("_high")).where("_low <> _high").select("hash")
-    rest = stage(spread.join(open_, "hash"), "rest")
     a, b = rest.alias("a"), rest.alias("b")
     col = F.col
     both = col("a.n") + col("b.n")

@@ -242,8 +242,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Equal sets are one vertex.  Sets with the same prefix and size form a group, and groups meet by shared prefix
     shingles, common shingles coming last in the order.  Each group is verified against one group per shingle first,
     in three rounds at most, which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
-    that can be similar by size, by place and by the number of prefix shingles they share are expanded and verified.  Pairs within a component say nothing
-    new and are not formed; every other candidate is.  The tables the joins read are written ones.
+    that can be similar by size, by place and by the number of prefix shingles they share are expanded and verified, and with them all pairs inside
+    a group that is not one component yet.  Pairs within a component say nothing new and are not formed; every other candidate is.  The tables the joins read are written ones.
 
     A missing or empty text has no shingles and is linked with nothing.  Rows with equal keys are one document (their
     texts count as linked); rows without key get a size and no component.  An empty table gives an empty result; other
@@ -307,15 +307,21 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     bound = F.least("a.i", "b.i") + 1 + F.least(col("a.n") - col("a.i"), col("b.n") - col("b.i")) - 1
     open_pair = (col("a.low") != col("b.low")) | (col("a.low") != col("a.high")) | (col("b.low") != col("b.high"))
     pairs = a.join(
-        b, (col("a.hash") == col("b.hash")) & (col("a.gid") <= col("b.gid")) & open_pair
+        b, (col("a.hash") == col("b.hash")) & (col("a.gid") < col("b.gid")) & open_pair
         & _fits(col("a.n"), col("b.n")) & (bound * (100 + PERCENT) >= both * PERCENT),
     ).groupBy(col("a.gid").alias("g"), col("a.n").alias("n"), col("b.gid").alias("h"), col("b.n").alias("m")).count()
     pairs = pairs.where(col("count") >= _least_shared(col("n"), col("m"))).select("g", "h")
     expanded = (
         pairs.join(own.select(col("gid").alias("g"), col("v").alias("a"), col("label").alias("x")), "g")
         .join(own.select(col("gid").alias("h"), col("v").alias("b"), col("label").alias("y")), "h")
-        .where("x <> y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        .where("x <> y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
+    # and every pair inside a group that is not one component yet, whatever the group shares with others; its first is done
+    apart = own.join(grouped.where("low <> high").select("gid"), "gid").join(firsts, "gid").where("v <> first").select("gid", "v", "label")
+    apart = stage(apart, "apart")
+    a, b = apart.alias("a"), apart.alias("b")
+    inside = a.join(b, (col("a.gid") == col("b.gid")) & (col("a.v") < col("b.v")) & (col("a.label") != col("b.label"))).select(col("a.v").alias("a"), col("b.v").alias("b"))
+    expanded = expanded.union(inside).distinct()
     more = verify(texts, expanded.join(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     named = labels.select("v", "label")
     lifted = more.join(named.withColumnsRenamed({"v": "a", "label": "x"}), "a", "left").join(named.withColumnsRenamed({"v": "b", "label": "y"}), "b", "left")

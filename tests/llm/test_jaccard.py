@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from carelens.llm import jaccard
@@ -75,6 +76,35 @@ def test_links_with_common_shingles_found(make, monkeypatch):
     assert got(make(rows).coalesce(1)) == plain(rows)
 
 
+def chain(rng):
+    """Three texts of equal size and prefix, the middle one similar to both others, which are not similar to each other."""
+    while True:
+        words = [f"c{rng.randrange(10**9)}" for _ in range(58)]
+        texts = [words[:10] + ["left"] + words[11:], words, words[:40] + ["right"] + words[41:]]
+        texts = [" ".join(t) for t in texts]
+        firsts = [jaccard.prefix(jaccard.shingles(t.encode()), (np.empty(0, np.uint64), np.empty(0, np.int64))).tolist() for t in texts]
+        if firsts[0] == firsts[1] == firsts[2]:
+            return texts, words, firsts[0]
+
+
+@pytest.mark.parametrize("beside", [False, True])
+def test_links_inside_a_group(make, beside):
+    rng = random.Random(11)
+    rows = []
+    for at in range(4):
+        (left, middle, right), words, first = chain(rng)
+        rows += [(10 * at + 1, left), (10 * at + 2, middle), (10 * at + 3, right)] if at % 2 else [(10 * at + 1, right), (10 * at + 3, middle), (10 * at + 2, left)]
+        while beside:  # another group that shares one shingle of the prefix
+            k = next(k for k in range(54) if jaccard.shingles(" ".join(words[k : k + 5]).encode())[0] == first[0])
+            other = " ".join(words[k : k + 5] + [f"d{rng.randrange(10**9)}" for _ in range(53)])
+            if first[0] in jaccard.prefix(jaccard.shingles(other.encode()), (np.empty(0, np.uint64), np.empty(0, np.int64))).tolist():
+                rows.append((10 * at, other))
+                break
+    want = plain(rows)
+    assert len({c for _, _, c in want}) == (8 if beside else 4)
+    assert got(make(rows)) == want
+
+
 def test_missing_and_equal_keys(make):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(7, text), (7, text), (3, text + " a"), (None, text), (None, None), (9, "x y z a b c"), (9, "other words here for nine now"), (11, "x y z a b c"), (4, "other words here for nine now")]

@@ -48,20 +48,56 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def _runs(words: list[bytes]) -> np.ndarray:
-    """Hashes of all runs of five words, from one running sum over the bytes of the text."""
+def _summed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A running sum over the bytes of the words, spaces between them; starts and ends of the words."""
     cells = np.frombuffer(b" ".join(words), np.uint8)
-    up, down = _powers()
-    if len(cells) > len(up):  # words without end: a hash of their own for each run
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i : i + SIZE])) for i in range(max(1, len(words) - SIZE + 1))], np.uint64)
     sums = np.zeros(len(cells) + 1, np.uint64)
-    np.cumsum((cells.astype(np.uint64) + np.uint64(1)) * up[: len(cells)], out=sums[1:])
+    np.cumsum((cells.astype(np.uint64) + np.uint64(1)) * _powers()[0][: len(cells)], out=sums[1:])
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
+    return sums, ends - lengths, ends
+
+
+def _long_word(word: bytes) -> tuple[int, int]:
+    """Sum over the bytes of a word of any length, and the power of the base behind it."""
+    up, total = _powers()[0], 0
+    for s in range(0, len(word), STRETCH):
+        part = np.frombuffer(word, np.uint8, min(STRETCH, len(word) - s), s).astype(np.uint64) + np.uint64(1)
+        total += int((part * up[: len(part)]).sum(dtype=np.uint64)) * pow(BASE, s, 1 << 64)
+    return total % (1 << 64), pow(BASE, len(word), 1 << 64)
+
+
+def _long_runs(words: list[bytes]) -> np.ndarray:
+    """The hashes of ``_runs``, put together from sums of single words, a bounded number of bytes at a time."""
+    up, down = _powers()
+    own, powers = np.empty(len(words), np.uint64), np.empty(len(words), np.uint64)
+    first = size = 0
+    for i, w in enumerate([*words, None]):
+        if first < i and (w is None or size + len(w) >= STRETCH):
+            sums, starts, ends = _summed(words[first:i])
+            own[first:i], powers[first:i] = (sums[ends] - sums[starts]) * down[starts], up[ends - starts]
+            first, size = i, 0
+        if w is not None and len(w) >= STRETCH:
+            own[i], powers[i] = _long_word(w)
+            first = i + 1
+        elif w is not None:
+            size += len(w) + 1
+    k = min(SIZE, len(words))
+    n = len(words) - k + 1
+    total = own[k - 1 :]
+    for j in range(k - 2, -1, -1):  # a word, a space, what follows
+        total = own[j : j + n] + powers[j : j + n] * (np.uint64(ord(" ") + 1) + np.uint64(BASE) * total)
+    return _mix(total)
+
+
+def _runs(words: list[bytes]) -> np.ndarray:
+    """Hashes of all runs of five words, from one running sum over the bytes of the text; the same ones for every length."""
+    if sum(map(len, words)) + len(words) - 1 > STRETCH:
+        return _long_runs(words)
+    sums, starts, ends = _summed(words)
     k = min(SIZE, len(words))
     first = starts[: len(words) - k + 1]
-    return _mix((sums[ends[k - 1 :]] - sums[first]) * down[first])
+    return _mix((sums[ends[k - 1 :]] - sums[first]) * _powers()[1][first])
 
 
 def shingles(text: bytes) -> np.ndarray:

@@ -105,6 +105,28 @@ def test_links_inside_a_group(make, beside):
     assert got(make(rows)) == want
 
 
+def test_one_hash_for_every_length(monkeypatch):
+    rng = random.Random(3)
+    words = [("w" * rng.choice([1, 3, 60, 300]) + str(rng.randrange(500))).encode() for _ in range(400)]
+    for n in (1, 3, 5, 6, 400):
+        assert jaccard._long_runs(words[:n]).tolist() == jaccard._runs(words[:n]).tolist()
+    want = jaccard._runs(words).tolist()
+    monkeypatch.setattr(jaccard, "STRETCH", 64)
+    assert jaccard._runs(words).tolist() == want
+
+
+def test_links_of_texts_on_both_sides_of_a_stretch(make):
+    plenty = " ".join(f"o{i}" for i in range(10_000))
+    blob = "QUJD" * 300_000  # a word of 1.2 MB
+    long = [f"{i:07}" * 10 for i in range(14_990)]  # texts of 71 bytes a word, close to 1 MiB
+    rows = [(1, plenty), (2, f"{plenty} {blob}"), (3, f"{plenty} {blob[:900_000]}"), (4, blob), (5, f"a {blob}"), (6, blob)]
+    rows += [(11, " ".join(long[:14_700])), (12, " ".join(long))]
+    assert len(rows[-2][1]) < jaccard.STRETCH < len(rows[-1][1])
+    want = plain(rows)
+    assert [c for _, _, c in sorted(want)] == [1, 1, 1, 4, 5, 4, 11, 11]
+    assert got(make(rows)) == want
+
+
 def test_missing_and_equal_keys(make):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(7, text), (7, text), (3, text + " a"), (None, text), (None, None), (9, "x y z a b c"), (9, "other words here for nine now"), (11, "x y z a b c"), (4, "other words here for nine now")]

@@ -308,8 +308,10 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     n, i = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
     postings = stage(shared.where("kind = 0").select("hash", "gid", n.alias("n"), i.alias("i")).distinct(), "postings")
 
-    # links of equal keys, and of members of a group with its first
-    same = sizes.join(vertices, "set_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a <> b").select("a", "b")
+    # links of all texts of a key with the smallest, and of members of a group with its first
+    keyed = sizes.where("doc_id IS NOT NULL").join(vertices, "set_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("most"))
+    several = stage(keyed.where("a <> most").select("doc_id", "a"), "several")
+    same = sizes.join(several, "doc_id").join(vertices, "set_id").where("v <> a").select("a", F.col("v").alias("b")).distinct()
     firsts = members.groupBy("gid").agg(F.min("v").alias("first"))
     star = members.join(firsts, "gid").where("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b"))
     links, labels = stage(same, "links"), None
@@ -386,7 +388,8 @@ def drop_linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = rows.join(gone, F.col(at) == F.col("_id"), "left_anti")
     repeated = stage(linked.where("_id IS NOT NULL").groupBy("_id").count().where("count > 1").select("_id"), "repeated")
     if not repeated.isEmpty():
-        order = Window.partitionBy(at).orderBy(names[docs.columns.index(text)], *names)
-        again = rows.join(repeated, F.col(at) == F.col("_id"), "left_semi").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+        again = rows.join(repeated, F.col(at) == F.col("_id"), "left_semi")
+        least = F.min(F.struct(names[docs.columns.index(text)], *[F.col(c).alias(f"_own{c}") for c in names])).alias("_row")
+        again = again.groupBy(at).agg(least).select(*[F.col(f"_row._own{c}").alias(c) for c in names])
         rows = rows.join(repeated, F.col(at) == F.col("_id"), "left_anti").unionByName(again)
     return rows.toDF(*docs.columns)

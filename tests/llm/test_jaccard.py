@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from carelens.llm import jaccard
 from carelens.llm.components import components
@@ -136,6 +137,21 @@ def test_missing_and_equal_keys(make):
     assert got(make(rows).limit(0)) == []
 
 
+def test_every_text_of_a_key_links(make):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(3, a), (5, b), (6, c), (9, a), (9, b), (9, c), (9, d), (20, d + " e"), (21, "others")]
+    want = plain(rows)
+    assert {i: k for i, _, k in want} == {3: 3, 5: 3, 6: 3, 9: 3, 20: 3, 21: 21}
+    assert got(make(rows)) == want
+
+
+def test_one_row_of_a_repeated_id(make):
+    rows = make([(7, "some text here b"), (7, None), (8, "other things z"), (8, "other things a"), (8, "other things a"), (9, "alone")], more=1)
+    kept = jaccard.drop_linked(rows.withColumn("n_chars", F.monotonically_increasing_id()))
+    assert kept.columns == rows.columns and "Window" not in kept._jdf.queryExecution().toString()
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(7, None), (8, "other things a"), (9, "alone")]
+
+
 def test_given_documents(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     result = got(docs)

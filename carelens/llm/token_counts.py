@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from carelens.llm.common import batch, ship, slices, utf8
 
-FREQUENT = 65_536  # pre-tokens in the broadcast table, about a megabyte
+FREQUENT = 65_536  # pre-tokens in the broadcast table
+LONGEST = 64  # bytes of a pre-token in it: 4 MB of them at most
 SUMMARY = 16_384  # of them that one task proposes
 COUNTING = 131_072  # pre-tokens a task counts at once; beyond that the rare ones are forgotten
 CACHED = 250_000  # pre-tokens a worker remembers besides
+CACHED_BYTES = 32 << 20  # bytes of them
 
 COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 SPACE = "▁".encode()  # the library's own sign for a space
@@ -61,14 +63,19 @@ class _Lengths(dict):
 
     def __init__(self, frequent, library):
         super().__init__(frequent)
-        self.library, self.rare = library, {}
+        self.library, self.rare, self.size = library, {}, 0
 
     def __missing__(self, word: bytes) -> int:
         n = self.rare.get(word)
         if n is None:
-            if len(self.rare) >= CACHED:
+            n = pretoken_length(self.library, word)
+            if len(word) > CACHED_BYTES:
+                return n
+            if len(self.rare) >= CACHED or self.size + len(word) > CACHED_BYTES:
                 self.rare.clear()
-            n = self.rare[word] = pretoken_length(self.library, word)
+                self.size = 0
+            self.rare[word] = n
+            self.size += len(word)
         return n
 
 
@@ -87,12 +94,12 @@ def _table(token: str, packed, model: str) -> _Lengths:
 
 
 def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's most frequent pre-tokens, by counts that forget rare ones when there are too many."""
+    """A task's most frequent pre-tokens of bounded length, by counts that forget rare ones when there are too many."""
     counts: Counter = Counter()
     for b in batches:
         for part in slices(b):
             for text in utf8(part.column(0)):
-                counts.update(pretokens(text))
+                counts.update(w for w in pretokens(text) if len(w) <= LONGEST)
                 if len(counts) > COUNTING:
                     counts = Counter(dict(heapq.nlargest(COUNTING // 4, counts.items(), key=lambda x: x[1])))
     top = heapq.nlargest(SUMMARY, ((n, w) for w, n in counts.items() if n > 1))
@@ -112,8 +119,8 @@ def frequent_pretokens(texts: DataFrame, model: str) -> tuple[bytes, np.ndarray,
 def count_tokens(docs: DataFrame, model: str | None = None, limit: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, n_bytes (UTF-8), n_tokens as the library counts the whole text, over_limit (n_tokens > limit).
 
-    One pass over all texts proposes frequent pre-tokens: each task sends its 16,384 most frequent at most, and the
-    65,536 most frequent of all become the broadcast table.  A second pass adds up the lengths of each text's
+    One pass over all texts proposes frequent pre-tokens of at most 64 bytes: each task sends its 16,384 most frequent at
+    most, and the 65,536 most frequent of all become the broadcast table.  A second pass adds up the lengths of each text's
     pre-tokens from the table; others are encoded once by a worker and remembered.  What the table holds changes the
     speed only.  No pre-token of a document is shuffled.
 

@@ -96,6 +96,20 @@ def test_token_counts_beside_the_library(spark, make, docs, library, monkeypatch
     assert token_counts.count_tokens(docs.limit(0)).collect() == []
 
 
+def test_long_pretokens_stay_out_of_the_table(spark, make, library, monkeypatch):
+    texts = ["日本語" * 30_000 + " short short", "日本語" * 30_000 + " short", "x" * 64 + " " + "y" * 65, "x" * 64 + " " + "y" * 65]
+    token_counts.ship(spark)
+    blob, ends, lengths = token_counts.frequent_pretokens(make(texts).coalesce(1).select("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    assert sorted(blob[s:e] for s, e in zip([0, *ends[:-1]], ends)) == [b"short", b"x" * 64] and len(lengths) == 2
+    want = [(i, len(t.encode()), len(library.encode(t)), len(library.encode(t)) > 4096) for i, t in enumerate(texts)]
+    assert sorted(tuple(r) for r in token_counts.count_tokens(make(texts)).collect()) == want
+    monkeypatch.setattr(token_counts, "CACHED_BYTES", 100)
+    table = token_counts._Lengths({}, library)
+    for n in (60, 60, 90, 40, 101, 10):
+        assert table[b"z" * n] == token_counts.pretoken_length(library, b"z" * n)
+        assert sum(map(len, table.rare)) == table.size <= 100
+
+
 @pytest.fixture(scope="module")
 def word_tokenizer():
     return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))

@@ -7,7 +7,9 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,17 @@ def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield b.slice(s, rows)
 
 
+def parts(b: pa.RecordBatch, text: int, rows: int = 512, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most so many rows and bytes of text; a longer text is a part of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < b.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, min(start + rows, int(np.searchsorted(ends, before + size, side="right"))))
+        yield b.slice(start, stop - start)
+        start = stop
+
+
 def most_frequent(counts: DataFrame, times: str, n: int) -> DataFrame:
     """Rows with the largest counts, at most ``n``: all rows from some level on, levels being quarter powers of two.
 

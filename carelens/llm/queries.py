@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carelens.llm import jaccard, langid, mixing, packing, quality, secret_scan, token_counts, topk, urls, warc
+from carelens.llm import fim, jaccard, langid, line_dedup, mixing, packing, phrases, quality, secret_scan, token_counts, topk, urls, warc
 from carelens.llm.common import table
 
 QUERIES: dict = {}
@@ -144,3 +144,89 @@ def op10_language_id(spark, sf_dir):
 @query("op8_jaccard_join")
 def op8_jaccard_join(spark, sf_dir):
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units FROM d),
+    n AS (SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                 CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM u),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+    p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix FROM c)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p
+    """,
+)
+def op11_fill_in_middle(spark, sf_dir):
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256")
+    )
+
+
+@query(
+    "op12_phrase_mining",
+    r"""
+    WITH t AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    p AS (SELECT row, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+    q AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    o AS (SELECT lang, piece, unnest(w) AS w1, generate_subscripts(w, 1) AS pos FROM q),
+    s AS (SELECT lang, w1, lead(w1) OVER z AS w2, lead(w1, 2) OVER z AS w3 FROM o WINDOW z AS (PARTITION BY piece ORDER BY pos)),
+    n AS (SELECT lang, count(*) AS n FROM o GROUP BY 1),
+    f AS (
+        SELECT lang, w1, NULL AS w2, NULL AS w3, count(*) AS f FROM s GROUP BY 1, 2 HAVING count(*) >= 10
+        UNION ALL SELECT lang, w1, w2, NULL, count(*) FROM s WHERE w2 IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) >= 10
+        UNION ALL SELECT lang, w1, w2, w3, count(*) FROM s WHERE w3 IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING count(*) >= 10),
+    f1 AS (SELECT lang, w1, f FROM f WHERE w2 IS NULL),
+    f2 AS (SELECT lang, w1, w2, f FROM f WHERE w2 IS NOT NULL AND w3 IS NULL),
+    f3 AS (SELECT * FROM f WHERE w3 IS NOT NULL),
+    m AS (SELECT lang, w1, w2, max(f) AS most FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY 1, 2, 3),
+    k2 AS (SELECT f2.* FROM f2 LEFT JOIN m USING (lang, w1, w2) WHERE most IS NULL OR 100 * most < 50 * f2.f),
+    x AS (
+        SELECT k2.lang, k2.w1 || ' ' || k2.w2 AS phrase, k2.f AS a, 1 AS k, a1.f AS l, b1.f AS r
+        FROM k2 JOIN f1 a1 ON a1.lang = k2.lang AND a1.w1 = k2.w1 JOIN f1 b1 ON b1.lang = k2.lang AND b1.w1 = k2.w2
+        UNION ALL
+        SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 1, a1.f, b2.f
+        FROM f3 JOIN f1 a1 ON a1.lang = f3.lang AND a1.w1 = f3.w1 JOIN f2 b2 ON b2.lang = f3.lang AND b2.w1 = f3.w2 AND b2.w2 = f3.w3
+        UNION ALL
+        SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 2, a2.f, b1.f
+        FROM f3 JOIN f2 a2 ON a2.lang = f3.lang AND a2.w1 = f3.w1 AND a2.w2 = f3.w2 JOIN f1 b1 ON b1.lang = f3.lang AND b1.w1 = f3.w3),
+    y AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM x),
+    z AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM y),
+    v AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM z WHERE cut = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM v JOIN n USING (lang) WHERE rank <= 2000
+    """,
+)
+def op12_phrase_mining(spark, sf_dir):
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_line_dedup",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+    x AS (SELECT row, doc_id, string_split(text, chr(10)) AS lines FROM d),
+    l AS (SELECT row, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM x),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    h AS (SELECT key, count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) AS docs, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY 1),
+    g AS (SELECT k.*, coalesce(h.docs >= 2 AND k.doc_id IS DISTINCT FROM h.keeper, false) AS gone FROM k LEFT JOIN h USING (key))
+    SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM g GROUP BY row
+    """,
+)
+def op13_line_dedup(spark, sf_dir):
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

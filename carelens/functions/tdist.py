@@ -14,12 +14,12 @@ _NODES = [
     for k in range(-72, 73)
     for s in [math.exp(math.pi / 2 * math.sinh(k * _STEP))]
 ]
+_RULE = "array(" + ", ".join(f"named_struct('s', {s!r}D, 'w', {w!r}D)" for s, w in _NODES) + ")"
 
 
 def _integral(fall) -> Column:
     """Integral over s from 0 of exp(-fall(s)), for an increasing fall that is 0 at 0 and near 1 at 1."""
-    rule = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(w).alias("w")) for s, w in _NODES])
-    return F.aggregate(rule, F.lit(0.0), lambda acc, node: acc + node["w"] * F.exp(-fall(node["s"])))
+    return F.aggregate(F.expr(_RULE), F.lit(0.0), lambda acc, node: acc + node["w"] * F.exp(-fall(node["s"])))
 
 
 def two_sided_p(t: Column, df: Column) -> Column:

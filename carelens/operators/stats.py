@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from carelens.functions.tdist import normal_tail, two_sided_p
 from carelens.operators.aggs import _join_groups
+from carelens.operators.mixed import random_intercept_by  # noqa: F401
 from carelens.operators.ordered import Hot, find_hot, over_ordered, running_sum
 from carelens.sources.staging import cut_lineage, stage
 
@@ -138,133 +138,6 @@ def linear_grid(df: DataFrame, outcomes: list[str], exposures: list[str]) -> Dat
     )
 
 
-def _reml(stats: DataFrame, keys: list[str], points: Column) -> DataFrame:
-    """REML criterion and fit of each group at each of its points, arrays of ln(variance ratio); null is the ratio 0.
-
-    A cluster of n rows weighs n / (1 + ratio n) by its mean, and 1 by what
-    lies within it; written so, nothing cancels however large the ratio is.
-    """
-    at = stats.withColumn("_at", F.explode(points)).withColumn("_lam", F.coalesce(F.exp("_at"), F.lit(0.0)))
-    at = at.withColumn("_b", F.col("_n") / (1 + F.col("_lam") * F.col("_n")))
-    b = F.col("_b")
-    sums = at.groupBy(*keys, "_at").agg(
-        F.sum(b).alias("a11"), F.sum(b * F.col("_mx")).alias("a1x"), F.sum(b * F.col("_my")).alias("a1y"),
-        F.sum(F.col("_wxx") + b * F.col("_mx") * F.col("_mx")).alias("axx"),
-        F.sum(F.col("_wxy") + b * F.col("_mx") * F.col("_my")).alias("axy"),
-        F.sum(F.col("_wyy") + b * F.col("_my") * F.col("_my")).alias("ayy"),
-        F.sum(F.log1p(F.col("_lam") * F.col("_n"))).alias("logs"),
-        (F.sum("_n") - 2).alias("free"), F.count(F.lit(1)).alias("clusters"),
-    )
-    sxx = F.col("axx") - F.col("a1x") * F.col("a1x") / F.col("a11")
-    sxy = F.col("axy") - F.col("a1x") * F.col("a1y") / F.col("a11")
-    syy = F.col("ayy") - F.col("a1y") * F.col("a1y") / F.col("a11")
-    fit = sums.withColumns({"sxx": sxx, "slope": sxy / sxx, "rss": syy - sxy * sxy / sxx})
-    fit = fit.filter((F.col("sxx") > 1e-10 * F.col("axx")) & (F.col("rss") > 0) & (F.col("free") > 0))
-    return fit.select(
-        *keys, "_at", "slope", "free", "clusters", F.log("rss").alias("log_rss"), (-F.log("sxx")).alias("log_c"),
-        (F.col("free") * F.log("rss") + F.col("logs") + F.log("a11") + F.log("sxx")).alias("criterion"),
-        (F.col("slope") / F.sqrt(F.col("rss") / F.col("free") / F.col("sxx"))).alias("t"),
-    )
-
-
-# ln(variance ratio): from where a ratio is as good as none to where the fit is its limit, to the last digit of a double.
-LOWEST, HIGHEST, DECADE = -30, 18, 2.302585092994046
-STENCIL = 0.02
-
-
-def random_intercept_by(
-    df: DataFrame, keys: list[str], y: str, x: str, cluster: str, weight: str | None = None
-) -> DataFrame:
-    """Per group: y ~ x with a random intercept by cluster (REML); slope, t, degrees of freedom and p of x.
-
-    Rows are reduced to sums by (group, cluster).  The criterion is then a
-    closed form of the variance ratio.  Its lowest point is sought among 0 and
-    all ratios a double can tell apart, narrowed three times, and met by two
-    Newton steps.  Degrees of freedom are Satterthwaite's, from derivatives
-    of the criterion; without variance between clusters they are rows - 2, in
-    the limit without variance within clusters they are clusters - 2.
-    """
-    yc, xc = F.col(y).cast("double"), F.col(x).cast("double")
-
-    def total(*factors):
-        return F.sum(reduce(lambda a, b: a * b, [F.col(f) for f in factors], F.col("_w")))
-
-    n = F.col("_n")
-
-    def within(v):
-        """Sum of squares within the cluster; what only rounding leaves is none."""
-        squares = F.col(v + v[1:])
-        rest = squares - F.col(v) * F.col(v) / n
-        return F.when(rest > 1e-12 * squares, rest).otherwise(0.0)
-
-    stats = (
-        df.select(
-            *keys, F.col(cluster).alias("_c"), yc.alias("_yv"), xc.alias("_xv"),
-            (F.col(weight) if weight else F.lit(1)).cast("double").alias("_w"),
-        )
-        .na.drop(subset=["_yv", "_xv"])
-        .groupBy(*keys, "_c")
-        .agg(
-            F.sum("_w").alias("_n"), total("_xv").alias("_x"), total("_yv").alias("_y"),
-            total("_xv", "_xv").alias("_xx"), total("_xv", "_yv").alias("_xy"), total("_yv", "_yv").alias("_yy"),
-        )
-        .withColumns({"_wxx": within("_x"), "_wyy": within("_y")})
-        .select(
-            *keys, "_n", (F.col("_x") / n).alias("_mx"), (F.col("_y") / n).alias("_my"), "_wxx", "_wyy",
-            F.when((F.col("_wxx") > 0) & (F.col("_wyy") > 0), F.col("_xy") - F.col("_x") * F.col("_y") / n).otherwise(0.0).alias("_wxy"),
-        )
-    )
-    stats = cut_lineage(stats)  # clusters by group, read by every search
-    none = F.array(F.lit(None).cast("double"))
-
-    def around(step, count):
-        spread = F.transform(F.sequence(F.lit(-count), F.lit(count)), lambda k: F.col("_mid") + k * step)
-        edge = F.col("_mid") >= HIGHEST * DECADE
-        return F.when(F.col("_mid").isNull(), none).when(edge, F.array("_mid")).otherwise(spread)
-
-    def near(best):
-        return _join_groups(stats, best, keys).filter("_found")
-
-    def lowest(fit):
-        # a tiny ratio differs from none by rounding only, and then none is meant
-        worth = F.col("criterion") + F.when(F.col("_at").isNull(), 0.0).otherwise(F.abs("criterion") * 1e-11)
-        best = fit.groupBy(*keys).agg(F.min_by(F.struct(F.col("_at").alias("a")), F.struct(worth, "_at")).alias("_s"))
-        return best.select(*keys, F.col("_s.a").alias("_mid"), F.lit(True).alias("_found"))
-
-    grid = F.transform(F.sequence(F.lit(2 * LOWEST), F.lit(2 * HIGHEST)), lambda k: k * (DECADE / 2))
-    best = lowest(_reml(stats, keys, F.concat(none, grid)))
-    for step in (DECADE / 40, DECADE / 800):
-        best = cut_lineage(lowest(_reml(near(best), keys, around(step, 20))))
-
-    def stencil(best):
-        """Five neighbouring fits of each group in a row, and derivatives at the middle one."""
-        fit = _reml(near(best), keys, around(STENCIL, 2))
-        five = fit.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.struct("_at", "criterion", "log_rss", "log_c", "slope", "t", "free", "clusters"))).alias("_f")
-        )  # five rows of a group
-        f = lambda i, name: F.try_element_at("_f", F.lit(i + 3))[name]
-
-        def slope_of(name):
-            return (f(-2, name) - 8 * f(-1, name) + 8 * f(1, name) - f(2, name)) / (12 * STENCIL)
-
-        bend = (-f(-2, "criterion") + 16 * f(-1, "criterion") - 30 * f(0, "criterion") + 16 * f(1, "criterion") - f(2, "criterion")) / (12 * STENCIL**2)
-        middle = F.when(F.size("_f") == 5, F.get("_f", F.lit(2))).otherwise(F.get("_f", F.lit(0)))
-        return five.withColumns({"_m": middle, "_d1": slope_of("criterion"), "_d2": bend, "_turn": slope_of("log_rss") + slope_of("log_c")})
-
-    for _ in range(2):
-        five = stencil(best)
-        moved = F.when((F.size("_f") == 5) & (F.col("_d2") > 0), F.greatest(F.least(-F.col("_d1") / F.col("_d2"), F.lit(0.1)), F.lit(-0.1))).otherwise(0.0)
-        best = cut_lineage(five.select(*keys, (F.col("_m._at") + moved).alias("_mid"), F.lit(True).alias("_found")))
-    fit = stencil(best)
-    free, clusters = F.col("_m.free"), F.col("_m.clusters")
-    between = F.when(F.col("_d2") > 0, 1 / (1 / free + F.col("_turn") * F.col("_turn") / F.col("_d2")))
-    freedom = F.when(F.col("_m._at").isNull(), free).otherwise(F.coalesce(between, (clusters - 2).cast("double")))
-    return fit.select(
-        *keys, F.col("_m.slope").alias("estimate"), F.col("_m.t").alias("t_value"), clusters.alias("n_clusters"), freedom.alias("df"),
-        F.when(clusters > 2, two_sided_p(F.col("_m.t"), freedom)).alias("p_val"),
-    )
-
-
 def cronbach_alpha(df: DataFrame, cols: list[str]) -> DataFrame:
     """Internal consistency of items over complete rows, one aggregate."""
     items = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()

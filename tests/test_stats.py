@@ -222,3 +222,62 @@ def test_distance_drops_features_missing_anywhere(spark):
     assert len(got) == 11 * 10 / 2
     for (p, q), v in got.items():
         assert v == pytest.approx(want[int(p[2:]), int(q[2:])], abs=1e-9)
+
+
+def test_random_intercept_is_the_same_to_the_last_bit(spark):
+    """Ten runs over rows in other orders and partitions, counted or not: equal bits."""
+    rnd = np.random.default_rng(11)
+    for kind, draw in (("double", lambda: float(np.round(rnd.normal(3, 2), 3)) / 7), ("int", lambda: int(rnd.integers(1, 9)))):
+        data = [(f"q{i % 3}", f"c{i % 13}", float(i % 13 % 2) if kind == "double" else i % 13 % 2, draw()) for i in range(400)]
+        data += data[:90]
+        df = spark.createDataFrame(data, f"q string, c string, x {kind}, y {kind}")
+        seen = set()
+        for run in range(10):
+            rows = df.repartition(1 + run * 2, F.rand(run))
+            if run % 2:
+                rows = rows.groupBy("q", "c", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+            found = S.random_intercept_by(rows, ["q"], "y", "x", "c", "n" if run % 2 else None)
+            seen.add(tuple(sorted(map(tuple, found.collect()))))
+        assert len(seen) == 1 and len(next(iter(seen))) == 3
+
+
+def test_random_intercept_without_groups_and_on_odd_rows(spark):
+    data = [("q", f"c{i % 7}", float(i % 7 % 2), (i * 7 % 5) * 1e9 + i) for i in range(60)]
+    odd = data + [("q", None, None, 1.0), ("q", "c1", 1.0, None), ("q", "c1", float("nan"), 2.0), ("only", "c1", 1.0, 2.0), ("flat", "c1", 1.0, 2.0), ("flat", "c2", 1.0, 3.0), ("flat", "c3", 1.0, 4.0)]
+    schema = "q string, c string, x double, y double"
+    one = S.random_intercept_by(spark.createDataFrame(data, schema), [], "y", "x", "c").collect()
+    many = S.random_intercept_by(spark.createDataFrame(odd, schema), ["q"], "y", "x", "c").collect()
+    assert len(one) == 1 and [tuple(r)[1:] for r in many] == [tuple(one[0])]
+    scaled = spark.createDataFrame([(q, c, x, y * 1e-12) for q, c, x, y in data], schema)
+    small = S.random_intercept_by(scaled, [], "y", "x", "c").first()
+    assert small["t_value"] == pytest.approx(one[0]["t_value"], rel=1e-9) and small["df"] == pytest.approx(one[0]["df"], rel=1e-6)
+    assert S.random_intercept_by(spark.createDataFrame([], schema), ["q"], "y", "x", "c").collect() == []
+
+
+def test_derivatives_of_the_criterion(spark):
+    """The closed forms beside differences of the criterion."""
+    from carelens.operators import mixed
+
+    rnd = np.random.default_rng(3)
+    data = [("q", f"c{c}", float(c % 2), float(rnd.normal() + c % 4)) for c in range(9) for _ in range(2 + c % 3)]
+    df = spark.createDataFrame(data, "q string, c string, x double, y double")
+    sizes = mixed._by_size(mixed._cluster_sums(df, ["q"], "y", "x", "c", None), ["q"])
+    step = 1e-3
+    for at in (-4.0, -1.0, 0.0, 2.0, 9.0):
+        points = [sizes.select(F.expr(mixed._fit(f"{at + k * step!r}D", bends=True)).alias("f")).first()["f"] for k in (-1, 0, 1)]
+        low, mid, high = (f["criterion"] for f in points)
+        assert points[1]["d1"] == pytest.approx((high - low) / (2 * step), rel=1e-4, abs=1e-6)
+        assert points[1]["d2"] == pytest.approx((high - 2 * mid + low) / step**2, rel=1e-3, abs=1e-4)
+        assert points[1]["d2"] == pytest.approx((points[2]["d1"] - points[0]["d1"]) / (2 * step), rel=1e-4, abs=1e-7)
+
+
+def test_exact_sums_in_any_order(spark):
+    from fractions import Fraction
+
+    from carelens.operators.exact import exact_sum, power_above
+
+    assert [power_above(v) for v in (None, 0.0, 1.0, 1.5, 8.0, 0.3, 2.0**-40, float("inf"))] == [1.0, 1.0, 1.0, 2.0, 8.0, 0.5, 2.0**-40, 1.0]
+    values = [float(v) for v in np.random.default_rng(2).normal(size=5000) / 8] + [1.0, -1.0, 1e-9, 2.0**-72]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    seen = {df.repartition(n, F.rand(n)).agg(exact_sum(F.col("v"))).first()[0] for n in range(1, 9)}
+    assert len(seen) == 1 and abs(Fraction(next(iter(seen))) - sum(map(Fraction, values))) < 2.0**-45

@@ -40,9 +40,10 @@ def runs(piece: bytes, ahead: int) -> Iterator[tuple[list[bytes], int]]:
             yield words, len(words)
         return
     found = (m[0] for m in WORD.finditer(piece))
-    head = list(islice(found, RUN))
+    many = max(RUN, ahead)
+    head = list(islice(found, many))
     while head:
-        following = list(islice(found, RUN))
+        following = list(islice(found, many))
         yield head + following[:ahead], len(head)
         head = following
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -30,6 +30,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def enter(name: str, forget: Callable[[], None] | None = None) -> None:
+    """Called in a worker by an operator that begins: what other operators keep there from task to task is forgotten."""
+    for other in [n for n in _kept if n != name]:
+        _kept.pop(other)()
+    if forget is not None:
+        _kept[name] = forget
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,12 +56,6 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
-def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """A batch in small parts, so that only a few texts are Python objects at a time."""
-    for s in range(0, b.num_rows, rows):
-        yield b.slice(s, rows)
-
-
 def parts(b: pa.RecordBatch, text: int, rows: int = 512, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in parts of at most so many rows and bytes of text; a longer text is a part of its own."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

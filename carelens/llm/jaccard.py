@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import batch, most_frequent, ship, slices, utf8
+from carelens.llm.common import batch, enter, most_frequent, parts, ship, utf8
 from carelens.llm.components import components
 from carelens.sources.staging import new_folder, save_stage, stage
 
@@ -113,7 +113,8 @@ def shingles(text: bytes) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Ids and sets, a bounded number of bytes at a time."""
-    for b in (part for whole in batches for part in slices(whole)):
+    enter("jaccard")
+    for b in (part for whole in batches for part in parts(whole, 1, size=CHUNK)):
         ids, texts = b.column(0).to_pylist(), utf8(b.column(1))
         first = size = 0
         for i, t in enumerate(texts):
@@ -173,11 +174,19 @@ def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray
     return own[: n - -(-n * PERCENT // 100) + 1]
 
 
+def order_of(shingle: np.uint64, common: tuple[np.ndarray, np.ndarray]) -> int:
+    """Where a shingle stands in the order of all sets, as a number; shingles that share their first 42 bits may get one number."""
+    hashes, ranks = common
+    at = int(np.searchsorted(hashes, shingle))
+    rank = int(ranks[at]) if at < len(hashes) and hashes[at] == shingle else 0
+    return rank << 42 | int(shingle) >> 22
+
+
 def _post(batches: Iterator[pa.RecordBatch], common) -> Iterator[pa.RecordBatch]:
-    """A row per prefix shingle of each group (kind 0), and a row per distinct set with its group (kind 1)."""
+    """A row per prefix shingle of each group (kind 0), and a row per distinct set with its group and where the prefix ends (kind 1)."""
     seen: set[bytes] = set()
     for _, sets in _sets(batches):
-        hashes, gids, places, members, owners, sizes = [], [], [], [], [], []
+        hashes, gids, places, members, owners, sizes, ends = [], [], [], [], [], [], []
         for own in sets:
             if not len(own) or (name := _set_id(own)) in seen:
                 continue
@@ -187,12 +196,12 @@ def _post(batches: Iterator[pa.RecordBatch], common) -> Iterator[pa.RecordBatch]
             hashes.append(first)
             gids.append(np.full(len(first), gid, np.int64))
             places.append((np.int64(len(own)) << np.int64(32)) + np.arange(len(first), dtype=np.int64))
-            members.append(name), owners.append(gid), sizes.append(len(own) << 32)
+            members.append(name), owners.append(gid), sizes.append(len(own) << 32), ends.append(order_of(first[-1], common))
         if hashes:
             h = np.concatenate(hashes).astype(np.int64)
             m = len(h)
             yield batch(POSTINGS, np.zeros(m, np.int32), h, np.concatenate(gids), np.concatenate(places), pa.nulls(m, pa.binary()))
-            yield batch(POSTINGS, np.ones(len(members), np.int32), owners, owners, sizes, members)
+            yield batch(POSTINGS, np.ones(len(members), np.int32), ends, owners, sizes, members)
 
 
 def _wanted(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -213,7 +222,8 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each centre's set comes first; those that follow are compared with it."""
     at, centres = None, []
-    for b in batches:
+    enter("jaccard")
+    for b in (part for whole in batches for part in parts(whole, 4, rows=1024, size=CHUNK)):
         found = []
         for centre, salt, member, v, cells in zip(*(c.to_pylist() for c in b.columns)):
             own = np.frombuffer(cells, np.uint64)
@@ -278,7 +288,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Equal sets are one vertex.  Sets with the same prefix and size form a group, and groups meet by shared prefix
     shingles, common shingles coming last in the order.  Each group is verified against one group per shingle first,
     in three rounds at most, which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
-    that can be similar by size, by place and by the number of prefix shingles they share are expanded and verified, and with them all pairs inside
+    that can be similar by size and by what can follow the first shingle they share are expanded and verified, and with them all pairs inside
     a group that is not one component yet.  Pairs within a component say nothing new and are not formed; every other candidate is.  The tables the joins read are written ones.
 
     A missing or empty text has no shingles and is linked with nothing.  Rows with equal keys are one document (their
@@ -303,7 +313,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     shared = spark.read.schema(shared.schema).parquet(save_stage(shared, "shared", folder, ["kind"]))
     members = stage(
-        shared.where("kind = 1").select("gid", "set_id").distinct().join(vertices, "set_id").select("gid", "v").distinct(), "members"
+        shared.where("kind = 1").select("gid", "set_id", F.col("hash").alias("end")).distinct().join(vertices, "set_id").select("gid", "v", "end").distinct(),
+        "members",
     )
     n, i = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
     postings = stage(shared.where("kind = 0").select("hash", "gid", n.alias("n"), i.alias("i")).distinct(), "postings")
@@ -316,9 +327,11 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     star = members.join(firsts, "gid").where("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b"))
     links, labels = stage(same, "links"), None
     for turn in range(STARS + 1):
-        own = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("gid", "v", F.coalesce("label", "v").alias("label"))
+        own = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("gid", "v", "end", F.coalesce("label", "v").alias("label"))
         own = stage(own, "own")
-        grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("v", F.struct("label", "v")).alias("first"))
+        grouped = own.groupBy("gid").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("v", F.struct("label", "v")).alias("first"), F.max("end").alias("end")
+        )
         spread = postings.join(grouped, "gid")
         open_ = spread.groupBy("hash").agg(F.min("low").alias("_low"), F.max("high").alias("_high"), F.min(F.struct("low", "gid", "n", "first")).alias("rep"))
         rest = stage(spread.join(open_.where("_low <> _high").select("hash", "rep"), "hash"), "rest")
@@ -337,18 +350,20 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         links = stage(links.union(found), "links")
         labels = components(links)
 
-    # every pair of groups that is not within one component yet
-    a, b = rest.alias("a"), rest.alias("b")
+    # Every pair of groups that is not within one component yet, by the first shingle they share.  What they share is at most
+    # that one and what follows it.  Of a prefix that ends first, all that the pair shares is posted by both sides, so only
+    # shingles still in question (those of `rest`) count there; behind a prefix, and in the other one, everything may be shared.
     col = F.col
-    both = col("a.n") + col("b.n")
-    # shared shingles: at most those before the earlier place, this one, and those after the later place
-    bound = F.least("a.i", "b.i") + 1 + F.least(col("a.n") - col("a.i"), col("b.n") - col("b.i")) - 1
+    rest = rest.withColumn("after", F.row_number().over(Window.partitionBy("gid").orderBy(col("i").desc())) - 1)
+    rest = stage(rest.withColumn("left", col("after") + F.floor((PERCENT * col("n") + 99) / 100) - 1), "ranked")
+    a, b = rest.alias("a"), rest.alias("b")
+    needed = F.floor((PERCENT * (col("a.n") + col("b.n")) + 99 + PERCENT) / (100 + PERCENT))
+    ends = F.when(col("a.end") < col("b.end"), col("a.left")).when(col("a.end") > col("b.end"), col("b.left")).otherwise(F.greatest("a.left", "b.left"))
+    bound = 1 + F.least(ends, col("a.n") - 1 - col("a.i"), col("b.n") - 1 - col("b.i"))
     open_pair = (col("a.low") != col("b.low")) | (col("a.low") != col("a.high")) | (col("b.low") != col("b.high"))
     pairs = a.join(
-        b, (col("a.hash") == col("b.hash")) & (col("a.gid") < col("b.gid")) & open_pair
-        & _fits(col("a.n"), col("b.n")) & (bound * (100 + PERCENT) >= both * PERCENT),
-    ).groupBy(col("a.gid").alias("g"), col("a.n").alias("n"), col("b.gid").alias("h"), col("b.n").alias("m")).count()
-    pairs = pairs.where(col("count") >= _least_shared(col("n"), col("m"))).select("g", "h")
+        b, (col("a.hash") == col("b.hash")) & (col("a.gid") < col("b.gid")) & open_pair & _fits(col("a.n"), col("b.n")) & (bound >= needed)
+    ).select(col("a.gid").alias("g"), col("b.gid").alias("h")).distinct()
     expanded = (
         pairs.join(own.select(col("gid").alias("g"), col("v").alias("a"), col("label").alias("x")), "g")
         .join(own.select(col("gid").alias("h"), col("v").alias("b"), col("label").alias("y")), "h")

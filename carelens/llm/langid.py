@@ -15,7 +15,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import batch, ship
+from carelens.llm.common import batch, enter, parts, ship
 from carelens.sources.staging import stage
 
 SAMPLE = 4_000  # training documents of a language, about; the only bound, and only on what the models learn from
@@ -197,14 +197,15 @@ _scores: dict[str, _Scores] = {}
 
 def _predict(batches, text: int, token: str, langs: list[str], model: np.ndarray, path: str) -> Iterator[pa.RecordBatch]:
     """The same batches with two more columns."""
+    enter("langid", _scores.clear)
     if token not in _scores:
         _scores.clear()
         _scores[token] = _Scores(model, path)
     scores = _scores[token]
     for b in batches:
-        texts, pred, sure = b.column(text), [], []
-        for s in range(0, len(texts), 256):
-            chunks = [chunks_of(words_of(t)) for t in texts.slice(s, 256).to_pylist()]
+        pred, sure = [], []
+        for part in parts(b, text, rows=256):
+            chunks = [chunks_of(words_of(t)) for t in part.column(text).to_pylist()]
             if len(scores.number) > CACHED:
                 scores.forget()
             scores.learn(sorted(set().union(*chunks).difference(scores.number)))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import ship, slices
+from carelens.llm.common import enter, parts, ship
 
 # What secrets look like.
 KEYWORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
@@ -90,7 +90,8 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], text: int, masked: bool) -> Iterator[pa.RecordBatch]:
-    for b in (part for whole in batches for part in slices(whole)):
+    enter("secret_scan")
+    for b in (part for whole in batches for part in parts(whole, text)):
         texts = b.column(text).to_pylist()
         found = [find_spans(t) if t else [] for t in texts]
         columns, names = list(b.columns), list(b.schema.names)

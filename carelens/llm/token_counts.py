@@ -16,7 +16,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import batch, ship, slices, utf8
+from carelens.llm.common import batch, enter, parts, ship, utf8
 
 FREQUENT = 65_536  # pre-tokens in the broadcast table
 LONGEST = 64  # bytes of a pre-token in it: 4 MB of them at most
@@ -84,6 +84,7 @@ _tables: dict[str, _Lengths] = {}
 
 def _table(token: str, packed, model: str) -> _Lengths:
     """The table of this query, kept by the worker from task to task."""
+    enter("token_counts", _tables.clear)
     if token not in _tables:
         _tables.clear()
         blob, ends, lengths = packed
@@ -97,7 +98,7 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's most frequent pre-tokens of bounded length, by counts that forget rare ones when there are too many."""
     counts: Counter = Counter()
     for b in batches:
-        for part in slices(b):
+        for part in parts(b, 0):
             for text in utf8(part.column(0)):
                 counts.update(w for w in pretokens(text) if len(w) <= LONGEST)
                 if len(counts) > COUNTING:
@@ -139,7 +140,7 @@ def count_tokens(docs: DataFrame, model: str | None = None, limit: int = 4096, k
     def count(batches):
         lengths = _table(token, packed.value, model)
         get = lengths.__getitem__
-        for b in (part for whole in batches for part in slices(whole)):
+        for b in (part for whole in batches for part in parts(whole, 1)):
             found = utf8(b.column(1))
             tokens = [sum(map(get, pretokens(t))) for t in found]
             yield pa.RecordBatch.from_arrays(

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 import os
-import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import islice
 
@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import ship, utf8
+from carelens.llm.common import enter, parts, ship, utf8
 from carelens.sources.staging import stage
 
-CACHED = 300_000  # words a worker remembers with their ids
+CACHED = 400_000  # words a worker remembers with their ids
+CACHED_BYTES = 100 << 20  # they take at most, about
+LONG = 1_000  # bytes of a word that is not remembered
 BATCH = 256  # texts whose unknown words are encoded together
 AT_ONCE = 2_000  # words encoded as one text
-WORD_END = re.compile(rb"(?<=[a-z])([,.])(?=\s|$)")
+SIGNS = b",."
 CHECK_SPAN = np.dtype("<u4")
 
 PIECES = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())]
@@ -36,17 +38,22 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-_known: dict[str, dict[bytes, bytes]] = {}
+class _Known(dict):
+    """Words a worker remembers with their ids, and about how many bytes they take."""
+
+    size = 0
+
+
+_known: dict[str, _Known] = {}
 
 
 def words_of(text: bytes) -> list[bytes]:
     """Parts of a text whose ids, one after the other, are the ids of the text.
 
-    The tokenizer drops white space and lets no token span it.  It lower-cases, and cuts letters from signs, so A-Z
-    can be lower-cased and a comma or point at a word's end set apart first, which leaves fewer different words.
-    Texts that may hold a special token keep their letters.
+    The tokenizer drops white space and lets no token span it.  It lower-cases, so A-Z can be lower-cased first, which
+    leaves fewer different words.  Texts that may hold a special token keep their letters.
     """
-    return (text if b"<|" in text else WORD_END.sub(rb" \1", text.lower())).split()
+    return (text if b"<|" in text else text.lower()).split()
 
 
 def _encode_words(words: list[bytes], path: str) -> Iterator[bytes]:
@@ -61,24 +68,61 @@ def _encode_words(words: list[bytes], path: str) -> Iterator[bytes]:
         yield from (ids[a:b] for a, b in zip(cuts, cuts[1:]))
 
 
+def _encode_new(words: Iterable[bytes], known: dict[bytes, bytes], path: str) -> dict[bytes, bytes]:
+    """Ids of words not met before.
+
+    The tokenizer cuts letters from signs, so a comma or point after a letter at a word's end is a token of its own; and a
+    run of a-z is one piece for it, which its model takes as it stands.  Other words are encoded as text.
+    """
+    out: dict[bytes, bytes] = {}
+    stems: dict[bytes, bytes | None] = {}
+    for w in words:
+        stem = w[:-1] if w[-1] in SIGNS and w[-2:-1].isalpha() and b"<|" not in w else w
+        out[w] = stem
+        stems[stem] = known.get(stem)
+        if stem is not w:
+            stems[w[-1:]] = known.get(w[-1:])
+    model, rest = _tokenizer(path).model, []
+    for w, ids in stems.items():
+        if ids is None:
+            if w.isalpha() and w.islower():
+                stems[w] = array("I", [t.id for t in model.tokenize(w.decode())]).tobytes()
+            else:
+                rest.append(w)
+    stems.update(zip(rest, _encode_words(rest, path)))
+    return {w: stems[stem] if stem is w else stems[stem] + stems[w[-1:]] for w, stem in out.items()}
+
+
 def encode(texts: pa.Array, path: str, end: int) -> Iterator[bytes]:
     """Ids of each text and the end id, as little-endian 32-bit numbers."""
-    known, last = _known.setdefault(path, {}), np.array([end], CHECK_SPAN).tobytes()
-    for s in range(0, len(texts), BATCH):
-        words = [words_of(t) for t in utf8(texts.slice(s, BATCH))]
-        if len(known) > CACHED:  # words met first are the common ones
-            early = dict(islice(known.items(), CACHED // 2))
+    enter("packing", _known.clear)
+    known, last = _known.setdefault(path, _Known()), np.array([end], CHECK_SPAN).tobytes()
+    for part in parts(pa.RecordBatch.from_arrays([texts], ["text"]), 0, BATCH):
+        if len(known) > CACHED or known.size > CACHED_BYTES:  # words met first are the common ones
+            early = dict(islice(known.items(), len(known) // 2))
             known.clear()
             known.update(early)
-        new = list(set().union(*words).difference(known))
-        known.update(zip(new, _encode_words(new, path)))
-        for own in words:
-            yield b"".join(map(known.__getitem__, own)) + last
+            known.size //= 2
+        found, new = [], {}
+        for text in utf8(part.column(0)):
+            words = words_of(text)
+            ids = list(map(known.get, words))
+            gaps = [(i, words[i]) for i, x in enumerate(ids) if x is None] if None in ids else []
+            new.update(dict.fromkeys(w for _, w in gaps))
+            found.append((ids, gaps))
+        learnt = _encode_new(new, known, path)
+        for ids, gaps in found:
+            for i, w in gaps:
+                ids[i] = learnt[w]
+            yield b"".join(ids) + last
+        short = {w: x for w, x in learnt.items() if len(w) <= LONG}
+        known.update(short)
+        known.size += sum(len(w) + len(x) for w, x in short.items()) + 200 * len(short)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, size: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     step = 4 * size
-    for b in batches:
+    for b in (part for whole in batches for part in parts(whole, 1, 4 * BATCH)):
         at, rows = [], []
         for i, ids in enumerate(encode(b.column(1), path, end)):
             for piece, s in enumerate(range(0, len(ids), step)):

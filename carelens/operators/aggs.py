@@ -11,6 +11,7 @@ from carelens.functions.nulls import percent
 from carelens.operators.ordered import find_hot, over_ordered, running_sum
 from carelens.operators.reshape import pivot_glue
 from carelens.operators.select import small_side
+from carelens.operators.selection import ranked_summary, sample_sd
 from carelens.sources.staging import stage
 
 
@@ -40,7 +41,7 @@ MARGIN = 4 / ACCURACY
 
 
 def _near_counts(df: DataFrame, keys: list[str], col: str, probs: list[float]) -> tuple[DataFrame, list[str]]:
-    """Value counts near the wanted ranks; rows elsewhere are counted as the largest of their stretch."""
+    """Value counts near the wanted ranks; rows elsewhere are counted as the largest of their stretch, ``_single`` if it is the only one."""
     group = list(keys) or ["_all"]
     valued = df.withColumn("_v", F.col(col).cast("double")).filter("_v is not null")
     valued = (valued if keys else valued.withColumn("_all", F.lit(1))).select(*group, "_v")
@@ -54,7 +55,7 @@ def _near_counts(df: DataFrame, keys: list[str], col: str, probs: list[float]) -
     inside = reduce(lambda a, b: a | b, [a & b for a, b in zip(above, below)], F.col("_rows") <= ACCURACY)
     passed = reduce(lambda a, b: a + b, [(~b).cast("int") for b in below])
     counts = placed.groupBy(*group, passed.alias("_passed"), F.when(inside, v).alias("_own")).agg(
-        F.max("_v").alias("_v"), F.count(F.lit(1)).alias("_n")
+        F.max("_v").alias("_v"), F.count(F.lit(1)).alias("_n"), (F.min("_v") == F.max("_v")).alias("_single")
     )
     return stage(counts.drop("_passed", "_own"), "near_counts"), group
 
@@ -75,7 +76,10 @@ def _from_counts(counts: DataFrame, group: list[str], probs: dict[str, float]) -
     ranked = _join_groups(ranked, totals, group)
 
     def value_at(rank):
-        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("_v")))
+        value = F.col("_v")
+        if "_single" in counts.columns:  # the rank must lie in its bracket, or at least among equal values
+            value = F.when(F.col("_single"), value).otherwise(F.raise_error(F.lit("a wanted rank is not in its bracket")).cast("double"))
+        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), value))
 
     away = F.col("_v") - F.col("_mean")
     aggs = {
@@ -123,9 +127,17 @@ def quantiles_by(df: DataFrame, keys: list[str], col: str, probs: dict[str, floa
 def describe_by(df: DataFrame, keys: list[str], col: str, prefix: str = "", weight: str | None = None) -> DataFrame:
     """mean, sd, median, min and max by group, nulls ignored.
 
-    ``weight`` names a column saying how many rows each row stands for.
-    Groups without any value keep a row of nulls.
+    ``weight`` names a column saying how many rows each row stands for; such
+    rows are counts already.  Others are counted in histograms that are
+    refined (`selection`), so no table of values is shuffled.  Groups without
+    any value keep a row of nulls.
     """
+    if weight is None:
+        valued = df.select(*keys, F.col(col).cast("double").alias("_v"))
+        group = list(keys) or ["_all"]
+        stats = ranked_summary(valued if keys else valued.withColumn("_all", F.lit(1)), group, {"median": 0.5}).withColumn("sd", sample_sd())
+        stats = stats if keys else stats.filter("_total > 0")
+        return stats.select(*keys, *[F.col(s).alias(f"{prefix}{s}") for s in ("mean", "sd", "median", "min", "max")])
     counts, group = _value_counts(df, keys, col, weight)
     stats = _from_counts(counts, group, {"median": 0.5})
     stats = stats.select(*keys, *[F.col(s).alias(f"{prefix}{s}") for s in ("mean", "sd", "median", "min", "max")])
@@ -135,11 +147,8 @@ def describe_by(df: DataFrame, keys: list[str], col: str, prefix: str = "", weig
 def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column: min, quartiles, mean, max and number of nulls."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    counts = stage(long.groupBy("column", F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value_counts")
-    missing = counts.groupBy("column").agg(F.sum(F.when(F.col("_v").isNull(), F.col("_n")).otherwise(0)).alias("n_null"))
-    stats = _from_counts(counts, ["column"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    out = _join_groups(missing, stats, ["column"])
-    return out.select("column", "min", "q1", "median", "mean", "q3", "max", "n_null")
+    stats = ranked_summary(long.withColumnRenamed("value", "_v"), ["column"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return stats.select("column", "min", "q1", "median", "mean", "q3", "max", F.col("_missing").alias("n_null"))
 
 
 def mean_by(df, keys, col, out="mean") -> DataFrame:

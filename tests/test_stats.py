@@ -281,3 +281,53 @@ def test_exact_sums_in_any_order(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     seen = {df.repartition(n, F.rand(n)).agg(exact_sum(F.col("v"))).first()[0] for n in range(1, 9)}
     assert len(seen) == 1 and abs(Fraction(next(iter(seen))) - sum(map(Fraction, values))) < 2.0**-45
+
+
+def test_ranks_by_refined_histograms(spark, monkeypatch):
+    """Any doubles, with bins so few and limits so small that many rounds are needed; beside whole sorts."""
+    from carelens.operators import selection
+
+    rnd = np.random.default_rng(8)
+    groups = {
+        "wide": rnd.normal(size=900), "tiny": 1 + rnd.random(800) * 1e-12, "far": np.exp(rnd.normal(size=700) * 200), "signs": np.concatenate([-np.exp(rnd.normal(size=90) * 9), [0.0, -0.0, 5e-324, -5e-324]]),
+        "ties": rnd.integers(0, 4, 500).astype(float), "one": np.array([3.25]), "two": np.array([-1e308, 1e308]), "ends": np.array([1.0] * 300 + [2.0]), None: rnd.normal(size=50),
+    }
+    data = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("ties", None), ("none", None), ("none", None)]
+    df = spark.createDataFrame(data, "g string, _v double").repartition(6)
+    probs = {"a": 0.0, "b": 0.1, "c": 0.25, "d": 0.5, "e": 0.777, "f": 1.0}
+    for bins, few in ((4096, 100_000), (4096, 0), (16, 0), (2, 30)):
+        monkeypatch.setattr(selection, "BINS", bins), monkeypatch.setattr(selection, "FEW", few)
+        got = {r["g"]: r for r in selection.ranked_summary(df, ["g"], probs).collect()}
+        assert set(got) == {*groups, "none"}
+        assert (got["none"]["_total"], got["none"]["_missing"], got["none"]["d"], got["ties"]["_missing"]) == (0, 2, None, 1)
+        for g, x in groups.items():
+            r, x = got[g], np.sort(x)
+            for name, p in probs.items():
+                spot = (len(x) - 1) * p
+                lo, hi = float(x[int(np.floor(spot))]), float(x[int(np.ceil(spot))])
+                assert r[name] == (lo if lo == hi else lo + (spot - np.floor(spot)) * (hi - lo)), (g, name)
+            assert (r["min"], r["max"], r["_total"]) == (x[0], x[-1], len(x))
+            if g not in ("two", "far"):
+                assert r["mean"] == pytest.approx(x.mean(), rel=1e-12, abs=1e-12) and r["_ss"] == pytest.approx(((x - x.mean()) ** 2).sum(), rel=1e-6)
+
+
+def test_ranks_with_infinities_and_changed_input(spark, monkeypatch):
+    from carelens.operators import selection
+
+    values = [float("inf"), float("-inf"), float("nan"), 1.0, 2.0, 3.0, 4.0]
+    df = spark.createDataFrame([("g", v) for v in values], "g string, _v double")
+    r = selection.ranked_summary(df, ["g"], {"a": 0.0, "b": 0.5, "c": 5 / 6}).first()
+    assert (r["a"], r["b"], r["c"]) == (float("-inf"), 3.0, float("inf"))
+    moving = spark.range(5000).select(F.lit("g").alias("g"), F.rand().alias("_v"))
+    spark_rand = moving.withColumn("_v", F.col("_v") + F.unix_micros(F.current_timestamp()) * 1e-3)
+    monkeypatch.setattr(selection, "FEW", 0)
+    with pytest.raises(RuntimeError, match="bracket"):
+        selection.ranked_summary(spark_rand, ["g"], {"m": 0.5})
+
+
+def test_a_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(A, "ACCURACY", 100)
+    monkeypatch.setattr(A, "MARGIN", -0.1)  # brackets that end before they begin
+    df = spark.createDataFrame([("g", float(i % 997)) for i in range(3000)], "g string, x double")
+    with pytest.raises(Exception, match="not in its bracket"):
+        A.quantiles_by(df, ["g"], "x", {"m": 0.5}).collect()

@@ -23,8 +23,10 @@ ROUNDS = 3  # of expectation and maximisation
 UNIT = 2.0**20  # expected counts are added up in whole units, so that no order of addition matters
 SMOOTHING = 0.1  # added to the expected count of every piece
 OUTSIDE = 1e-7  # probability of a letter that the vocabulary lacks, the same in every language
-CHUNK = 24  # letters; longer words are scored in parts
+AT_ONCE = 4096  # words worked on together
+LETTERS_AT_ONCE = 1 << 17  # letters, all words as long as the longest
 CACHED = 300_000  # words a worker remembers with their scores
+CACHED_LETTERS = 8 << 20  # letters of them
 UNKNOWN = "und"
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -34,15 +36,8 @@ EXPECTED = pa.schema([("lang", pa.int32()), ("piece", pa.int32()), ("units", pa.
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased; marks, digits and signs are the same in all languages and left out."""
-    return LETTERS.findall(text.lower()) if text else []
-
-
-def chunks_of(words: list[str]) -> list[str]:
-    """Words as scored: a start sign before the first part, parts of bounded length."""
-    if max(map(len, words), default=0) <= CHUNK:
-        return [START + w for w in words]
-    return [(START if s == 0 else "") + w[s : s + CHUNK] for w in words for s in range(0, len(w), CHUNK)]
+    """Runs of letters, lower-cased, whole, behind a start sign; marks, digits and signs are the same in all languages and left out."""
+    return [START + w for w in LETTERS.findall(text.lower())] if text else []
 
 
 @cache
@@ -54,67 +49,113 @@ def vocabulary(path: str) -> tuple[dict[str, int], set[str]]:
     return {p: i for i, p in enumerate(own)}, {p[:n] for p in own for n in range(1, len(p) + 1)}
 
 
-def _edges(chunks: list[str], path: str) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By start position: chunk, end position and piece of every piece that occurs there; a letter alone always does."""
+def _batches(words: list[str]) -> Iterator[np.ndarray]:
+    """Numbers of words to work on together, the longest first: of bounded number and letters, but for one very long word."""
+    order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+    start = 0
+    while start < len(order):
+        most = max(1, min(AT_ONCE, LETTERS_AT_ONCE // len(words[order[start]])))
+        yield np.array(order[start : start + most])
+        start += most
+
+
+def _edges(words: list[str], i: int, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, length and piece of every piece that starts at letter ``i`` of a word; a letter alone always does."""
     pieces, beginnings = vocabulary(path)
     outside = len(pieces)
-    at = [([], [], []) for _ in range(max(map(len, chunks), default=0))]
-    for c, chunk in enumerate(chunks):
-        size = len(chunk)
-        for i in range(size):
-            rows, ends, found = at[i]
-            rows.append(c), ends.append(i + 1), found.append(pieces.get(chunk[i], outside))
-            for j in range(i + 2, size + 1):
-                part = chunk[i:j]
-                if part not in beginnings:
-                    break
-                if part in pieces:
-                    rows.append(c), ends.append(j), found.append(pieces[part])
-    return [tuple(np.array(x, np.int32) for x in e) for e in at]
-
-
-def _forward(edges, lengths: np.ndarray, weight) -> np.ndarray:
-    """Probability of every beginning of each chunk, summed over its segmentations; ``weight(rows, pieces)`` gives p."""
-    shape = weight(np.zeros(1, np.int32), np.zeros(1, np.int32)).shape[1:]
-    alpha = np.zeros((len(lengths), int(lengths.max(initial=0)) + 1, *shape))
-    alpha[:, 0] = 1.0
-    for i, (rows, ends, found) in enumerate(edges):
-        np.add.at(alpha, (rows, ends), alpha[rows, i] * weight(rows, found))
-    return alpha
-
-
-def _backward(edges, lengths: np.ndarray, weight) -> np.ndarray:
-    beta = np.zeros((len(lengths), int(lengths.max(initial=0)) + 1))
-    beta[np.arange(len(lengths)), lengths] = 1.0
-    for i in range(len(edges) - 1, -1, -1):
-        rows, ends, found = edges[i]
-        np.add.at(beta, (rows, np.full(len(rows), i)), beta[rows, ends] * weight(rows, found))
-    return beta
-
-
-def score_chunks(chunks: list[str], model: np.ndarray, path: str) -> np.ndarray:
-    """Log probability of each chunk in each language; ``model`` has a row per piece and one for letters outside."""
-    lengths = np.array([len(c) for c in chunks], np.int64)
-    alpha = _forward(_edges(chunks, path), lengths, lambda rows, found: model[found])
-    return np.log(alpha[np.arange(len(chunks)), lengths])
+    rows, spans, found = [], [], []
+    for r, word in enumerate(words):
+        size = len(word)
+        if size <= i:  # the longest come first
+            break
+        rows.append(r), spans.append(1), found.append(pieces.get(word[i], outside))
+        for j in range(i + 2, size + 1):
+            part = word[i:j]
+            if part not in beginnings:
+                break
+            if part in pieces:
+                rows.append(r), spans.append(j - i), found.append(pieces[part])
+    return np.array(rows, np.int64), np.array(spans, np.int64), np.array(found, np.int64)
+
+
+@cache
+def _ring(path: str) -> int:
+    """Letters that a piece can reach ahead, and the place itself."""
+    return max(map(len, vocabulary(path)[0])) + 1
+
+
+def score_words(words: list[str], model: np.ndarray, path: str) -> np.ndarray:
+    """Log probability of each word in each language, summed over all its segmentations; ``model`` has a row per piece and one for letters outside.
+
+    The probability of a beginning of a word is needed until the longest piece has passed it, so a ring of that length
+    holds for words of any length.  Its values are relative to the present place, whose logarithm is kept apart.
+    """
+    out, size = np.zeros((len(words), model.shape[1])), _ring(path)
+    for at in _batches(words):
+        own = [words[i] for i in at]
+        lengths = np.array([len(w) for w in own])
+        ring = np.zeros((len(own), size, model.shape[1]))
+        ring[:, 0] = 1.0
+        logs = np.zeros((len(own), model.shape[1]))
+        for i in range(lengths[0]):
+            n = int(np.searchsorted(-lengths, -i, side="left"))  # words that go on here
+            rows, spans, found = _edges(own, i, path)
+            ring[rows, (i + spans) % size] += model[found]
+            ring[:n, i % size] = 0.0
+            here = ring[:n, (i + 1) % size]
+            logs[:n] += np.log(here)
+            ring[:n] /= here[:, None, :].copy()
+        out[at] = logs
+    return out
+
+
+def expected_pieces(words: list[str], lang: np.ndarray, times: np.ndarray, model: np.ndarray, path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Piece, language and expected occurrences among all segmentations of the words, each in its language and so many times.
+
+    Forward as in scoring, keeping the logarithm at every letter, then backward with a ring of its own.
+    """
+    size = _ring(path)
+    for at in _batches(words):
+        own, langs, n_times = [words[i] for i in at], lang[at], times[at]
+        lengths = np.array([len(w) for w in own])
+        steps = lengths[0]
+        few = int(lengths.sum()) <= LETTERS_AT_ONCE
+        kept = [_edges(own, i, path) for i in range(steps)] if few else None  # of a very long word they are found again
+        edges = kept.__getitem__ if few else lambda i: _edges(own, i, path)  # noqa: B023
+        going = [int(np.searchsorted(-lengths, -i, side="left")) for i in range(steps)]
+        ring, logs = np.zeros((len(own), size)), np.zeros((len(own), steps + 1))
+        ring[:, 0] = 1.0
+        for i, n in enumerate(going):
+            rows, spans, found = edges(i)
+            ring[rows, (i + spans) % size] += model[found, langs[rows]]
+            ring[:n, i % size] = 0.0
+            here = ring[:n, (i + 1) % size].copy()
+            logs[:n, i + 1] = logs[:n, i] + np.log(here)
+            ring[:n] /= here[:, None]
+        total = logs[np.arange(len(own)), lengths]
+        ring, behind = np.zeros((len(own), size)), np.zeros(len(own))
+        for i in range(steps - 1, -1, -1):
+            n = going[i]
+            ending = np.flatnonzero(lengths[:n] == i + 1)
+            ring[ending, (i + 1) % size] = 1.0
+            rows, spans, found = edges(i)
+            through = model[found, langs[rows]] * ring[rows, (i + spans) % size]
+            here = np.bincount(rows, through, minlength=n)
+            behind[:n] += np.log(here)
+            share = np.exp(logs[:n, i] + behind[:n] - total[:n])[rows] * through / here[rows]
+            yield found, langs[rows], share * n_times[rows]
+            ring[:n, i % size] = here  # the place that no piece from here on can reach
+            ring[:n] /= here[:, None]
 
 
 def _expect(batches: Iterator[pa.RecordBatch], model: np.ndarray, path: str) -> Iterator[pa.RecordBatch]:
     """Expected counts of pieces among the segmentations of each language's words."""
     units = np.zeros((len(vocabulary(path)[0]) + 1, model.shape[1]), np.int64)
-    for b in batches:
-        langs = b.column(0).to_numpy(zero_copy_only=False)
-        words, n = b.column(1).to_pylist(), b.column(2).to_numpy(zero_copy_only=False)
-        for s in range(0, len(words), 4096):
-            lang, chunks, times = langs[s : s + 4096], words[s : s + 4096], n[s : s + 4096]
-            lengths = np.array([len(c) for c in chunks], np.int64)
-            edges = _edges(chunks, path)
-            weight = lambda rows, found: model[found, lang[rows]]
-            alpha, beta = _forward(edges, lengths, weight), _backward(edges, lengths, weight)
-            total = alpha[np.arange(len(chunks)), lengths]
-            for i, (rows, ends, found) in enumerate(edges):
-                share = alpha[rows, i] * weight(rows, found) * beta[rows, ends] / total[rows]
-                np.add.at(units, (found, lang[rows]), np.rint(share * times[rows] * UNIT).astype(np.int64))
+    enter("langid", _scores.clear)
+    for b in (part for whole in batches for part in parts(whole, 1, 8192)):
+        langs, words, n = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist(), b.column(2).to_numpy(zero_copy_only=False)
+        for piece, lang, times in expected_pieces(words, langs, n, model, path):
+            np.add.at(units, (piece, lang), np.rint(times * UNIT).astype(np.int64))
     piece, lang = np.nonzero(units)
     if len(piece):
         yield batch(EXPECTED, lang.astype(np.int32), piece.astype(np.int32), units[piece, lang])
@@ -122,9 +163,10 @@ def _expect(batches: Iterator[pa.RecordBatch], model: np.ndarray, path: str) ->
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, Counter] = {}
-    for b in batches:
+    enter("langid", _scores.clear)
+    for b in (part for whole in batches for part in parts(whole, 1)):
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            counts.setdefault(lang, Counter()).update(chunks_of(words_of(text)))
+            counts.setdefault(lang, Counter()).update(words_of(text))
         if sum(map(len, counts.values())) > CACHED:
             for lang, own in counts.items():
                 yield batch(WORDS, [lang] * len(own), list(own), list(own.values()))
@@ -178,18 +220,20 @@ class _Scores:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
+        self.letters = 0
         self.rows = np.empty((4096, self.model.shape[1]))
 
     def learn(self, words: list[str]) -> None:
-        if len(self.number) > CACHED:
+        base = len(self.number)
+        while base + len(words) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+        self.rows[base : base + len(words)] = score_words(words, self.model, self.path)
+        self.number.update(zip(words, range(base, base + len(words))))
+        self.letters += sum(map(len, words))
+
+    def make_room(self) -> None:
+        if len(self.number) > CACHED or self.letters > CACHED_LETTERS:
             self.forget()
-        for s in range(0, len(words), 4096):
-            part = words[s : s + 4096]
-            base = len(self.number)
-            while base + len(part) > len(self.rows):
-                self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-            self.rows[base : base + len(part)] = score_chunks(part, self.model, self.path)
-            self.number.update(zip(part, range(base, base + len(part))))
 
 
 _scores: dict[str, _Scores] = {}
@@ -205,11 +249,10 @@ def _predict(batches, text: int, token: str, langs: list[str], model: np.ndarray
     for b in batches:
         pred, sure = [], []
         for part in parts(b, text, rows=256):
-            chunks = [chunks_of(words_of(t)) for t in part.column(text).to_pylist()]
-            if len(scores.number) > CACHED:
-                scores.forget()
-            scores.learn(sorted(set().union(*chunks).difference(scores.number)))
-            for own in chunks:
+            words = [words_of(t) for t in part.column(text).to_pylist()]
+            scores.make_room()
+            scores.learn(sorted(set().union(*words).difference(scores.number)))
+            for own in words:
                 if not own or not langs:
                     pred.append(UNKNOWN), sure.append(0.0)
                     continue

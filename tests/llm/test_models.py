@@ -6,6 +6,7 @@ import re
 import struct
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -178,21 +179,69 @@ def segmentations(chunk, model, langs):
     return out
 
 
-def test_forward_sum_equals_all_segmentations():
+def plain_forward(word, model):
+    """The forward sum in exact fractions of the model's numbers: no cut, no rescaling."""
+    pieces, _ = langid.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    alpha = [[Fraction(1)] * model.shape[1]] + [[Fraction(0)] * model.shape[1] for _ in word]
+    for i in range(len(word)):
+        for j in range(i + 1, len(word) + 1):
+            row = pieces.get(word[i:j], len(pieces) if j == i + 1 else None)
+            if row is not None:
+                alpha[j] = [a + b * Fraction(p) for a, b, p in zip(alpha[j], alpha[i], model[row])]
+    return [math.log(a.numerator) - math.log(a.denominator) for a in alpha[-1]]
+
+
+@pytest.fixture(scope="module")
+def random_model():
     path = public_tokenizers.path("piece_bpe_32k.model")
-    rng = np.random.default_rng(0)
-    model = rng.random((len(langid.vocabulary(path)[0]) + 1, 3)) * 1e-3
-    chunks = ["▁the", "▁", "tion", "▁übung", "▁日本x", "ñandú", "▁aaaaaaa"]
-    got = langid.score_chunks(chunks, model, path)
-    for row, c in zip(got, chunks):
+    return path, np.random.default_rng(0).random((len(langid.vocabulary(path)[0]) + 1, 3)) * 1e-3
+
+
+def test_forward_sum_equals_all_segmentations(random_model):
+    path, model = random_model
+    words = ["▁the", "▁", "tion", "▁übung", "▁日本x", "ñandú", "▁aaaaaaa"]
+    got = langid.score_words(words, model, path)
+    for row, c in zip(got, words):
         assert np.exp(row) == pytest.approx(segmentations(c, model, 3))
 
 
-def test_chunks_keep_every_letter():
+def test_forward_sum_of_long_words(random_model, monkeypatch):
+    """Words of 25 to 60 letters and far longer, together and alone."""
+    path, model = random_model
+    letters = np.random.default_rng(2)
+    words = ["▁" + "".join(letters.choice(list("theraionsd日é"), n)) for n in (24, 25, 26, 31, 40, 47, 60, 130)] + ["▁donaudampfschifffahrtsgesellschaftskapitaen", "▁a"]
+    for at_once in (1 << 17, 50, 1):
+        monkeypatch.setattr(langid, "LETTERS_AT_ONCE", at_once)
+        for row, w in zip(langid.score_words(words, model, path), words):
+            assert row == pytest.approx(plain_forward(w, model), rel=1e-12)
+    long = "▁" + "international" * 5_000
+    assert np.isfinite(langid.score_words([long], model, path)).all()
+
+
+def test_expected_pieces_of_long_words(random_model, monkeypatch):
+    """Expected counts are the derivative of the log probability by the log of a piece's probability."""
+    path, model = random_model
+    words, lang, times = ["▁theinternationalrelationsofthese", "▁on", "▁therationanderationsonthesead" * 2], np.array([0, 1, 2]), np.array([1, 3, 2])
+    for at_once in (1 << 17, 3):
+        monkeypatch.setattr(langid, "LETTERS_AT_ONCE", at_once)
+        got = defaultdict(float)
+        for found, of, share in langid.expected_pieces(words, lang, times, model, path):
+            for p, k, x in zip(found, of, share):
+                got[int(p), int(k)] += x
+        for (p, k), x in sorted(got.items())[::7]:
+            step, sums = 1e-4, []
+            for sign in (1, -1):
+                moved = model.copy()
+                moved[p, k] *= np.exp(sign * step)
+                sums.append(sum(t * langid.score_words([w], moved, path)[0, k] for w, g, t in zip(words, lang, times) if g == k))
+            assert x == pytest.approx((sums[0] - sums[1]) / (2 * step), rel=1e-4, abs=1e-6)
+        letters = sum(x * len(next(w for w, i in langid.vocabulary(path)[0].items() if i == p)) for (p, k), x in got.items())
+        assert letters == pytest.approx(sum(len(w) * t for w, t in zip(words, times)))
+
+
+def test_words_keep_every_letter():
     words = langid.words_of("Short " + "x" * 60 + " 12 a_b ÉÀ")
-    assert words == ["short", "x" * 60, "a", "b", "éà"]
-    assert "".join(langid.chunks_of(words)).replace("▁", "") == "".join(words)
-    assert max(map(len, langid.chunks_of(words))) <= langid.CHUNK + 1
+    assert words == ["▁short", "▁" + "x" * 60, "▁a", "▁b", "▁éà"]
 
 
 def test_language_accuracy_on_documents_not_learned(spark):

@@ -327,14 +327,13 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     star = members.join(firsts, "gid").where("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b"))
     links, labels = stage(same, "links"), None
     for turn in range(STARS + 1):
-        own = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("gid", "v", "end", F.coalesce("label", "v").alias("label"))
+        own = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("gid", "v", F.coalesce("label", "v").alias("label"))
         own = stage(own, "own")
-        grouped = own.groupBy("gid").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("v", F.struct("label", "v")).alias("first"), F.max("end").alias("end")
-        )
+        grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("v", F.struct("label", "v")).alias("first"))
         spread = postings.join(grouped, "gid")
         open_ = spread.groupBy("hash").agg(F.min("low").alias("_low"), F.max("high").alias("_high"), F.min(F.struct("low", "gid", "n", "first")).alias("rep"))
         rest = stage(spread.join(open_.where("_low <> _high").select("hash", "rep"), "hash"), "rest")
+        postings = rest.select("hash", "gid", "n", "i")  # components only grow: a shingle of one component stays one
         if turn == STARS:
             break
         # each group with the group of the smallest component among those of a shingle: the one it shares most with
@@ -355,6 +354,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # shingles still in question (those of `rest`) count there; behind a prefix, and in the other one, everything may be shared.
     col = F.col
     rest = rest.withColumn("after", F.row_number().over(Window.partitionBy("gid").orderBy(col("i").desc())) - 1)
+    rest = rest.join(members.groupBy("gid").agg(F.max("end").alias("end")), "gid")
     rest = stage(rest.withColumn("left", col("after") + F.floor((PERCENT * col("n") + 99) / 100) - 1), "ranked")
     a, b = rest.alias("a"), rest.alias("b")
     needed = F.floor((PERCENT * (col("a.n") + col("b.n")) + 99 + PERCENT) / (100 + PERCENT))

@@ -33,16 +33,23 @@ def unit_profiles(wide: DataFrame, key: str, features: list[str]) -> DataFrame:
     )
 
 
-def corr_distance(wide: DataFrame, key: str, features: list[str], blocks: int = 8) -> DataFrame:
+TILE = 2_000  # sites on a side of a tile
+LEAST_BLOCKS = 8
+
+
+def corr_distance(wide: DataFrame, key: str, features: list[str], blocks: int | None = None) -> DataFrame:
     """1 - Pearson correlation for every pair of sites.
 
     The pairs are the result.  They are formed block by block: each site goes
     to the block pairs it belongs to, an ordinary equi-join on the block pair
     brings them together, and each pair is formed once, in one task of many.
-    Raise ``blocks`` with the number of sites.
+    The number of blocks follows the number of sites, so that a tile has about
+    ``TILE`` sites on a side; ``blocks`` sets it.
     """
-    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-    profiles = cut_lineage(unit_profiles(wide, key, features).withColumn("_b", block))  # one row per site
+    profiles = cut_lineage(unit_profiles(wide, key, features))  # one row per site
+    if blocks is None:
+        blocks = max(LEAST_BLOCKS, -(-profiles.count() // TILE))
+    profiles = profiles.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
     rows = profiles.select(
         F.col(key).alias("_p"), F.col("profile").alias("_u"), F.col("_b").alias("_i"),
         F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1))).alias("_j"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.operators.ordered import Hot, next_known, over_ordered
@@ -37,6 +37,65 @@ def overlap_months(spans: DataFrame, start: str, end: str, observed: DataFrame,
     return spans.withColumn(month, F.explode(touched)).drop("_seen", "_first", "_last")
 
 
+def _dyadic(start: Column, end: Column, levels: Column) -> Column:
+    """The closed range of whole numbers as an array of (level, node): disjoint blocks of 2 ^ level numbers, two of a level at most.
+
+    At a level the range covers the blocks from ceil(start / 2 ^ level) to floor((end + 1) / 2 ^ level) - 1; the outermost of
+    them stand alone when their neighbours outside belong to the same larger block.
+    """
+
+    def at(level):
+        low, high = -call("shiftright", -start, level), call("shiftright", end + 1, level)
+        left = F.when((low < high) & (low.bitwiseAND(F.lit(1)) == 1), F.struct(level.alias("level"), low.alias("node")))
+        right = F.when((low < high) & (high.bitwiseAND(F.lit(1)) == 1), F.struct(level.alias("level"), (high - 1).alias("node")))
+        return F.array_compact(F.array(left, right))
+
+    call = F.call_function
+    return F.flatten(F.transform(levels, at))
+
+
+def _points_in(points: DataFrame, at: Column, ranges: DataFrame, low: Column, high: Column, keys: list[tuple[str, str]], levels: Column) -> DataFrame:
+    """Every row of ``points`` beside every row of ``ranges`` of the same keys that holds its point: one equi-join."""
+    points, ranges = points.withColumn("_levels", levels), ranges.withColumn("_levels", levels)
+    up = F.transform("_levels", lambda k: F.struct(k.alias("level"), F.call_function("shiftright", at, k).alias("node")))
+    a = points.withColumn("_p", F.explode(up)).drop("_levels")
+    b = ranges.filter(low <= high).withColumn("_r", F.explode(_dyadic(low, high, F.col("_levels")))).drop("_levels")
+    same = [F.col(x).eqNullSafe(F.col(y)) for x, y in keys]
+    return a.join(b, [*same, F.col("_p.level") == F.col("_r.level"), F.col("_p.node") == F.col("_r.node")]).drop("_p", "_r")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], span: tuple[str, str], other: tuple[str, str] | None = None) -> DataFrame:
+    """All pairs of rows of equal keys whose closed spans touch; columns of both, those of ``right`` with ``right_`` before them.
+
+    Spans are dates or whole numbers.  Two spans touch if the left one starts within the right one, or the right one
+    starts within the left one, later.  A range of numbers is a few dyadic blocks (two of each size at most) and a point lies in
+    one block of each size, so a point meets a range that holds it in exactly one block: both halves are plain
+    equi-joins on keys, size and block.  No pair beyond the result is formed, long spans cost the logarithm of their
+    length, and a key with very many rows is spread over its blocks.
+
+    A span with a missing end touches nothing, a reversed one is turned round, missing keys match missing keys.
+    """
+    other = other or span
+
+    def bounds(df, names, prefix):
+        ends = [F.unix_date(c) if df.schema[c].dataType.typeName() == "date" else F.col(c).cast("long") for c in names]
+        known = df.withColumns({"_s": ends[0].cast("long"), "_e": ends[1].cast("long")}).filter("_s is not null and _e is not null")
+        low, high = F.least("_s", "_e"), F.greatest("_s", "_e")
+        return known.select(*[F.col(c).alias(prefix + c) for c in df.columns], low.alias(f"_{prefix}low"), high.alias(f"_{prefix}high"))
+
+    a, b = bounds(left, span, ""), bounds(right, other, "right_")
+    pairs = [(k, f"right_{k}") for k in keys]
+    longest = [df.agg(F.coalesce(F.max(F.col(high) - F.col(low)), F.lit(0))).scalar() for df, low, high in ((a, "_low", "_high"), (b, "_right_low", "_right_high"))]
+
+    def levels(most):
+        return F.sequence(F.lit(0), F.floor(F.log2((most + 1).cast("double"))).cast("int") + 1)
+
+    starts = _points_in(a, F.col("_low"), b, F.col("_right_low"), F.col("_right_high"), pairs, levels(longest[1]))
+    later = _points_in(b, F.col("_right_low"), a, F.col("_low") + 1, F.col("_high"), [(y, x) for x, y in pairs], levels(longest[0]))
+    columns = [*left.columns, *[f"right_{c}" for c in right.columns]]
+    return starts.select(*columns).unionByName(later.select(*columns))
+
+
 def asof_forward(
     left: DataFrame,
     right: DataFrame,

@@ -86,20 +86,33 @@ def pivot_glue(df, ids, key, values, keys) -> DataFrame:
     return df.groupBy(*ids).agg(*[_cell(key, k, F.col(v)).alias(f"{k}_{v}") for k in keys for v in values])
 
 
+KEY_BLOCK = 4096  # keys that an id meets in one piece
+
+
 def densify(df, ids: list[str], key: str, value: str, fill=0, within: list[str] = ()) -> DataFrame:
     """Every observed id with every observed key, ``fill`` where a pair is missing.
 
     ``within`` names those of the id columns that have key sets of their own
-    (a measure and its months).  ``df`` is a table of monthly results, best a
-    kept one: it is read three times.  The keys are calendar months, so the
-    list of them is short; the grid itself is the result asked for.
+    (a measure and its months).  ``df`` is read three times, best a kept table.
+    The grid is the result asked for; it is formed by an equi-join: distinct
+    keys are dealt into blocks of about ``KEY_BLOCK`` by hash, each id goes to
+    every block of its key set, and meets the keys there.  No list of keys is
+    collected, so there may be any number of them, and the join can be split.
+    A missing key is no key; an id whose keys are all missing has no row.
     """
-    rows = df.select(*ids).distinct()
-    if within:
-        lists = df.groupBy(*within).agg(F.collect_set(key).alias("_keys"))
-        grid = same_keys(rows, lists, list(within), "inner").select(*ids, F.explode("_keys").alias(key))
+    per = list(within)
+    keys = df.filter(F.col(key).isNotNull()).select(*per, key).distinct()
+    blocks = F.ceil(F.count(F.lit(1)) / KEY_BLOCK).cast("int")
+    if per:
+        sizes = keys.groupBy(*per).agg(blocks.alias("_blocks"))
+        keys = same_keys(keys, sizes, per)
+        rows = same_keys(df.select(*ids).distinct(), sizes, per, "inner")
     else:
-        grid = rows.withColumn(key, F.explode(df.agg(F.collect_set(key)).scalar()))
+        size = keys.agg(F.greatest(blocks, F.lit(1))).scalar()
+        keys, rows = keys.withColumn("_blocks", size), df.select(*ids).distinct().withColumn("_blocks", size)
+    dealt = keys.select(*per, key, F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int").alias("_block"))
+    rows = rows.select(*ids, F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+    grid = same_keys(rows, dealt, [*per, "_block"], "inner").select(*ids, key)
     known = df.select(*ids, key, value, F.lit(True).alias("_known"))
     joined = same_keys(grid, known, [*ids, key])
     return joined.select(

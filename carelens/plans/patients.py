@@ -7,7 +7,7 @@ the id numbering and in the final counts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from carelens import fixed
 from carelens.functions.dates import month_start
 from carelens.functions.text import contains_any, parse_number
 from carelens.operators.joins import asof_forward, asof_hot_input, overlap_months, restrict_to_cohort
-from carelens.operators.ordered import Hot, cut_heavy, draw
+from carelens.operators.ordered import Hot, cut_heavy, draw, find_hot
 from carelens.operators.select import left_lookup, same_keys
 from carelens.operators.windows import (
     assign_ids,
@@ -67,6 +67,8 @@ def patient_ids(visits: DataFrame, decoder: DataFrame, balance: Balance = Balanc
     sited = left_lookup(first, decoder.select("site_name", "program_id"), [("site_name", "site_name")])
     if balance.site is not None:
         sited = stage(sited, "first_visits")  # cutting by site reads its input twice
+        # patients start early: first visits lie otherwise than all visits, so they are cut by bounds of their own
+        balance = replace(balance, site=find_hot(sited, ["program_id"], ["encounter_date", PATIENT]))
     return assign_ids(sited, PATIENT, "program_id", "encounter_date", "pr_id", balance.site).select(PATIENT, "pr_id")
 
 

@@ -207,6 +207,21 @@ def _(spark, d):
     return J.overlap_months(spans, "init_date", "disc_date", observed, "month").drop("disc_date")
 
 
+@query("join_interval_pairs", """
+WITH l AS (SELECT l_suppkey, l_returnflag, CAST(l_shipdate AS DATE) AS s, CAST(l_receiptdate AS DATE) AS e FROM lineitem)
+SELECT r.l_suppkey, count(*) AS pairs, CAST(sum(date_diff('day', greatest(r.s, a.s), least(r.e, a.e)) + 1) AS BIGINT) AS days
+FROM l r JOIN l a ON r.l_suppkey = a.l_suppkey AND r.s <= a.e AND a.s <= r.e
+WHERE r.l_returnflag = 'R' AND a.l_returnflag = 'A' GROUP BY 1""")
+def _(spark, d):
+    lines = table(spark, d, "lineitem").select(
+        "l_suppkey", "l_returnflag", F.to_date("l_shipdate").alias("s"), F.to_date("l_receiptdate").alias("e")
+    )
+    returned, accepted = (lines.filter(F.col("l_returnflag") == f).drop("l_returnflag") for f in "RA")
+    pairs = J.overlap_join(returned, accepted, ["l_suppkey"], ("s", "e"))
+    shared = F.datediff(F.least("e", "right_e"), F.greatest("s", "right_s")) + 1
+    return pairs.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("pairs"), F.sum(shared).alias("days"))
+
+
 @query("join_asof_forward", """
 SELECT v.visit_id, (SELECT min(rx_order_date) FROM v_rx r WHERE r.id_from_site IS NOT DISTINCT FROM v.id_from_site
   AND r.rx_order_date >= v.encounter_date) AS nearest_rx FROM v_visit v""")

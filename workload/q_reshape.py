@@ -208,13 +208,13 @@ def _(spark, d):
 
 
 @query("join_interval_pairs", """
-WITH l AS (SELECT l_suppkey, l_returnflag, CAST(l_shipdate AS DATE) AS s, CAST(l_receiptdate AS DATE) AS e FROM lineitem)
+WITH l AS (SELECT l_suppkey, l_returnflag, CAST(l_shipdate AS DATE) AS s, CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS e FROM lineitem)
 SELECT r.l_suppkey, count(*) AS pairs, CAST(sum(date_diff('day', greatest(r.s, a.s), least(r.e, a.e)) + 1) AS BIGINT) AS days
 FROM l r JOIN l a ON r.l_suppkey = a.l_suppkey AND r.s <= a.e AND a.s <= r.e
 WHERE r.l_returnflag = 'R' AND a.l_returnflag = 'A' GROUP BY 1""")
 def _(spark, d):
     lines = table(spark, d, "lineitem").select(
-        "l_suppkey", "l_returnflag", F.to_date("l_shipdate").alias("s"), F.to_date("l_receiptdate").alias("e")
+        "l_suppkey", "l_returnflag", F.to_date("l_shipdate").alias("s"), F.date_add(F.to_date("l_shipdate"), F.col("l_quantity").cast("int")).alias("e")
     )
     returned, accepted = (lines.filter(F.col("l_returnflag") == f).drop("l_returnflag") for f in "RA")
     pairs = J.overlap_join(returned, accepted, ["l_suppkey"], ("s", "e"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from carelens import fixed
 from carelens.functions.dates import parse_date
 from carelens.functions.nulls import tokens_to_null, try_number
 from carelens.operators.select import rename_map
+from carelens.sources.staging import stage
 
 
 def _as_schema(schema) -> T.StructType:
@@ -33,6 +34,42 @@ def read_csv_nulls(spark: SparkSession, path: str, schema, tokens: list[str] = f
     )
 
 
+def read_csv_rejects(
+    spark: SparkSession, path: str, schema, tokens: list[str] = fixed.NULL_TOKENS, **options
+) -> tuple[DataFrame, DataFrame]:
+    """CSV with forced column types, and the cells that did not fit them: (table, rejects).
+
+    ``rejects`` has file, row (of data in the file, from 1), column and text of
+    every cell that became null though it is none of the null texts.  The files
+    are read once; typed rows are kept with their rejected cells, and both
+    results come from there.  Rows are numbered within each block a task reads,
+    blocks by where they begin in their file.
+    """
+    wanted = _as_schema(schema)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
+    raw = spark.read.schema(text).options(header=True, **options).csv(path)
+    cells, typed = [], []
+    for f in wanted.fields:
+        cell = tokens_to_null(F.col(f"`{f.name}`"), tokens)
+        value = cell.try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        cells.append(F.when(cell.isNotNull() & value.isNull(), F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("text"))))
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")]
+    kept = stage(raw.select(*typed, F.array_compact(F.array(*cells)).alias("_cells"), *place), "typed")
+    blocks = kept.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))  # a row per block
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    bad = kept.filter(F.size("_cells") > 0).join(blocks, ["_file", "_block"])
+    row = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    rejects = bad.select(F.col("_file").alias("file"), row.alias("row"), F.explode("_cells").alias("_c")).select("file", "row", "_c.column", "_c.text")
+    return kept.select(*[F.col(f"`{f.name}`") for f in wanted.fields]), rejects
+
+
+def rejected_counts(rejects: DataFrame) -> DataFrame:
+    """How many cells of each column did not fit."""
+    return rejects.groupBy("column").agg(F.count(F.lit(1)).alias("rejected"))
+
+
 def snapshot_names(spark: SparkSession, folder: str) -> DataFrame:
     """Entries of a folder (files, or folders Spark wrote), from the listing alone."""
     listing = (

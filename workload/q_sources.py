@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from carelens import fixed
 from carelens.sources import readers as R
-from carelens.sources import staging
+from carelens.sources import published, staging
 from carelens.sources import writers as W
 from workload.registry import query, r6
 from workload.views import BASE_MONTHS, BASE_VARS, table, view
@@ -49,6 +49,16 @@ def _(spark, d):
     )
 
 
+@query("src_csv_rejects", """
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS rejected FROM orders""")
+def _(spark, d):
+    price = F.when(F.col("o_orderstatus") == "P", "pending").otherwise(F.col("o_totalprice").cast("string"))
+    path = W.write_csv(table(spark, d, "orders").select("o_orderkey", price.alias("price")), f"{staging.new_folder(spark)}/orders.csv")
+    good, bad = R.read_csv_rejects(spark, path, "o_orderkey bigint, price double")
+    counts = R.rejected_counts(bad).filter(F.col("column") == "price").select("rejected")
+    return good.withColumn("rejected", F.coalesce(counts.scalar(), F.lit(0).cast("bigint")))
+
+
 @query("src_extract_renamed", "SELECT DISTINCT id_from_site, rx_order_date, rx_name, rx_quantity, rx_num_refills, rx_provider, rx_site_name FROM v_rx")
 def _(spark, d):
     rx = view(spark, d, "v_rx").drop("rx_id").withColumn("rx_order_date", F.col("rx_order_date").cast("string"))
@@ -77,6 +87,14 @@ def _(spark, d):
     return r6(staging.read_stage(spark, staging.save_stage(long, "long_measures")))
 
 
+@query("sink_published_table", "SELECT date, program_id, variable, round(value, 6) AS value FROM v_long")
+def _(spark, d):
+    long, root = view(spark, d, "v_long").select("date", "program_id", "variable", "value"), staging.new_folder(spark)
+    published.publish(long.withColumn("value", F.lit(0.0)).limit(10), root, "long_measures")
+    published.publish(long, root, "long_measures")
+    return r6(published.read_published(spark, root, "long_measures"))
+
+
 @query("sink_csv_dated", """
 SELECT date, program_id, b1, c1_n, 'measures_20230401.csv' AS name FROM v_month""")
 def _(spark, d):

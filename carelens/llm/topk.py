@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,20 @@ COUNTS = pa.schema([("q", pa.int32()), ("bin", pa.int64()), ("need", pa.int64())
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
+def floored(values: np.ndarray, scale: float) -> tuple[np.ndarray, float]:
+    """floor(scale * x) and the largest size; where a double cannot hold that, whole numbers of any size, and infinity."""
+    with np.errstate(over="ignore"):
+        cells = np.floor(scale * values)
+    if np.isfinite(cells).all():
+        return cells, float(np.abs(cells).max()) if cells.size else 0.0
+    whole = [int(c) if np.isfinite(c) else math.floor(Fraction(x) * Fraction(scale)) for c, x in zip(cells.ravel().tolist(), values.ravel().tolist())]
+    out = np.empty(len(whole), object)
+    out[:] = whole
+    return out.reshape(values.shape), float("inf")
+
+
 def _pack(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
-    """Floored vectors in blocks of one length each, as the narrowest floats that hold them exactly."""
+    """Floored vectors in blocks of one length each, as the narrowest floats that hold them exactly, or as text."""
     for b in batches:
         ids = b.column(0).to_numpy(zero_copy_only=False)
         lists = b.column(1)
@@ -36,16 +50,20 @@ def _pack(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.Record
             at = np.flatnonzero(dims == d)
             for s in range(0, len(at), BLOCK):
                 rows = at[s : s + BLOCK]
-                cells = np.floor(scale * flat[starts[rows][:, None] + np.arange(d)[None, :]])
-                reach = float(np.abs(cells).max()) if cells.size else 0.0
-                kind = "f4" if reach <= 2**24 else "f8"
-                yield batch(BLOCKS, [int(d)], [kind], [reach], [ids[rows].astype("<i8").tobytes()], [cells.astype(f"<{kind}").tobytes()])
+                cells, reach = floored(flat[starts[rows][:, None] + np.arange(d)[None, :]], scale)
+                kind = "text" if cells.dtype == object else "f4" if reach <= 2**24 else "f8"
+                stored = " ".join(map(str, cells.ravel())).encode() if kind == "text" else cells.astype(f"<{kind}").tobytes()
+                yield batch(BLOCKS, [int(d)], [kind], [reach], [ids[rows].astype("<i8").tobytes()], [stored])
 
 
 def _blocks(b: pa.RecordBatch) -> Iterator[tuple[int, float, np.ndarray, np.ndarray]]:
     for r in b.to_pylist():
         ids = np.frombuffer(r["ids"], "<i8")
-        yield r["dim"], r["reach"], ids, np.frombuffer(r["cells"], f"<{r['kind']}").astype(np.float64).reshape(len(ids), r["dim"])
+        if r["kind"] == "text":
+            cells = np.array([int(x) for x in r["cells"].split()], object)
+        else:
+            cells = np.frombuffer(r["cells"], f"<{r['kind']}").astype(np.float64)
+        yield r["dim"], r["reach"], ids, cells.reshape(len(ids), r["dim"])
 
 
 def _scores(queries: np.ndarray, reach_q: float, vectors: np.ndarray, reach: float) -> np.ndarray:
@@ -156,7 +174,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
 
     Vectors that are null or hold null or non-finite components, and rows without key, take no part.  Vectors
     compete with vectors of the same length only; empty ones score 0.  A candidate row that occurs twice counts twice;
-    of query rows with the same key the smallest vector asks.  Scores beyond the range of long stay at its end.
+    of query rows with the same key the smallest vector asks.  Scores are whole numbers of any size;
+    those beyond the range of long stay at its end, and are ties there.
     Fewer than k candidates: all of them.  An empty table gives an empty result.  Other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -185,10 +204,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
         wave, high = {}, np.zeros(len(ids), np.int64)
         for d in np.unique(dims):
             at = np.flatnonzero(dims == d)
-            cells = np.floor(scale * np.array(part["_vec"].iloc[at].tolist(), np.float64).reshape(len(at), d))
-            wave[int(d)] = (at, ids[at], cells, float(np.abs(cells).max()) if cells.size else 0.0)
-            with np.errstate(over="ignore"):  # infinity, then the whole range of long
-                most = np.abs(cells).sum(axis=1) * norms.get(int(d), 0.0) + 1
+            cells, reach = floored(np.array(part["_vec"].iloc[at].tolist(), np.float64).reshape(len(at), d), scale)
+            wave[int(d)] = (at, ids[at], cells, reach)
+            with np.errstate(over="ignore", invalid="ignore"):  # infinity, then the whole range of long
+                most = np.abs(cells).sum(axis=1) * norms.get(int(d), 0.0) + 1 if np.isfinite(reach) else np.full(len(at), np.inf)
             high[at] = np.where(most < 2.0**62, most, 0).astype(np.int64) + np.where(most < 2.0**62, 0, TOP)
         wave_bc = spark.sparkContext.broadcast(wave)
         kth, need = _locate(blocks, wave_bc, -high, high.copy(), k)

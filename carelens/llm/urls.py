@@ -34,9 +34,10 @@ def judge_urls(urls: DataFrame, rules: DataFrame, key: str, url: str, default: s
     path of the URL starts with its path; the longest rule (host and path together) wins, then the one with the
     longer host, then block.  Without a rule the verdict is ``default``.
 
-    URLs are reduced to distinct (host, start of path) pairs first; only those are expanded into host suffixes and
-    path prefixes, of the label counts and path lengths that occur among the rules.  Expressions and rules meet by
-    an equi-join on the first 32 bits of SHA-256; full digests confirm.  Other columns of ``urls`` are ignored.
+    URLs are reduced to distinct (host, start of path) pairs first; only those are expanded.  Host suffixes meet the
+    hosts of rules by an equi-join on the first 32 bits of SHA-256, and get the path lengths those have; so a URL is
+    expanded into path prefixes of the lengths of its own hosts' rules only, however many shapes the rules have.
+    Expressions and rules meet in the same way; full digests confirm.  Other columns of ``urls`` are ignored.
 
     Missing, malformed and empty URLs have no host and get the default.  Repeated rows give repeated rows; a
     missing key stays missing.  No rules, or rules with a missing part or an empty host: they fit nothing.
@@ -45,20 +46,22 @@ def judge_urls(urls: DataFrame, rules: DataFrame, key: str, url: str, default: s
     known = rules.select(
         F.translate(F.col("host"), UPPER, LOWER).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict")
     ).where("r_host <> '' AND r_path IS NOT NULL AND r_verdict IS NOT NULL").distinct()
-    shapes = known.select(F.size(_labels(F.col("r_host"))).alias("n"), F.length("r_path").alias("m")).distinct().collect()
     out = [F.col("_key").alias(key), F.col("_host").alias("host"), F.col("_path").alias("path")]
-    if not shapes:
+    most = known.agg(F.max(F.size(_labels(F.col("r_host")))).alias("labels"), F.max(F.length("r_path")).alias("path")).first()  # two numbers
+    if most.labels is None:
         return pages.select(*out, F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
 
-    longest = max(s.m for s in shapes)
-    pages = pages.withColumn("_head", F.left("_path", F.lit(longest)))
+    pages = pages.withColumn("_head", F.left("_path", F.lit(most.path)))
     heads = pages.select("_host", "_head").where("_host <> ''").distinct().withColumn("_labels", _labels(F.col("_host")))
-    shape = F.explode(F.array(*[F.struct(F.lit(s.n).alias("n"), F.lit(s.m).alias("m")) for s in sorted(shapes)]))
+    lengths = F.sequence(F.lit(1), F.least(F.size("_labels"), F.lit(most.labels)))
+    suffix = F.explode(F.transform(lengths, lambda n: F.array_join(F.slice("_labels", -n, n), ".")))
+    hosts = known.groupBy("r_host").agg(F.collect_set(F.length("r_path")).alias("r_lengths"))  # as many as a path is long
+    hosts = hosts.withColumn("r_key", F.left(F.sha2("r_host", 256), F.lit(PREFIX_HEX)))
     expressions = (
-        heads.withColumn("_shape", shape)
-        .where("size(_labels) >= _shape.n AND length(_head) >= _shape.m")
-        .withColumn("_suffix", F.array_join(F.slice("_labels", -F.col("_shape.n"), F.col("_shape.n")), "."))
-        .select("_host", "_head", _digest(F.col("_suffix"), F.left("_head", F.col("_shape.m"))).alias("_full"))
+        heads.withColumn("_suffix", suffix).withColumn("_of", F.left(F.sha2("_suffix", 256), F.lit(PREFIX_HEX)))
+        .join(hosts, F.col("_of") == F.col("r_key")).where("_suffix = r_host")
+        .withColumn("_m", F.explode("r_lengths")).where("length(_head) >= _m")
+        .select("_host", "_head", _digest(F.col("_suffix"), F.left("_head", F.col("_m"))).alias("_full"))
         .withColumn("_short", F.left("_full", F.lit(PREFIX_HEX)))
     )
     known = known.withColumn("r_full", _digest(F.col("r_host"), F.col("r_path"))).withColumn("r_short", F.left("r_full", F.lit(PREFIX_HEX)))

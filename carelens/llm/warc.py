@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm.common import batch, ship, utf8
+from carelens.llm.common import batch, parts, ship, utf8
 from carelens.sources.staging import new_folder, stage
 
 # Fixed values of the archive format: a skippable frame of this number holds the dictionary.
@@ -119,7 +119,7 @@ class _Writer:
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     writer = None
-    for b in batches:
+    for b in (part for whole in batches for part in parts(whole, 2)):
         ids, urls, payloads, targets, target_urls = (b.column(i) for i in range(5))
         for page, url, payload, to, to_url in zip(
             ids.to_pylist(), urls.to_pylist(), utf8(payloads), targets.to_pylist(), target_urls.to_pylist()
@@ -180,14 +180,24 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield batch(RECORDS, *zip(*rows))
 
 
+# Schemes as Spark names them, and as the file library here does.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
 def _as_uri(folder: str) -> str:
-    return folder if re.match(r"[a-z][a-z0-9+.-]*:/", folder) else f"file://{folder}"
+    """The folder as the file library names it; a store it does not know is refused before anything is written."""
+    if not re.match(r"[a-z][a-z0-9+.-]*:/", folder):
+        return f"file://{folder}"
+    scheme, _, rest = folder.partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives cannot be written to {scheme}: stores; use one of {', '.join(sorted(SCHEMES))}")
+    return f"{SCHEMES[scheme]}:{rest}"
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Write a record per row into ``folder``, a URI all executors reach; returns path and records of each file.
 
-    Of rows with equal payloads (SHA-1 and length) of at least ``least_bytes``, the one with the largest key is a
+    Of rows with equal payloads (by SHA-1) of at least ``least_bytes``, the one with the largest key is a
     response and the others revisit it; smaller payloads are all responses.  A dictionary is built for each file
     from its first records (2 MB), stored in a leading skippable frame; every record is a frame of its own.
 

@@ -3,6 +3,8 @@
 import hashlib
 import io
 import random
+import time
+from fractions import Fraction
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -140,3 +142,44 @@ def test_damaged_archives_are_refused():
     data = b"".join(warc.make_record(i, "u", b"p" * 50, None, None) for i in range(3))
     with pytest.raises(ValueError):
         list(warc.read_records(io.BytesIO(zstandard.compress(data))))
+
+
+def test_components_beyond_the_range_of_doubles(spark):
+    """Finite components whose scaled value no double holds: scores are still those of whole numbers."""
+    big = 2.0**1016  # 256 times this is infinite
+    vectors = {0: [1e308, -3.0], 50: [big, big], 1: [1e308, 2.0], 2: [1.5, -1e308], 3: [big, -big], 4: [-big, big + 2.0**970], 100: [0.0, 0.5], 5: [1e-3, 0.25], 6: [float("inf"), 1.0], 7: [2.0**40, 2.0**41]}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0).collect()))
+    top = 2**63 - 1
+    whole = {i: [int(Fraction(x) * 256 // 1) for x in v] for i, v in vectors.items() if i != 6}
+    want = []
+    for q in (0, 50, 100):
+        found = sorted((-max(-top, min(top, sum(a * b for a, b in zip(whole[q], v)))), i) for i, v in whole.items() if i != q)
+        want += [(q, rank, i, -score) for rank, (score, i) in enumerate(found[:5], 1)]
+    assert got == want
+
+
+def test_many_rules_of_many_shapes(spark):
+    """100,000 rules with hundreds of path lengths; a URL meets only the lengths of its own hosts."""
+    rules = [(f"h{i % 5000}.example.com", "/" + "a" * (i % 400) + str(i), "block" if i % 3 else "allow") for i in range(100_000)]
+    rules += [("example.com", "/", "block"), ("h7.example.com", "/" + "a" * 7, "allow")]
+    urls = [(1, "http://x.h7.example.com/" + "a" * 7 + "7"), (2, "http://h7.example.com/aaaaaaaa"), (3, "http://h7.example.com/b"), (4, "http://example.org/"), (5, None), (6, "http://h4999.example.com/" + "a" * 199 + "99999/x")]
+    start = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in urls_of(spark, urls, rules)}
+    assert got == {
+        1: ("h7.example.com/" + "a" * 7 + "7", "block"), 2: ("h7.example.com/aaaaaaa", "allow"), 3: ("example.com/", "block"), 4: (None, "allow"), 5: (None, "allow"),
+        6: ("h4999.example.com/" + "a" * 199 + "99999", "allow"),
+    }
+    assert time.time() - start < 120
+
+
+def urls_of(spark, pages, rules):
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    return urls.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), "page_id", "url").collect()
+
+
+def test_schemes_of_stores(spark, tmp_path):
+    assert warc._as_uri("s3a://bucket/x") == "s3://bucket/x" and warc._as_uri("/data/x") == "file:///data/x" and warc._as_uri("hdfs://n/x") == "hdfs://n/x"
+    pages = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="dbfs"):
+        warc.write_archives(pages, "dbfs:/somewhere/x")

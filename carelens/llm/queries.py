@@ -92,6 +92,33 @@ def op3_secret_scans(spark, sf_dir):
     return secret_scan.scan_digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+@query(
+    "secret_base_spans",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    k(kind, rank, expr) AS (VALUES
+        ('assign', 1, '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+        ('access', 2, 'AKIA[A-Z0-9]+'), ('hex', 3, '[0-9a-f]+')),
+    m AS (
+        SELECT doc_id, 'assign' AS kind, 1 AS rank, regexp_extract_all(text, (SELECT expr FROM k WHERE rank = 1)) AS hit, string_split_regex(text, (SELECT expr FROM k WHERE rank = 1)) AS rest FROM d
+        UNION ALL SELECT doc_id, 'access', 2, regexp_extract_all(text, 'AKIA[A-Z0-9]+'), string_split_regex(text, 'AKIA[A-Z0-9]+') FROM d
+        UNION ALL SELECT doc_id, 'hex', 3, regexp_extract_all(text, '[0-9a-f]{16,}'), string_split_regex(text, '[0-9a-f]{16,}') FROM d),
+    p AS (SELECT doc_id, kind, rank, hit[i] AS hit,
+                 list_sum(list_transform(rest[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hit[1:i - 1], lambda x: length(x))), 0) AS start
+          FROM m, unnest(range(1, len(hit) + 1)) AS t(i)),
+    v AS (SELECT *, start + length(hit) AS stop, CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) ELSE length(hit) END AS size FROM p),
+    g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                 string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank) AS spans
+          FROM v WHERE size >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 ELSE 16 END GROUP BY 1)
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256
+    FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+    """,
+)
+def secret_base_spans(spark, sf_dir):
+    """What SQL can say of the secret scan: spans of the base kinds."""
+    return op3_secret_scans(spark, sf_dir).drop("spans")
+
+
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -141,7 +168,22 @@ def op10_language_id(spark, sf_dir):
     return langid.train_and_identify(table(spark, sf_dir, "documents"))
 
 
-@query("op8_jaccard_join")
+@query(
+    "op8_jaccard_join",
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS own FROM w),
+    e AS (SELECT doc_id, len(own) AS n, unnest(own) AS shingle FROM s),
+    shares AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n, b.n AS m, count(*) AS shared FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shares WHERE 100 * shared >= 80 * (n + m - shared)),
+    ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT a AS doc_id, a AS other FROM ends UNION SELECT r.doc_id, ends.b FROM reached r JOIN ends ON r.other = ends.a)
+    SELECT s.doc_id, CAST(len(own) AS BIGINT) AS n_shingles, coalesce(min(other), s.doc_id) AS component_id
+    FROM s LEFT JOIN reached r ON r.doc_id = s.doc_id GROUP BY s.doc_id, len(own)
+    """,
+)
 def op8_jaccard_join(spark, sf_dir):
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 

@@ -25,7 +25,7 @@ LOCAL = 2  # sets of one task that make a shingle worth counting
 COMMON = 4  # such sets of all tasks that make it a common one
 MOST_COMMON = 1 << 20  # shingles in the broadcast order, 16 MB; others come by hash alone
 FILTER_BITS = (1 << 26) - 5  # of the broadcast filter of documents whose sets are wanted: 8 MB
-STARS = 3  # rounds of verification against one group per shingle, before all remaining pairs
+STARS = 1  # rounds of verification against one group per shingle, before all remaining pairs
 SALT = 2_000  # sets compared with one centre in a task
 
 READ = pa.schema([("common", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.binary()), ("hash", pa.int64()), ("times", pa.int64())])
@@ -287,7 +287,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Equal sets are one vertex.  Sets with the same prefix and size form a group, and groups meet by shared prefix
     shingles, common shingles coming last in the order.  Each group is verified against one group per shingle first,
-    in three rounds at most, which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
+    once, which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
     that can be similar by size and by what can follow the first shingle they share are expanded and verified, and with them all pairs inside
     a group that is not one component yet.  Pairs within a component say nothing new and are not formed; every other candidate is.  The tables the joins read are written ones.
 
@@ -317,7 +317,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "members",
     )
     n, i = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
-    postings = stage(shared.where("kind = 0").select("hash", "gid", n.alias("n"), i.alias("i")).distinct(), "postings")
+    postings = stage(shared.where("kind = 0").select("hash", "gid", n.cast("int").alias("n"), i.cast("int").alias("i")).distinct(), "postings")
 
     # links of all texts of a key with the smallest, and of members of a group with its first
     keyed = sizes.where("doc_id IS NOT NULL").join(vertices, "set_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("most"))
@@ -329,20 +329,24 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     for turn in range(STARS + 1):
         own = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("gid", "v", F.coalesce("label", "v").alias("label"))
         own = stage(own, "own")
-        grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("v", F.struct("label", "v")).alias("first"))
-        spread = postings.join(grouped, "gid")
-        open_ = spread.groupBy("hash").agg(F.min("low").alias("_low"), F.max("high").alias("_high"), F.min(F.struct("low", "gid", "n", "first")).alias("rep"))
-        rest = stage(spread.join(open_.where("_low <> _high").select("hash", "rep"), "hash"), "rest")
+        grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        of_hash = Window.partitionBy("hash")  # rows move by group, for the labels, and by shingle, each time as few columns as can be
+        spread = postings.join(grouped, "gid").withColumns(
+            {"_low": F.min("low").over(of_hash), "_high": F.max("high").over(of_hash), "rep": F.min(F.struct("low", "gid", "n")).over(of_hash)}
+        )
+        rest = stage(spread.where("_low <> _high").drop("_low", "_high"), "rest")
         postings = rest.select("hash", "gid", "n", "i")  # components only grow: a shingle of one component stays one
         if turn == STARS:
             break
         # each group with the group of the smallest component among those of a shingle: the one it shares most with
         met = (
             rest.where((F.col("high") != F.col("rep.low")) & _fits(F.col("n"), F.col("rep.n")))
-            .groupBy("gid", "n", F.col("first").alias("a"), F.col("rep.n").alias("m"), F.col("rep.first").alias("b")).count()
-            .where((F.col("count") >= _least_shared(F.col("n"), F.col("m"))) & (F.col("a") != F.col("b")))
+            .groupBy("gid", "n", F.col("rep.gid").alias("other"), F.col("rep.n").alias("m")).count()
+            .where(F.col("count") >= _least_shared(F.col("n"), F.col("m")))
         )
-        best = met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
+        tops = own.groupBy("gid").agg(F.min_by("v", F.struct("label", "v")).alias("first"))
+        met = met.join(tops.withColumnRenamed("first", "a"), "gid").join(tops.select(F.col("gid").alias("other"), F.col("first").alias("b")), "other")
+        best = met.where("a <> b").groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
         found = verify(texts, (star.union(best) if turn == 0 else best).distinct())
         if turn and found.isEmpty():
             break

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.sources.staging import cut_lineage
+from carelens.sources.staging import stage
 
 
 def unit_profiles(wide: DataFrame, key: str, features: list[str]) -> DataFrame:
@@ -46,7 +46,7 @@ def corr_distance(wide: DataFrame, key: str, features: list[str], blocks: int |
     The number of blocks follows the number of sites, so that a tile has about
     ``TILE`` sites on a side; ``blocks`` sets it.
     """
-    profiles = cut_lineage(unit_profiles(wide, key, features))  # one row per site
+    profiles = stage(unit_profiles(wide, key, features), "profiles")  # one row per site
     if blocks is None:
         blocks = max(LEAST_BLOCKS, -(-profiles.count() // TILE))
     profiles = profiles.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
@@ -76,7 +76,7 @@ def hclust_complete(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     flat = F.raise_error(F.lit("a site with equal features has no correlation with others, and no place in the tree"))
     known = F.when(F.isnan("distance"), None).otherwise(F.col("distance"))
-    links = cut_lineage(distances.select("site_a", "site_b", F.coalesce(known, flat.cast("double")).alias("d")))
+    links = stage(distances.select("site_a", "site_b", F.coalesce(known, flat.cast("double")).alias("d")), "links")
     ends = links.select(F.col("site_a").alias("site")).union(links.select(F.col("site_b").alias("site"))).distinct()
     members = ends.select("site", F.col("site").alias("cluster"), F.lit(1).cast("bigint").alias("position"))
     merges = None
@@ -85,7 +85,7 @@ def hclust_complete(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
         nearest = both.groupBy("site_a").agg(F.min_by(F.struct("site_b", "d"), F.struct("d", "site_b")).alias("_m"))
         nearest = nearest.select("site_a", "_m.site_b", "_m.d")
         back = nearest.select(F.col("site_b").alias("site_a"), F.col("site_a").alias("site_b"))
-        joined = cut_lineage(nearest.join(back, ["site_a", "site_b"]).filter(F.col("site_a") < F.col("site_b")))
+        joined = stage(nearest.join(back, ["site_a", "site_b"]).filter(F.col("site_a") < F.col("site_b")), "merges")
         merges = joined if merges is None else merges.unionByName(joined)
 
         moves = joined.select(F.col("site_b").alias("_from"), F.col("site_a").alias("_to"))
@@ -94,19 +94,21 @@ def hclust_complete(distances: DataFrame) -> tuple[DataFrame, DataFrame]:
             renamed = renamed.join(moves.withColumnRenamed("_from", end), end, "left").withColumn(
                 end, F.coalesce("_to", end)
             ).drop("_to")
-        links = cut_lineage(
+        links = stage(
             renamed.filter(F.col("site_a") != F.col("site_b"))
             .groupBy(F.least("site_a", "site_b").alias("site_a"), F.greatest("site_a", "site_b").alias("site_b"))
-            .agg(F.max("d").alias("d"))
+            .agg(F.max("d").alias("d")),
+            "links",
         )
         sizes = members.groupBy(F.col("cluster").alias("_to")).agg(F.count(F.lit(1)).alias("_shift"))
         shifts = moves.join(sizes, "_to").withColumnRenamed("_from", "cluster")
-        members = cut_lineage(
+        members = stage(
             members.join(shifts, "cluster", "left").select(
                 "site",
                 F.coalesce("_to", "cluster").alias("cluster"),
                 (F.col("position") + F.coalesce("_shift", F.lit(0))).alias("position"),
-            )
+            ),
+            "members",
         )
     if merges is None:
         merges = links

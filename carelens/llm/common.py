@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -34,9 +35,13 @@ _kept: dict[str, Callable[[], None]] = {}
 
 
 def enter(name: str, forget: Callable[[], None] | None = None) -> None:
-    """Called in a worker by an operator that begins: what other operators keep there from task to task is forgotten."""
-    for other in [n for n in _kept if n != name]:
+    """Called in a worker by an operator that begins: what other operators keep there from task to task is forgotten, and its memory given back."""
+    others = [n for n in _kept if n != name]
+    for other in others:
         _kept.pop(other)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     if forget is not None:
         _kept[name] = forget
 

@@ -176,3 +176,16 @@ def test_plan_places_every_length_once(counts):
         for x, n in pattern.items():
             placed[x] += n * bins
     assert dict(placed) == counts
+
+
+def test_workers_forget_what_other_operators_keep():
+    from carelens.llm import common
+
+    kept = {"a": [1], "b": [2]}
+    common.enter("test a", kept["a"].clear)
+    common.enter("test a", kept["a"].clear)
+    assert kept["a"] == [1]
+    common.enter("test b", kept["b"].clear)
+    assert kept == {"a": [], "b": [2]}
+    common.enter("test c")
+    assert kept == {"a": [], "b": []} and not common._kept

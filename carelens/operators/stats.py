@@ -49,7 +49,8 @@ def _rank_p(n, cor) -> Column:
     Up to 9 pairs all permutations are counted; beyond, an Edgeworth series
     for the sum of squared rank differences.
     """
-    n3 = (n * n * n - n).cast("double")
+    n = n.cast("double")  # the cube of two million is no long
+    n3 = n * n * n - n
     s = F.round(n3 * (1 - cor) / 6)  # an even whole number
     above = s > n3 / 6
     exact = F.lit(None).cast("double")
@@ -59,7 +60,7 @@ def _rank_p(n, cor) -> Column:
         inner = F.when(above, F.slice(F.lit(counts), at + 1, len(counts))).otherwise(F.slice(F.lit(counts), 1, at + 1))
         part = F.aggregate(inner, F.lit(0).cast("long"), lambda acc, c: acc + c.cast("long")) / sum(counts)
         exact = F.when(n == m, part).otherwise(exact)
-    c, b = _RANK_SERIES, 1 / n.cast("double")
+    c, b = _RANK_SERIES, 1 / n
     # the upper tail from s on, or the lower one up to s: the next sum is s + 2
     x = (6 * (F.when(above, s).otherwise(s + 2) - 1) * b / (n * n - 1) - 1) * F.sqrt(1 / b - 1)
     y = x * x
@@ -107,8 +108,8 @@ def spearman_by(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     t = F.try_divide(F.col("cor") * F.sqrt((F.col("n") - 2).cast("double")), F.sqrt(1 - F.col("cor") * F.col("cor")))
     perfect = (F.abs("cor") >= 1) & (F.col("n") > 2)
     p = F.when(perfect, 0.0).otherwise(two_sided_p(t, F.col("n") - 2))
-    n = F.col("n")
-    most = (n * n * n - n).cast("double") / 12  # of the sums of squares, reached without ties only
+    n, wide = F.col("n"), F.col("n").cast("double")
+    most = (wide * wide * wide - wide) / 12  # of the sums of squares, reached without ties only
     untied = (F.col("_sxx") == most) & (F.col("_syy") == most) & (n <= SERIES_RANKS)
     return out.select(*keys, "n", "cor", F.when(untied & (n > 1), _rank_p(n, F.col("cor"))).when(n > 2, p).alias("p_val"))
 

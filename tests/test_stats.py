@@ -1,6 +1,7 @@
 """Statistics against numpy and brute force."""
 
 import itertools
+import math
 import random
 
 import numpy as np
@@ -37,6 +38,26 @@ def test_spearman_perfect_and_short(spark):
     assert S.spearman_by(df.limit(1), [], "x", "y").first()["p_val"] is None
 
 
+def test_spearman_of_more_pairs_than_the_cube_root_of_a_long(spark):
+    """From 2,097,152 pairs on, n ** 3 is no long; a group of a few pairs beside it keeps its exact p."""
+    m = 2_200_000
+    ids = np.arange(m)
+    x, y = ids % 7, np.where(ids % 500 == 0, ids % 7, ids // 7 % 5)
+
+    def mean_ranks(v):
+        _, at, n = np.unique(v, return_inverse=True, return_counts=True)
+        return (np.cumsum(n) - (n - 1) / 2)[at]
+
+    cor = np.corrcoef(mean_ranks(x), mean_ranks(y))[0, 1]
+    p = math.erfc(abs(cor * math.sqrt((m - 2) / (1 - cor * cor))) / math.sqrt(2))
+    big = spark.range(m).selectExpr("'big' AS g", "id % 7 AS x", "if(id % 500 = 0, id % 7, id div 7 % 5) AS y")
+    few = spark.createDataFrame([("few", 1, 2), ("few", 2, 4), ("few", 3, 9), ("few", 4, 10)], "g string, x long, y long")
+    got = {r["g"]: r for r in S.spearman_by(big.union(few), ["g"], "x", "y").collect()}
+    assert got["big"]["n"] == m and got["big"]["cor"] == pytest.approx(cor, abs=1e-9)
+    assert 1e-4 < p < 0.9 and got["big"]["p_val"] == pytest.approx(p, rel=1e-4)
+    assert got["few"]["p_val"] == pytest.approx(2 / 24)
+
+
 @pytest.mark.parametrize("accuracy", [4, 50, 10_000])
 def test_quantiles_from_brackets(spark, monkeypatch, accuracy):
     """Brackets of any width give the exact values; ties, one value only, and both ends among the wanted places."""

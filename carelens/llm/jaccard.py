@@ -25,11 +25,11 @@ LOCAL = 2  # sets of one task that make a shingle worth counting
 COMMON = 4  # such sets of all tasks that make it a common one
 MOST_COMMON = 1 << 20  # shingles in the broadcast order, 16 MB; others come by hash alone
 FILTER_BITS = (1 << 26) - 5  # of the broadcast filter of documents whose sets are wanted: 8 MB
-STARS = 1  # rounds of verification against one group per shingle, before all remaining pairs
+SKETCH_BITS = 2_048  # of a set's sketch, a power of two
 SALT = 2_000  # sets compared with one centre in a task
 
 READ = pa.schema([("common", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int32()), ("set_id", pa.binary()), ("hash", pa.int64()), ("times", pa.int64())])
-POSTINGS = pa.schema([("kind", pa.int32()), ("hash", pa.int64()), ("gid", pa.int64()), ("place", pa.int64()), ("set_id", pa.binary())])
+POSTINGS = pa.schema([("kind", pa.int32()), ("hash", pa.int64()), ("gid", pa.int64()), ("place", pa.int64()), ("doc", pa.int64()), ("set_id", pa.binary())])
 SETS = pa.schema([("v", pa.int64()), ("cells", pa.binary())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -183,11 +183,11 @@ def order_of(shingle: np.uint64, common: tuple[np.ndarray, np.ndarray]) -> int:
 
 
 def _post(batches: Iterator[pa.RecordBatch], common) -> Iterator[pa.RecordBatch]:
-    """A row per prefix shingle of each group (kind 0), and a row per distinct set with its group and where the prefix ends (kind 1)."""
+    """A row per prefix shingle of each group (kind 0) with a document of it, and a row per distinct set with its group and where the prefix ends (kind 1)."""
     seen: set[bytes] = set()
-    for _, sets in _sets(batches):
-        hashes, gids, places, members, owners, sizes, ends = [], [], [], [], [], [], []
-        for own in sets:
+    for ids, sets in _sets(batches):
+        hashes, gids, places, docs, members, owners, sizes, ends = [], [], [], [], [], [], [], []
+        for doc, own in zip(ids, sets):
             if not len(own) or (name := _set_id(own)) in seen:
                 continue
             seen.add(name)
@@ -196,22 +196,29 @@ def _post(batches: Iterator[pa.RecordBatch], common) -> Iterator[pa.RecordBatch]
             hashes.append(first)
             gids.append(np.full(len(first), gid, np.int64))
             places.append((np.int64(len(own)) << np.int64(32)) + np.arange(len(first), dtype=np.int64))
+            docs.append(np.full(len(first), doc, np.int64))
             members.append(name), owners.append(gid), sizes.append(len(own) << 32), ends.append(order_of(first[-1], common))
         if hashes:
             h = np.concatenate(hashes).astype(np.int64)
             m = len(h)
-            yield batch(POSTINGS, np.zeros(m, np.int32), h, np.concatenate(gids), np.concatenate(places), pa.nulls(m, pa.binary()))
-            yield batch(POSTINGS, np.ones(len(members), np.int32), ends, owners, sizes, members)
+            yield batch(POSTINGS, np.zeros(m, np.int32), h, np.concatenate(gids), np.concatenate(places), np.concatenate(docs), pa.nulls(m, pa.binary()))
+            yield batch(POSTINGS, np.ones(len(members), np.int32), ends, owners, sizes, pa.nulls(len(members), pa.int64()), members)
+
+
+def sketch(own: np.ndarray) -> np.ndarray:
+    """Size of a set, and for each place of a hash whether an odd number of its shingles fall there."""
+    odd = np.bincount((own >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.concatenate([np.array([len(own)], np.uint64), np.packbits(odd.astype(np.uint8)).view(np.uint64)])
 
 
-def _wanted(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sets of the documents that pass the filter (and of a few others)."""
+def _wanted(batches: Iterator[pa.RecordBatch], bits: np.ndarray, form) -> Iterator[pa.RecordBatch]:
+    """Sets, in some form, of the documents that pass the filter (and of a few others)."""
     for b in batches:
         ids = b.column(0).to_numpy(zero_copy_only=False)
         at = np.mod(ids, FILTER_BITS)
         keep = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
         for own, sets in _sets([b.take(pa.array(keep))]) if len(keep) else ():
-            yield batch(SETS, own, [s.tobytes() for s in sets])
+            yield batch(SETS, own, [form(s).tobytes() for s in sets])
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -219,7 +226,13 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def may_be_similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether sets with these sketches can be similar: places in which sketches differ hold a shingle that only one set has."""
+    apart = int(np.bitwise_count(a[1:] ^ b[1:]).sum(dtype=np.int64))
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * int(a[0] + b[0])
+
+
+def _compare(batches: Iterator[pa.RecordBatch], alike) -> Iterator[pa.RecordBatch]:
     """Each centre's set comes first; those that follow are compared with it."""
     at, centres = None, []
     enter("jaccard")
@@ -231,7 +244,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if at != (centre, salt):
                     at, centres = (centre, salt), []
                 centres.append(own)
-            elif any(similar(own, c) for c in centres):
+            elif any(alike(own, c) for c in centres):
                 found.append((v, centre))
         if found:
             yield batch(LINKS, *zip(*found))
@@ -240,10 +253,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of documents whose sets are similar; ``texts`` has _key and _text.
 
+    Small sketches are compared first, which lose no similar pair; whole sets move for the pairs that are left only.
+    """
+    likely = _alike(texts, stage(pairs, "pairs"), sketch, may_be_similar)
+    return _alike(texts, likely, np.asarray, similar)
+
+
+def _alike(texts: DataFrame, pairs: DataFrame, form, alike) -> DataFrame:
+    """Those of the written pairs (a, b) of documents whose sets, in this form, are alike.
+
     Sets are computed again from the texts of the documents in question, which a filter of fixed size finds; each set
     goes to the centres (b) it is compared with.  A centre with very many sets is copied to several tasks.
     """
-    pairs = stage(pairs, "pairs")
     spark = texts.sparkSession
     bit = F.pmod(F.col("v"), F.lit(FILTER_BITS))
     needed = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).select(bit.alias("bit"))
@@ -252,7 +273,7 @@ def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     for r in words:
         packed[r["part"] * 4096 : (r["part"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
     sent = spark.sparkContext.broadcast(packed)
-    sets = texts.where("_key IS NOT NULL").select(F.col("_key").alias("v"), F.col("_text")).mapInArrow(lambda it: _wanted(it, sent.value), "v long, cells binary")
+    sets = texts.where("_key IS NOT NULL").select(F.col("_key").alias("v"), F.col("_text")).mapInArrow(lambda it: _wanted(it, sent.value, form), "v long, cells binary")
     salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / SALT).alias("salts"))
     salted = pairs.join(salts.withColumnRenamed("b", "_b"), F.col("b") == F.col("_b")).withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")))
     routes = salted.select(F.col("a").alias("w"), F.col("b").alias("centre"), "salt", F.lit(True).alias("member")).union(
@@ -260,7 +281,7 @@ def verify(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     routed = sets.join(stage(routes, "routes"), F.col("v") == F.col("w")).select("centre", "salt", "member", "v", "cells")
     dealt = routed.repartition("centre", "salt").sortWithinPartitions("centre", "salt", "member")
-    return stage(dealt.mapInArrow(_compare, "a long, b long").distinct(), "links")
+    return stage(dealt.mapInArrow(lambda it: _compare(it, alike), "a long, b long").distinct(), "links")
 
 
 def _fits(n, m):
@@ -286,8 +307,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     80 per cent of the union.
 
     Equal sets are one vertex.  Sets with the same prefix and size form a group, and groups meet by shared prefix
-    shingles, common shingles coming last in the order.  Each group is verified against one group per shingle first,
-    once, which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
+    shingles, common shingles coming last in the order, with groups of sizes that allow a link.  Each group is verified against
+    one group per shingle first, once, which joins copies of a text without forming their pairs; then, between groups that are not yet joined, all pairs
     that can be similar by size and by what can follow the first shingle they share are expanded and verified, and with them all pairs inside
     a group that is not one component yet.  Pairs within a component say nothing new and are not formed; every other candidate is.  The tables the joins read are written ones.
 
@@ -305,19 +326,30 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     vertices = stage(sizes.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("v")), "vertices")
 
     common = spark.sparkContext.broadcast(_common(read))
-    posted = texts.where("_key IS NOT NULL").mapInArrow(lambda it: _post(it, common.value), "kind int, hash long, gid long, place long, set_id binary")
+    posted = texts.where("_key IS NOT NULL").mapInArrow(lambda it: _post(it, common.value), "kind int, hash long, gid long, place long, doc long, set_id binary")
+    # one shuffle for all: postings of several groups, once each, that have a group of a similar size; beside them the group of
+    # the smallest document, if sizes allow.  What is posted by one side of a pair that fits in size is posted by the other.
     over = Window.partitionBy("hash", "kind")
+    n, i = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
     shared = (
         posted.withColumn("_least", F.min("gid").over(over)).withColumn("_most", F.max("gid").over(over))
-        .where("kind = 1 OR _least <> _most").drop("_least", "_most")
+        .where("kind = 1 OR _least <> _most").groupBy("kind", "hash", "gid", "place", "set_id").agg(F.min("doc").alias("doc"))
+        .select("kind", "hash", "gid", n.alias("n"), i.alias("i"), "doc", "set_id")
+    )
+    by_size = over.orderBy("n", "gid")
+    shared = shared.withColumns({"_below": F.lag("n").over(by_size), "_above": F.lead("n").over(by_size)}).where(
+        (F.col("kind") == 1) | (F.col("_below").isNotNull() & _fits(F.col("n"), F.col("_below"))) | (F.col("_above").isNotNull() & _fits(F.col("n"), F.col("_above")))
+    ).drop("_below", "_above")
+    meets = (F.col("kind") == 0) & (F.col("gid") != F.col("_rep.gid")) & _fits(F.col("n"), F.col("_rep.n"))
+    shared = shared.withColumn("_rep", F.min(F.struct("doc", "gid", "n")).over(over)).select(
+        "kind", "hash", "gid", "n", "i", "set_id", F.when(meets, F.col("_rep.gid")).alias("other"), F.when(meets, F.col("_rep.n")).alias("m")
     )
     shared = spark.read.schema(shared.schema).parquet(save_stage(shared, "shared", folder, ["kind"]))
     members = stage(
         shared.where("kind = 1").select("gid", "set_id", F.col("hash").alias("end")).distinct().join(vertices, "set_id").select("gid", "v", "end").distinct(),
         "members",
     )
-    n, i = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
-    postings = stage(shared.where("kind = 0").select("hash", "gid", n.cast("int").alias("n"), i.cast("int").alias("i")).distinct(), "postings")
+    postings = shared.where("kind = 0").select("hash", "gid", "n", "i")
 
     # links of all texts of a key with the smallest, and of members of a group with its first
     keyed = sizes.where("doc_id IS NOT NULL").join(vertices, "set_id").groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("most"))
@@ -325,33 +357,18 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     same = sizes.join(several, "doc_id").join(vertices, "set_id").where("v <> a").select("a", F.col("v").alias("b")).distinct()
     firsts = members.groupBy("gid").agg(F.min("v").alias("first"))
     star = members.join(firsts, "gid").where("v <> first").select(F.col("v").alias("a"), F.col("first").alias("b"))
-    links, labels = stage(same, "links"), None
-    for turn in range(STARS + 1):
-        own = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").select("gid", "v", F.coalesce("label", "v").alias("label"))
-        own = stage(own, "own")
-        grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        of_hash = Window.partitionBy("hash")  # rows move by group, for the labels, and by shingle, each time as few columns as can be
-        spread = postings.join(grouped, "gid").withColumns(
-            {"_low": F.min("low").over(of_hash), "_high": F.max("high").over(of_hash), "rep": F.min(F.struct("low", "gid", "n")).over(of_hash)}
-        )
-        rest = stage(spread.where("_low <> _high").drop("_low", "_high"), "rest")
-        postings = rest.select("hash", "gid", "n", "i")  # components only grow: a shingle of one component stays one
-        if turn == STARS:
-            break
-        # each group with the group of the smallest component among those of a shingle: the one it shares most with
-        met = (
-            rest.where((F.col("high") != F.col("rep.low")) & _fits(F.col("n"), F.col("rep.n")))
-            .groupBy("gid", "n", F.col("rep.gid").alias("other"), F.col("rep.n").alias("m")).count()
-            .where(F.col("count") >= _least_shared(F.col("n"), F.col("m")))
-        )
-        tops = own.groupBy("gid").agg(F.min_by("v", F.struct("label", "v")).alias("first"))
-        met = met.join(tops.withColumnRenamed("first", "a"), "gid").join(tops.select(F.col("gid").alias("other"), F.col("first").alias("b")), "other")
-        best = met.where("a <> b").groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
-        found = verify(texts, (star.union(best) if turn == 0 else best).distinct())
-        if turn and found.isEmpty():
-            break
-        links = stage(links.union(found), "links")
-        labels = components(links)
+    # each group with the group of the smallest document among those of a shingle: the one it shares most with
+    met = shared.where("kind = 0 AND other IS NOT NULL").groupBy("gid", "n", "other", "m").count().where(F.col("count") >= _least_shared(F.col("n"), F.col("m")))
+    met = met.join(firsts.withColumnRenamed("first", "a"), "gid").join(firsts.select(F.col("gid").alias("other"), F.col("first").alias("b")), "other")
+    best = met.where("a <> b").groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
+    links = stage(same.union(verify(texts, star.union(best).distinct())), "links")
+    labels = components(links)
+
+    own = stage(members.join(labels, "v", "left").select("gid", "v", F.coalesce("label", "v").alias("label")), "own")
+    grouped = own.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    of_hash = Window.partitionBy("hash")  # rows move by group, for the labels, and by shingle, each time as few columns as can be
+    spread = postings.join(grouped, "gid").withColumns({"_low": F.min("low").over(of_hash), "_high": F.max("high").over(of_hash)})
+    rest = stage(spread.where("_low <> _high").drop("_low", "_high"), "rest")
 
     # Every pair of groups that is not within one component yet, by the first shingle they share.  What they share is at most
     # that one and what follows it.  Of a prefix that ends first, all that the pair shares is posted by both sides, so only

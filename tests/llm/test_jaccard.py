@@ -177,3 +177,55 @@ def test_components(spark, shape):
     df = spark.createDataFrame(links, "a long, b long")
     assert {r.v: r.label for r in components(df).collect()} == {v: c for v, c in want.items() if near[v] != {v}}
     assert components(df.limit(0)).collect() == []
+
+
+def test_sketches_lose_no_similar_pair():
+    rng = np.random.default_rng(4)
+    kept = 0
+    for n in (1, 2, 5, 9, 40, 300, 2_000, 20_000):
+        for share in (0.0, 0.3, 0.7, 0.78, 0.8, 0.82, 0.95, 1.0):
+            both = round(share * n)
+            a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+            b = np.unique(np.concatenate([a[:both], rng.integers(0, 2**64, rng.integers(0, n - both + 1), np.uint64)]))
+            if len(b):
+                likely = jaccard.may_be_similar(jaccard.sketch(a), jaccard.sketch(b))
+                assert likely or not jaccard.similar(a, b)
+                kept += likely and n <= 300 and share <= 0.3 and n > 5
+    assert kept == 0  # what has little in common is told apart
+
+
+def test_whole_sets_move_for_likely_pairs_only(make, monkeypatch):
+    """Texts of one size that share seven tenths of their shingles, and one true pair among them."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(i, " ".join(passage + [f"u{rng.randrange(10**9)}" for _ in range(20)])) for i in range(12)]
+    rows.append((20, rows[3][1] + " more"))
+    moved, plainly = {}, jaccard._alike
+
+    def spied(texts, pairs, form, alike):
+        moved[alike.__name__] = moved.get(alike.__name__, 0) + pairs.count()
+        return plainly(texts, pairs, form, alike)
+
+    monkeypatch.setattr(jaccard, "_alike", spied)
+    monkeypatch.setattr(jaccard, "COMMON", 10**9)  # else the passage comes last and none of it is posted
+    assert got(make(rows)) == plain(rows)
+    assert moved["may_be_similar"] > 5 and moved["similar"] == 1
+
+
+def test_groups_whose_sizes_do_not_fit_are_not_posted(make, monkeypatch):
+    """A passage alone, and in texts of twice, four and eight times its size: no two of them can be similar."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(k, " ".join([passage] + [f"u{k}x{i}" for i in range(40 * (2**k - 1))])) for k in range(4)]
+    rows += [(10, rows[2][1]), (11, rows[2][1] + " more")]
+    seen, plainly = {}, jaccard.save_stage
+
+    def spied(df, name, *rest):
+        path = plainly(df, name, *rest)
+        if name == "shared":
+            seen[name] = {r["gid"]: r["n"] for r in df.sparkSession.read.parquet(path).where("kind = 0").select("gid", "n").collect()}
+        return path
+
+    monkeypatch.setattr(jaccard, "save_stage", spied)
+    monkeypatch.setattr(jaccard, "COMMON", 10**9)
+    assert got(make(rows)) == plain(rows)
+    assert sorted(seen["shared"].values()) == [156, 157]

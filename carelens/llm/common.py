@@ -6,6 +6,7 @@ import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -72,6 +73,25 @@ def parts(b: pa.RecordBatch, text: int, rows: int = 512, size: int = 8 << 20) ->
         start = stop
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Batches sent to the workers end after so many bytes, in what runs meanwhile; a value set by the user is left alone.
+
+    Without it a batch holds up to 64 MB, twice in the JVM while it grows and once in the worker, for each task.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_BYTES, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES)
+
+
 def most_frequent(counts: DataFrame, times: str, n: int) -> DataFrame:
     """Rows with the largest counts, at most ``n``: all rows from some level on, levels being quarter powers of two.
 

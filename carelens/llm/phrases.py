@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import parts, ship, utf8
+from carelens.llm.common import parts, ship, small_batches, utf8
 from carelens.sources.staging import new_folder, stage
 
 LONGEST = 3  # words of a phrase
@@ -20,8 +20,10 @@ LEAST = 10  # occurrences of a candidate
 INSIDE = 50  # per cent of its occurrences inside a longer candidate that drop a phrase
 TOP = 2_000  # phrases of a language
 UNKNOWN = "und"
-BLOCK = 4 << 20  # bytes of text whose words share a dictionary
-RUN = 1 << 19  # words of a piece worked on at once
+BLOCK = 1 << 20  # bytes of text whose words share a dictionary
+HELD = 4  # blocks' worth of text in unfinished blocks
+RUN = 1 << 17  # words of a piece worked on at once
+ROW_GROUP = 2  # blocks that are written, and read, at once
 SHARES = 64  # of a language, that are ranked apart first
 FILTER_BITS = (1 << 27) - 39  # of the broadcast filter of frequent groups: 16 MB
 SEED = 0  # of the 64-bit hashes
@@ -82,7 +84,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[pa.R
                     blocks[lang].add(words, own, min(len(piece), BLOCK))
                     if blocks[lang].size >= BLOCK:
                         yield blocks.pop(lang).row()
-        if sum(x.size for x in blocks.values()) >= 2 * BLOCK:  # very many languages
+        if sum(x.size for x in blocks.values()) >= HELD * BLOCK:  # many languages
             yield from (blocks.pop(x).row() for x in list(blocks))
     yield from (x.row() for x in blocks.values())
 
@@ -193,14 +195,21 @@ def count_phrases(
     """
     spark = docs.sparkSession
     ship(spark)
+    with small_batches(spark):
+        return _counted(docs, longest, least, text, lang, seed)
+
+
+def _counted(docs: DataFrame, longest: int, least: int, text: str, lang: str, seed: int) -> tuple[DataFrame, dict[int, DataFrame]]:
+    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     root = new_folder(spark)
 
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{root}/{name}")
+    def kept(df: DataFrame, name: str, **how) -> DataFrame:
+        df.write.options(compression="zstd", **how).parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
-    relation = kept(rows.mapInArrow(lambda it: _occurrences(it, longest - 1), RELATION_DDL), "words")
+    few = {"parquet.block.row.count.limit": ROW_GROUP}
+    relation = kept(rows.mapInArrow(lambda it: _occurrences(it, longest - 1), RELATION_DDL), "words", **few)
     words = relation.select("lang", "own", "codes", "names", F.lit(b"").alias("at")).mapInArrow(
         lambda it: _count_words(it, seed), "h1 long, lang string, word binary, n long"
     )
@@ -218,7 +227,7 @@ def count_phrases(
         frequent[k + 1] = stage(found.groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least), "frequent")
         if k + 1 < longest:
             longer = spark.sparkContext.broadcast(filter_of(frequent[k + 1], k + 1))
-            relation = kept(relation.mapInArrow(lambda it, k=k, a=allowed, b=longer: _next_relation(it, k, seed, a.value, b.value), RELATION_DDL), f"groups{k + 1}")
+            relation = kept(relation.mapInArrow(lambda it, k=k, a=allowed, b=longer: _next_relation(it, k, seed, a.value, b.value), RELATION_DDL), f"groups{k + 1}", **few)
             allowed = longer
     return totals, frequent
 

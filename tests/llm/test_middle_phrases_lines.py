@@ -6,13 +6,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from carelens.llm import fim, line_dedup, phrases
-from carelens.llm.common import parts
+from carelens.llm.common import BATCH_BYTES, parts, small_batches
 from carelens.llm.queries import CHECKS, QUERIES
 from workload.check import compare, connect
 
@@ -165,6 +166,44 @@ def test_long_pieces_come_in_runs(spark, monkeypatch):
             assert +counts == want
 
 
+def test_relations_are_written_and_read_in_small_pieces(spark, tmp_path, monkeypatch):
+    """However many groups are frequent, and whatever a task holds: memory does not grow with either."""
+    monkeypatch.setattr(phrases, "new_folder", lambda _: str(tmp_path))
+    word = lambda i: F.conv(F.pmod(F.xxhash64("doc_id", i), F.lit(4000)).cast("string"), 10, 16)
+    df = spark.range(800).withColumnRenamed("id", "doc_id").coalesce(1)
+    df = df.select("doc_id", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2000)), word), " ").alias("text"), F.lit("en").alias("lang"))
+    phrases.count_phrases(df, least=1)
+    for name in ("words", "groups2"):
+        files = [pq.ParquetFile(f) for f in (tmp_path / name).glob("*.parquet")]
+        rows = [sum(map(len, (r["at"], r["own"], r["codes"], r["names"]))) for f in files for r in f.read().to_pylist()]
+        assert sum(rows) > 7 << 20 > max(rows)
+        assert max(f.metadata.row_group(g).total_byte_size for f in files for g in range(f.num_row_groups)) < 14 << 20
+
+
+def test_batches_to_workers_are_small_meanwhile(spark):
+    df = spark.range(400).coalesce(1).select(F.repeat(F.lit("x"), 100_000).alias("t"))
+
+    def sizes(it):
+        for b in it:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    def largest():
+        return df.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+    assert spark.conf.get(BATCH_BYTES, None) is None and largest() > 30 << 20
+    with pytest.raises(KeyError), small_batches(spark):
+        assert largest() < 5 << 20
+        raise KeyError
+    assert spark.conf.get(BATCH_BYTES, None) is None
+    spark.conf.set(BATCH_BYTES, str(1 << 20))
+    try:
+        with small_batches(spark):
+            assert largest() < 2 << 20
+        assert spark.conf.get(BATCH_BYTES) == str(1 << 20)
+    finally:
+        spark.conf.unset(BATCH_BYTES)
+
+
 def test_filter_bits_are_the_same_on_both_sides(spark):
     groups = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, (200, 5), dtype=np.int64)
     for k in range(1, 6):
